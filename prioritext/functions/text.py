@@ -132,3 +132,26 @@ def blank_text(text: str | Column) -> Column:
 
 def in_values(c: str | Column, values: Iterable[str]) -> Column:
     return _col(c).isin(list(values))
+
+
+def presence_count(text: str | Column, terms: Sequence[str]) -> Column:
+    """Number of distinct lexicon terms present (case-insensitive)."""
+    found = F.regexp_extract_all(_col(text), F.lit(lexicon_pattern(terms)), 0)
+    return F.size(F.array_distinct(F.transform(found, lambda x: F.lower(x))))
+
+
+def presence_score(
+    text: str | Column,
+    prior: str | Column | float,
+    raising_terms: Sequence[str],
+    lowering_terms: Sequence[str],
+) -> Column:
+    """Binary-presence score variant: distinct raising terms - distinct lowering terms + prior."""
+    prior_col = F.lit(float(prior)) if isinstance(prior, (int, float)) else _col(prior)
+    diff = presence_count(text, raising_terms) - presence_count(text, lowering_terms)
+    return diff.cast("double") + F.coalesce(prior_col.cast("double"), F.lit(0.0))
+
+
+def word_count(text: str | Column) -> Column:
+    """Words = runs of characters other than space, tab, CR, LF."""
+    return F.regexp_count(_col(text), F.lit(r"[^ \t\n\r]+"))

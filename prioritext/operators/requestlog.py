@@ -24,7 +24,7 @@ from prioritext.constants import (
 )
 from prioritext.operators.common import checked_broadcast
 
-EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+EPOCH = "1970-01-01 00:00:00"
 
 
 def le_label(bound: float) -> str:
@@ -134,7 +134,7 @@ def hour_bucket(ts: str | F.Column) -> F.Column:
 
 def hour_index(bucket: F.Column) -> F.Column:
     """Whole hours since the epoch (time-zone free for NTZ timestamps)."""
-    return F.timestamp_diff("HOUR", EPOCH_NTZ, bucket.cast("timestamp_ntz"))
+    return F.timestamp_diff("HOUR", F.lit(EPOCH).cast("timestamp_ntz"), bucket.cast("timestamp_ntz"))
 
 
 def fmt_ts(c: F.Column) -> F.Column:

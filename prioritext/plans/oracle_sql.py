@@ -29,6 +29,8 @@ from prioritext.sources.tables import (
     LANG_CATEGORIES,
     OTHER_METHOD,
     PAGE_ROUTES,
+    REQUEST_LABEL_BANDS,
+    REQUEST_LABEL_TOP,
     STANDIN_LOWERING,
     STANDIN_RAISING,
 )
@@ -49,7 +51,7 @@ def presence_sql(text: str, terms: Sequence[str]) -> str:
     folded = LATIN_FOLD.format(t=text)
     pat = sql_str("(?i)\\b(?:" + term_alternation(terms) + ")\\b")
     # fold first, then extract: distinct matched terms, case-insensitively
-    return f"len(list_distinct(list_transform(regexp_extract_all({folded}, {pat}), x -> lower(x))))"
+    return f"len(list_distinct(list_transform(regexp_extract_all({folded}, {pat}), lambda x: lower(x))))"
 
 
 def categories_values(without: Sequence[str] = ()) -> str:
@@ -114,9 +116,10 @@ pairs AS (
 def request_log_cte() -> str:
     ep = " ".join(f"WHEN {sql_str(t)} THEN {sql_str(e)}" for t, e, _ in EVENT_ENDPOINTS)
     me = " ".join(f"WHEN {sql_str(t)} THEN {sql_str(m)}" for t, _, m in EVENT_ENDPOINTS)
+    lab = " ".join(f"WHEN k < {b} THEN {sql_str(n)}" for b, n in REQUEST_LABEL_BANDS)
     return f"""
 ev AS (
-  SELECT *, CAST(regexp_extract(props, '(\\d+)', 1) AS INTEGER) AS k FROM events
+  SELECT *, TRY_CAST(regexp_extract(props, '(\\d+)', 1) AS INTEGER) AS k FROM events
 ),
 log AS (
   SELECT event_id, ts, user_id, event_type, k,
@@ -125,7 +128,8 @@ log AS (
          CASE WHEN k < 90 THEN 200 WHEN k < 97 THEN 422 ELSE 500 END AS status,
          (CASE WHEN k < 90 THEN 200 WHEN k < 97 THEN 422 ELSE 500 END) = 500 AND event_id % 2 = 0 AS unhandled,
          CASE WHEN user_id % 2 = 0 THEN 'base' ELSE 'new' END AS backend,
-         value AS duration_ms, value / 1000.0 AS duration_s
+         value AS duration_ms, value / 1000.0 AS duration_s,
+         CASE {lab} ELSE {sql_str(REQUEST_LABEL_TOP)} END AS label
   FROM ev
 )"""
 

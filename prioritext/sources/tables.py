@@ -36,6 +36,9 @@ EVENT_ENDPOINTS: tuple[tuple[str, str, str], ...] = (
     ("signup", "/health", "GET"),
 )
 OTHER_METHOD = "GET"
+# Predicted label of a request-log row, by k band: k < 35 normal, k < 75 atencao, else urgente.
+REQUEST_LABEL_BANDS: tuple[tuple[int, str], ...] = ((35, "normal"), (75, "atencao"))
+REQUEST_LABEL_TOP = "urgente"
 # Route table of the page binding: first path segment -> route template.
 PAGE_ROUTES: tuple[tuple[str, str], ...] = (("en", "/en"), ("fr", "/fr"), ("de", "/de"))
 # ------------------------------------------------------------ end fixed values
@@ -106,9 +109,17 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("user_id") % 2 == 0, F.lit("base")).otherwise(F.lit("new")).alias("backend"),
         F.col("value").alias("duration_ms"),
         (F.col("value") / 1000.0).alias("duration_s"),
+        request_label(k).alias("label"),
     )
 
 
+def request_label(k: F.Column) -> F.Column:
+    out = F.lit(REQUEST_LABEL_TOP)
+    for bound, name in reversed(REQUEST_LABEL_BANDS):
+        out = F.when(k < bound, F.lit(name)).otherwise(out)
+    return out
+
+
 def route_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(PAGE_ROUTES), "segment STRING, route STRING")
 
