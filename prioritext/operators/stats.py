@@ -50,7 +50,7 @@ def latency_summary(
     else:
         counted = log.filter(v.isNotNull()).groupBy(*keys, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
         quant = counted.groupBy(*keys).agg(F.percentile(F.col("_v"), qs, F.col("_c")).alias("_q"))
-    out = base.join(quant, keys, "left") if keys else _merge_single_rows(base, quant)
+    out = base.join(quant, keys, "left") if keys else merge_one_row(base, quant)
     cols = [F.col(k) for k in keys] + [
         F.col("n").cast("bigint").alias("n"),
         "mean",
@@ -68,7 +68,7 @@ def latency_summary(
     return out.select(*cols)
 
 
-def _merge_single_rows(a: DataFrame, b: DataFrame) -> DataFrame:
+def merge_one_row(a: DataFrame, b: DataFrame) -> DataFrame:
     """Merge two one-row aggregates by a union and a two-row aggregate (no join)."""
     a_cols = [c for c in a.columns]
     b_cols = [c for c in b.columns]

@@ -444,3 +444,28 @@ def oracle_sql() -> dict[str, str]:
 
 
 _ = (LATIN_FOLD, band_sql)  # shared helpers re-exported for tests
+
+
+def _linear_sql() -> str:
+    from prioritext.plans.model_queries import LINEAR_INTERCEPTS
+
+    rows = [f"({sql_str(t)}, 0.0, 0.0, 1.0)" for t in STANDIN_RAISING]
+    rows += [f"({sql_str(t)}, 0.0, 1.0, 0.0)" for t in STANDIN_LOWERING]
+    (c0, b0), (c1, b1), (c2, b2) = LINEAR_INTERCEPTS
+    return f"""WITH t AS (SELECT doc_id, {TOKENS_SQL.format(t='text')} AS g FROM documents),
+dt AS (SELECT doc_id, term, count(*) AS c FROM (SELECT doc_id, unnest(g) AS term FROM t) GROUP BY ALL),
+coef AS (SELECT * FROM (VALUES {', '.join(rows)}) AS coef(term, w0, w1, w2)),
+z AS (SELECT doc_id, sum(c * w0) AS z0, sum(c * w1) AS z1, sum(c * w2) AS z2 FROM dt JOIN coef USING (term) GROUP BY doc_id),
+base AS (
+  SELECT d.doc_id, coalesce(z.z0, 0.0) + {b0!r} AS a, coalesce(z.z1, 0.0) + {b1!r} AS b, coalesce(z.z2, 0.0) + {b2!r} AS c
+  FROM documents d LEFT JOIN z ON z.doc_id = d.doc_id
+),
+e AS (SELECT doc_id, exp(a - greatest(a, b, c)) AS ea, exp(b - greatest(a, b, c)) AS eb, exp(c - greatest(a, b, c)) AS ec FROM base),
+p AS (SELECT doc_id, ea / (ea + eb + ec) AS pa, eb / (ea + eb + ec) AS pb, ec / (ea + eb + ec) AS pc FROM e)
+SELECT doc_id,
+       CASE WHEN pc > greatest(pa, pb) THEN {sql_str(c2)} WHEN pb > pa THEN {sql_str(c1)} ELSE {sql_str(c0)} END AS label,
+       round(pa, 6) AS p_{c0}, round(pb, 6) AS p_{c1}, round(pc, 6) AS p_{c2}
+FROM p"""
+
+
+SQL["linear_score"] = _linear_sql()

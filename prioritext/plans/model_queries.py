@@ -1 +1,206 @@
-"""Registered model queries (training, both scoring paths, exported tables)."""
+"""Registered model queries: training + evaluation, both scoring paths, their
+agreement, exported tables, publish check, int8 tables, and linear scoring
+with a fixed coefficient table.
+
+A fitted model is memoised per (application, sf_dir, target) so the queries
+of one session share one training run (the model is "loaded once").
+"""
+
+from __future__ import annotations
+
+import time
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from prioritext.constants import DEFAULT_SEED, LABELS_SORTED
+from prioritext.operators import evaluate as ev
+from prioritext.operators import features as fe
+from prioritext.operators import model as M
+from prioritext.operators import sampling as sp
+from prioritext.operators.stats import merge_one_row
+from prioritext.plans.catalog import labelled, r6, register
+from prioritext.session import scratch_path
+from prioritext.sources import files as fs
+from prioritext.sources import tables as tb
+
+_MODELS: dict[tuple, tuple] = {}
+
+ARTIFACTS = ("model", "vocab", "coef", "intercept", "metadata", "metrics", "confusion")
+
+
+def split_labelled(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The labelled corpus re-split 80 / 20 by the exact stratified split."""
+    lab = labelled(spark, sf).select("id", "text", "label")
+    folded = sp.stratified_split(lab, "label", "id", 0.2, DEFAULT_SEED, "fold").cache()
+    return folded.filter(F.col("fold") == "train").drop("fold"), folded.filter(F.col("fold") == "test").drop("fold")
+
+
+def trained(spark: SparkSession, sf: str) -> tuple[M.TrainedModel, DataFrame, DataFrame, float]:
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"), "label")
+    if key not in _MODELS:
+        train_df, test_df = split_labelled(spark, sf)
+        t0 = time.time()
+        tm = M.train(train_df, M.TrainConfig(id_col="id", text_col="text", label_col="label"))
+        tm.vocab = tm.vocab.cache()
+        _MODELS[key] = (tm, train_df, test_df, time.time() - t0)
+    return _MODELS[key]
+
+
+def evaluation(tm: M.TrainedModel, test_df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    scored = M.score_batch(tm, test_df, "id", "text")
+    pairs = scored.select("id", F.col("label").alias("y_pred")).join(
+        test_df.select("id", F.col("label").alias("y_true")), "id", "inner"
+    )
+    conf = ev.confusion(pairs, "y_true", "y_pred", LABELS_SORTED)
+    per = ev.per_class_metrics(conf)
+    return conf, per, ev.eval_summary(per)
+
+
+def metrics_record(tm: M.TrainedModel, summary: DataFrame, gate: DataFrame, iterations: int) -> DataFrame:
+    """One-row metrics record (summary + gate verdict), merged without a join."""
+    rec = merge_one_row(summary, ev.gate_passed(gate))
+    return rec.select(
+        r6("macro_f1").alias("macro_f1"),
+        r6("accuracy").alias("accuracy"),
+        r6("recall_urgente").alias("recall_urgente"),
+        "n_samples",
+        "gate_passed",
+        "gate_failures",
+        F.lit(tm.trained_at).alias("trained_at"),
+        F.lit(DEFAULT_SEED).cast("bigint").alias("seed"),
+        F.lit(iterations).cast("bigint").alias("iterations"),
+    )
+
+
+@register("train_eval")
+def q_train_eval(spark: SparkSession, sf: str) -> DataFrame:
+    tm, _, test_df, _ = trained(spark, sf)
+    _, _, summary = evaluation(tm, test_df)
+    gate = ev.quality_gate(summary)
+    iters = tm.pipeline.stages[-1].summary.totalIterations
+    return metrics_record(tm, summary, gate, iters)
+
+
+@register("score_batch")
+def q_score_batch(spark: SparkSession, sf: str) -> DataFrame:
+    tm, _, test_df, _ = trained(spark, sf)
+    return M.score_batch(tm, test_df, "id", "text")
+
+
+def _tables_scores(tm: M.TrainedModel, docs: DataFrame, coef: DataFrame | None = None, backend: str = "tables") -> DataFrame:
+    tabs = M.export_tables(tm)
+    w = M.weights_for(docs, tabs["vocab"], "id", "text")
+    return M.score_tables(docs, w, coef if coef is not None else tabs["coef"], M.intercept_list(tabs["intercept"]), "id", backend)
+
+
+@register("score_tables")
+def q_score_tables(spark: SparkSession, sf: str) -> DataFrame:
+    tm, _, test_df, _ = trained(spark, sf)
+    return _tables_scores(tm, test_df)
+
+
+@register("backend_equivalence")
+def q_backend_equivalence(spark: SparkSession, sf: str) -> DataFrame:
+    tm, _, test_df, _ = trained(spark, sf)
+    a = M.score_batch(tm, test_df, "id", "text")
+    b = _tables_scores(tm, test_df)
+    return ev.equivalence(a, b, "id", "label")
+
+
+def publish(spark: SparkSession, tm: M.TrainedModel, conf: DataFrame, metrics: DataFrame, base: str) -> dict[str, str]:
+    tm.pipeline.write().overwrite().save(f"{base}/model")
+    tabs = M.export_tables(tm)
+    tabs["metrics"] = metrics
+    tabs["confusion"] = conf
+    return fs.save_tables(tabs, base)
+
+
+@register("model_tables")
+def q_model_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Exported tables written and read back: class order, intercepts, model version."""
+    tm, _, _, _ = trained(spark, sf)
+    base = scratch_path(spark, f"model-{uuid.uuid4().hex}")
+    fs.save_tables(M.export_tables(tm), base)
+    back = fs.load_tables(spark, base, ["intercept", "metadata", "coef", "vocab"])
+    meta = back["metadata"].first()  # one row
+    shape = back["coef"].agg(F.count(F.lit(1)).alias("n"), F.max(F.size("weights")).alias("k")).first()
+    return back["intercept"].select(
+        "class",
+        "class_idx",
+        "value",
+        F.lit(meta["trained_at"] or "unknown").alias("model_version"),
+        F.lit(meta["n_docs"]).cast("bigint").alias("n_docs"),
+        F.lit(shape["n"]).cast("bigint").alias("n_coef_rows"),
+        F.lit(shape["k"]).cast("int").alias("n_classes"),
+    ).orderBy("class_idx")
+
+
+@register("missing_artifacts")
+def q_missing_artifacts(spark: SparkSession, sf: str) -> DataFrame:
+    tm, _, test_df, _ = trained(spark, sf)
+    conf, _, summary = evaluation(tm, test_df)
+    gate = ev.quality_gate(summary)
+    metrics = metrics_record(tm, summary, gate, tm.pipeline.stages[-1].summary.totalIterations)
+    base = scratch_path(spark, f"publish-{uuid.uuid4().hex}")
+    publish(spark, tm, conf, metrics, base)
+    expected = spark.createDataFrame([(a,) for a in ARTIFACTS], "artifact STRING")
+    return fs.missing_artifacts(expected, fs.artifact_manifest(spark, base, ARTIFACTS))
+
+
+@register("quantized_equivalence")
+def q_quantized_equivalence(spark: SparkSession, sf: str) -> DataFrame:
+    """Int8 coefficient table scored through the table path and compared
+    with the full-precision table path; whole-job p50 timings of both."""
+    tm, _, test_df, _ = trained(spark, sf)
+    tabs = M.export_tables(tm)
+    coef = tabs["coef"].cache()
+    q8 = M.quantize_tables(coef).cache()
+    full = _tables_scores(tm, test_df, coef, "tables").cache()
+    small = _tables_scores(tm, test_df, q8, "tables_int8").cache()
+    full.count()
+    small.count()
+    times: dict[str, list[float]] = {"tables": [], "tables_int8": []}
+    for _ in range(3):
+        for name, c in (("tables", coef), ("tables_int8", q8)):
+            t0 = time.perf_counter()
+            _tables_scores(tm, test_df, c, name).write.format("noop").mode("overwrite").save()
+            times[name].append(time.perf_counter() - t0)
+    med = {k: sorted(v)[len(v) // 2] for k, v in times.items()}
+    equiv = ev.equivalence(full, small, "id", "label")
+    n = test_df.count()
+    return M.keep_if_better(equiv, med["tables"], med["tables_int8"], 20, n)
+
+
+@register("linear_score")
+def q_linear_score(spark: SparkSession, sf: str) -> DataFrame:
+    """Table-path scoring with a fixed coefficient table (the stand-in lexicon:
+    raising terms vote ``urgente``, lowering terms ``normal``) over raw term counts."""
+    docs = tb.read_table(spark, sf, "documents").select("doc_id", "text")
+    coef = linear_coef(spark)
+    dt = fe.doc_term_counts(docs, "doc_id", "text")
+    weights = dt.join(F.broadcast(coef.select("term", "idx")), "term", "inner").select(
+        "doc_id", "idx", F.col("c").cast("double").alias("weight")
+    )
+    scored = M.score_tables(docs, weights, coef.select("idx", "weights"), LINEAR_INTERCEPTS, "doc_id", "linear")
+    return scored.select(
+        "doc_id",
+        "label",
+        *[r6(F.col("scores")[c]).alias(f"p_{c}") for c, _ in LINEAR_INTERCEPTS],
+    )
+
+
+# ---------------------------------------------------------------- fixed values
+# Intercepts (class order) of the fixed linear scorer.
+LINEAR_INTERCEPTS: list[tuple[str, float]] = [("atencao", 0.5), ("normal", 0.0), ("urgente", 0.0)]
+# ------------------------------------------------------------ end fixed values
+
+
+def linear_coef(spark: SparkSession) -> DataFrame:
+    rows = []
+    for i, t in enumerate(tb.STANDIN_RAISING):
+        rows.append((t, i, [0.0, 0.0, 1.0]))
+    for j, t in enumerate(tb.STANDIN_LOWERING):
+        rows.append((t, len(tb.STANDIN_RAISING) + j, [0.0, 1.0, 0.0]))
+    return spark.createDataFrame(rows, "term STRING, idx INT, weights ARRAY<DOUBLE>")

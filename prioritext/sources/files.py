@@ -128,7 +128,12 @@ def load_tables(spark: SparkSession, base: str, names: Sequence[str]) -> dict[st
 
 def artifact_manifest(spark: SparkSession, base: str, names: Sequence[str]) -> DataFrame:
     """``(artifact, present)`` for each expected artefact folder (one metadata probe each)."""
-    rows = [(n, _exists(spark, f"{base.rstrip('/')}/{n}/_SUCCESS")) for n in names]
+    def present(n: str) -> bool:
+        root = f"{base.rstrip('/')}/{n}"
+        # a table folder carries _SUCCESS; a saved ML pipeline carries metadata/
+        return _exists(spark, f"{root}/_SUCCESS") or _exists(spark, f"{root}/metadata/_SUCCESS")
+
+    rows = [(n, present(n)) for n in names]
     return spark.createDataFrame(rows, "artifact STRING, present BOOLEAN")
 
 
