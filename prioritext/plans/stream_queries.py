@@ -1 +1,61 @@
-"""Registered streaming queries."""
+"""Registered streaming queries (rows-only checks; the batch twins carry the
+oracle).  Each runs a Structured Streaming query over the whole input table
+with ``trigger(availableNow=True)`` and returns its sink read back."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from prioritext.plans.catalog import register
+from prioritext.plans.model_queries import trained
+from prioritext.session import scratch_path
+from prioritext.sources import files as fs
+from prioritext.sources import tables as tb
+from prioritext.streaming import jobs
+
+EVENTS_SCHEMA = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("props", T.StringType()),
+    ]
+)
+
+
+def _run(query) -> None:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
+@register("stream_score")
+def q_stream_score(spark: SparkSession, sf: str) -> DataFrame:
+    tm, _, _, _ = trained(spark, sf)
+    base = scratch_path(spark, f"stream-score-{uuid.uuid4().hex}")
+    src = jobs.read_stream_parquet(spark, tb.table_path(sf, "documents"), fs.DOCUMENTS_SCHEMA)
+    _run(jobs.stream_score(src, tm, f"{base}/out", f"{base}/ckpt", "doc_id", "text", available_now=True))
+    return spark.read.parquet(f"{base}/out")
+
+
+@register("stream_quarantine")
+def q_stream_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    tm, _, _, _ = trained(spark, sf)
+    base = scratch_path(spark, f"stream-quarantine-{uuid.uuid4().hex}")
+    src = jobs.read_stream_parquet(spark, tb.table_path(sf, "documents"), fs.DOCUMENTS_SCHEMA)
+    _run(jobs.stream_score_quarantine(src, tm, f"{base}/out", f"{base}/ckpt", "doc_id", "text", available_now=True))
+    return spark.read.parquet(f"{base}/out/quarantine")
+
+
+@register("stream_metrics")
+def q_stream_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    base = scratch_path(spark, f"stream-metrics-{uuid.uuid4().hex}")
+    src = jobs.read_stream_parquet(spark, tb.table_path(sf, "events"), EVENTS_SCHEMA)
+    log = tb.request_log_of(jobs.as_event_time(src))
+    _run(jobs.stream_metrics(log, f"{base}/out", f"{base}/ckpt", available_now=True))
+    return spark.read.parquet(f"{base}/out")

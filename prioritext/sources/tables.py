@@ -88,7 +88,11 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     (< 90 -> 200, < 97 -> 422, else 500); an even event id with status 500
     is an unhandled exception; backend from the user id parity.
     """
-    ev = read_table(spark, sf_dir, "events")
+    return request_log_of(read_table(spark, sf_dir, "events"))
+
+
+def request_log_of(ev: DataFrame) -> DataFrame:
+    """The request-log binding applied to an events DataFrame (batch or stream)."""
     k = F.regexp_extract(F.col("props"), r"(\d+)", 1).try_cast("int")
     endpoint = F.lit("unmatched")
     method = F.lit(OTHER_METHOD)
