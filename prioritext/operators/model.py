@@ -14,6 +14,7 @@ document, softmax by column expressions.  Both return the same contract
 from __future__ import annotations
 
 import datetime as _dt
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -88,6 +89,17 @@ def _feature_stages(vocab_terms: list[str], idf: list[float], text_col: str) ->
     return [grams, cv, scale, norm]
 
 
+# Rows per optimiser partition: every L-BFGS iteration is one treeAggregate of
+# a k x d gradient per partition, so tiny partitions only add per-task cost.
+ROWS_PER_TRAIN_PARTITION = 20000
+
+
+def training_partitions(spark, n_rows: int) -> int:
+    """Partitions of the optimiser input: enough for the data, no more."""
+    cap = max(1, spark.sparkContext.defaultParallelism)
+    return max(1, min(cap * 4, math.ceil(n_rows / ROWS_PER_TRAIN_PARTITION)))
+
+
 def train(df: DataFrame, cfg: TrainConfig | None = None) -> TrainedModel:
     """Fit vocabulary, IDF and the classifier on ``df`` (text + label).
 
@@ -135,7 +147,7 @@ def train(df: DataFrame, cfg: TrainConfig | None = None) -> TrainedModel:
     )
     stages = _feature_stages(terms, idf, cfg.text_col)
     pipe = Pipeline(stages=stages + [lr])
-    parts = cfg.num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = cfg.num_partitions or training_partitions(df.sparkSession, n)
     train_df = prepared.repartition(parts, F.col(cfg.id_col)).sortWithinPartitions(cfg.id_col)
     model = pipe.fit(train_df)
     trained_at = _dt.datetime.now(_dt.timezone.utc).replace(microsecond=0).isoformat()

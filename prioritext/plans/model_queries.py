@@ -204,3 +204,13 @@ def linear_coef(spark: SparkSession) -> DataFrame:
     for j, t in enumerate(tb.STANDIN_LOWERING):
         rows.append((t, len(tb.STANDIN_RAISING) + j, [0.0, 1.0, 0.0]))
     return spark.createDataFrame(rows, "term STRING, idx INT, weights ARRAY<DOUBLE>")
+
+
+@register("pipeline_run")
+def q_pipeline_run(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole job (land -> build -> train -> gate -> publish); its run manifest."""
+    from prioritext.plans.pipeline import PipelineConfig, run_pipeline
+
+    base = scratch_path(spark, f"pipeline-{uuid.uuid4().hex}")
+    cfg = PipelineConfig(base, tb.STANDIN_RAISING, tb.STANDIN_LOWERING)
+    return run_pipeline(spark, tb.labelled_text_input(spark, sf), tb.category_dimension(spark), cfg)

@@ -1,0 +1,118 @@
+"""The end-to-end job: land -> build -> train -> evaluate/gate -> publish.
+
+Strictly linear; a failed gate or a missing artefact stops before (or at)
+publish.  Each stage reads what the previous one wrote, so a lost executor
+only recomputes from the last written table, never from the raw input.
+Scheduling (cron, retries) is left to the user's scheduler.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from prioritext.constants import (
+    DEFAULT_SEED,
+    GATE_MACRO_F1_MIN,
+    GATE_RECALL_URGENT_MIN,
+    LABELLED_COLUMNS,
+    LABELS_SORTED,
+    TEST_SIZE,
+)
+from prioritext.operators import evaluate as ev
+from prioritext.operators import labeling as lb
+from prioritext.operators import model as M
+from prioritext.operators import sampling as sp
+from prioritext.operators.stats import merge_one_row
+from prioritext.sources import files as fs
+
+ARTIFACTS = ("model", "vocab", "coef", "intercept", "metadata", "metrics", "confusion")
+
+MANIFEST_SCHEMA = "stage STRING, status STRING, rows BIGINT, detail STRING"
+
+
+@dataclass
+class PipelineConfig:
+    out_dir: str
+    raw_lexicon_raising: tuple[str, ...]
+    raw_lexicon_lowering: tuple[str, ...]
+    seed: int = DEFAULT_SEED
+    test_size: float = TEST_SIZE
+    force_land: bool = False
+    macro_f1_min: float = GATE_MACRO_F1_MIN
+    recall_urgente_min: float = GATE_RECALL_URGENT_MIN
+    train: M.TrainConfig | None = None
+
+
+def run_pipeline(spark: SparkSession, raw_docs: DataFrame, categories: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """Run every stage; return the run manifest ``(stage, status, rows, detail)``.
+
+    ``raw_docs`` needs ``doc_id, text, condition_label, split``.
+    """
+    out = cfg.out_dir.rstrip("/")
+    manifest: list[tuple[str, str, int | None, str]] = []
+
+    # land: keep an existing landing unless forced
+    landed_path = fs.land(raw_docs, f"{out}/landed", force=cfg.force_land)
+    landed = spark.read.parquet(landed_path)
+    manifest.append(("land", "ok", landed.count(), landed_path))
+
+    # build: score, train-only thresholds, labels, ids; partitioned by split
+    labelled, (low, high) = lb.label_documents(
+        landed, categories, cfg.raw_lexicon_raising, cfg.raw_lexicon_lowering
+    )
+    processed = f"{out}/processed"
+    labelled.select(*LABELLED_COLUMNS).write.mode("overwrite").partitionBy("split").parquet(processed)
+    th = spark.createDataFrame([(low, high)], "low DOUBLE, high DOUBLE").select(
+        "low", "high", F.lit(0.35).alias("q_low"), F.lit(0.75).alias("q_high")
+    )
+    fs.save_thresholds(th, f"{out}/thresholds", seed=cfg.seed)
+    built = spark.read.parquet(processed)
+    manifest.append(("build", "ok", built.count(), f"low={low} high={high}"))
+
+    # train: fresh stratified split of the whole processed table
+    table = built.select("id", "text", "label")
+    folded = sp.stratified_split(table, "label", "id", cfg.test_size, cfg.seed, "fold")
+    folds = f"{out}/folds"
+    folded.write.mode("overwrite").parquet(folds)
+    folded = spark.read.parquet(folds)
+    train_df = folded.filter(F.col("fold") == "train").drop("fold")
+    test_df = folded.filter(F.col("fold") == "test").drop("fold")
+    tcfg = cfg.train or M.TrainConfig(id_col="id", text_col="text", label_col="label")
+    tm = M.train(train_df, tcfg)
+    manifest.append(("train", "ok", tm.n_docs, f"iterations={tm.pipeline.stages[-1].summary.totalIterations}"))
+
+    # evaluate + gate
+    scored = M.score_batch(tm, test_df, "id", "text")
+    pairs = scored.select("id", F.col("label").alias("y_pred")).join(
+        test_df.select("id", F.col("label").alias("y_true")), "id"
+    )
+    conf = ev.confusion(pairs, "y_true", "y_pred", LABELS_SORTED)
+    summary = ev.eval_summary(ev.per_class_metrics(conf))
+    gate = ev.quality_gate(summary, cfg.macro_f1_min, cfg.recall_urgente_min)
+    verdict = ev.gate_passed(gate).first()  # one row
+    metrics = merge_one_row(summary, ev.gate_passed(gate)).withColumn("trained_at", F.lit(tm.trained_at))
+    srow = summary.first()
+    detail = f"macro_f1={srow['macro_f1']:.4f} recall_urgente={srow['recall_urgente']:.4f}"
+    if not verdict["gate_passed"]:
+        manifest.append(("evaluate", "failed", srow["n_samples"], "; ".join(verdict["gate_failures"])))
+        manifest.append(("publish", "skipped", None, "quality gate failed"))
+        return spark.createDataFrame(manifest, MANIFEST_SCHEMA)
+    manifest.append(("evaluate", "ok", srow["n_samples"], detail))
+
+    # publish: artefacts, then the manifest check
+    models = f"{out}/models"
+    tm.pipeline.write().overwrite().save(f"{models}/model")
+    tabs = M.export_tables(tm)
+    tabs["metrics"] = metrics
+    tabs["confusion"] = conf
+    fs.save_tables(tabs, models)
+    expected = spark.createDataFrame([(a,) for a in ARTIFACTS], "artifact STRING")
+    missing = [r["artifact"] for r in fs.missing_artifacts(expected, fs.artifact_manifest(spark, models, ARTIFACTS)).collect()]
+    if missing:
+        manifest.append(("publish", "failed", None, f"missing artefacts: {sorted(missing)}"))
+    else:
+        manifest.append(("publish", "ok", len(ARTIFACTS), models))
+    return spark.createDataFrame(manifest, MANIFEST_SCHEMA)
