@@ -105,18 +105,21 @@ def tokens(normalized: str | Column) -> Column:
     return F.regexp_extract_all(_col(normalized), F.lit(TOKEN_PATTERN), 0)
 
 
+# Bigram rule over the space-joined tokens: at every token start, capture the
+# token and its successor (tokens never hold a space).
+BIGRAM_PATTERN = r"(?<=^| )(?=(\S+ \S+))"
+
+
 def ngrams(toks: str | Column) -> Column:
     """Unigrams followed by bigrams (joined by one space), in text order.
 
-    Guarded by the array size: ``slice`` with a negative length fails, and
-    a one-token text has no bigram.
+    Bigrams come from one regex pass over the space-joined tokens (a native,
+    codegen expression) instead of per-element lambdas; a text with fewer
+    than two tokens has no bigram.
     """
     t = _col(toks)
-    n = F.size(t)
-    bigrams = F.zip_with(
-        F.slice(t, 1, n - 1), F.slice(t, 2, n - 1), lambda a, b: F.concat(a, F.lit(" "), b)
-    )
-    return F.when(n >= 2, F.concat(t, bigrams)).otherwise(t)
+    bigrams = F.regexp_extract_all(F.array_join(t, " "), F.lit(BIGRAM_PATTERN), 1)
+    return F.concat(t, bigrams)
 
 
 def non_ascii(text: str | Column) -> Column:

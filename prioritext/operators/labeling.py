@@ -74,13 +74,17 @@ def score_documents(
     text_col: str = "text",
     name_col: str = "condition_name",
     prior_col: str = "prior",
+    check: bool = True,
 ) -> DataFrame:
     """Left join to the (checked, broadcast) dimension, then the lexicon score."""
     require_columns(categories, [key_col, name_col], "category dimension")
     require_columns(docs, [key_col, text_col], "documents")
-    assert_unique_key(categories, key_col, "category dimension")
     dim_cols = [key_col, name_col] + ([prior_col] if prior_col in categories.columns else [])
-    dim = checked_broadcast(categories.select(*dim_cols))
+    if check:
+        assert_unique_key(categories, key_col, "category dimension")
+        dim = checked_broadcast(categories.select(*dim_cols))
+    else:
+        dim = F.broadcast(categories.select(*dim_cols))  # checked by the first call
     joined = docs.join(dim, key_col, "left")
     prior = F.col(prior_col) if prior_col in categories.columns else F.lit(None).cast("double")
     return joined.withColumn(
@@ -111,10 +115,12 @@ def label_documents(
     require_columns(docs, [text_col, key_col, split_col, order_col], "documents")
     scored = score_documents(docs, categories, raising_terms, lowering_terms, key_col, text_col)
     if thresholds is None or check_unmatched:
+        is_train = F.col(split_col) == F.lit(train_value)
         stats = (
             scored.groupBy(
-                (F.col(split_col) == F.lit(train_value)).alias("_train"),
-                F.col("urgency_score").alias("_s"),
+                is_train.alias("_train"),
+                # only train rows are scored here (the regexes run lazily per row)
+                F.when(is_train, F.col("urgency_score")).alias("_s"),
                 F.when(F.col("condition_name").isNull(), F.col(key_col).cast("string")).alias("_bad"),
                 F.col("condition_name").isNull().alias("_unmatched"),
             )
@@ -143,8 +149,11 @@ def label_documents(
         finally:
             stats.unpersist()
     low, high = thresholds
+    # ids first: the range exchange then moves raw rows, its sampling pass runs
+    # no regex, and scoring runs after the exchange on balanced partitions
+    with_ids = dense_ids(docs, split_col, order_col, "id")
+    scored = score_documents(with_ids, categories, raising_terms, lowering_terms, key_col, text_col, check=False)
     labelled = scored.withColumn("label", map_band("urgency_score", float(low), float(high), VALID_LABELS))
-    labelled = dense_ids(labelled, split_col, order_col, "id")
     return labelled.select(*LABELLED_COLUMNS), (low, high)
 
 

@@ -33,7 +33,7 @@ from prioritext.constants import (
     MAX_ITER,
     MIN_DF,
 )
-from prioritext.functions.text import TOKEN_PATTERN, accent_table
+from prioritext.functions.text import BIGRAM_PATTERN, TOKEN_PATTERN, accent_table
 from prioritext.operators.common import EngineError
 from prioritext.operators.features import doc_term_counts, fit_vocabulary, tfidf_weights
 
@@ -74,11 +74,8 @@ def grams_sql(text_col: str = "text", out_col: str = "grams") -> str:
     src, dst = accent_table()
     norm = f"translate(lower({text_col}), {_sql_literal(src)}, {_sql_literal(dst)})"
     toks = f"regexp_extract_all({norm}, {_sql_literal(TOKEN_PATTERN)}, 0)"
-    return (
-        "SELECT *, CASE WHEN size(_t) >= 2 THEN concat(_t, zip_with(slice(_t, 1, size(_t) - 1), "
-        "slice(_t, 2, size(_t) - 1), (a, b) -> concat(a, ' ', b))) ELSE _t END AS "
-        f"{out_col} FROM (SELECT *, {toks} AS _t FROM __THIS__)"
-    )
+    bigrams = f"regexp_extract_all(array_join(_t, ' '), {_sql_literal(BIGRAM_PATTERN)}, 1)"
+    return f"SELECT *, concat(_t, {bigrams}) AS {out_col} FROM (SELECT *, {toks} AS _t FROM __THIS__)"
 
 
 def _feature_stages(vocab_terms: list[str], idf: list[float], text_col: str) -> list:
@@ -154,9 +151,20 @@ def train(df: DataFrame, cfg: TrainConfig | None = None) -> TrainedModel:
     return TrainedModel(model, classes, vocab, n, trained_at, cfg)
 
 
-def score_batch(tm: TrainedModel, df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Path 1: ``(id, label, scores, backend)``; scores keyed by class, sum to 1."""
-    out = tm.pipeline.transform(df.select(id_col, text_col))
+def score_batch(
+    tm: TrainedModel, df: DataFrame, id_col: str = "doc_id", text_col: str = "text", num_partitions: int | None = None
+) -> DataFrame:
+    """Path 1: ``(id, label, scores, backend)``; scores keyed by class, sum to 1.
+
+    Texts are hash-partitioned by id first: text cost varies a lot per row
+    (up to 20,000 words), so CPU work is spread evenly before tokenising.
+    """
+    if df.isStreaming:
+        src = df.select(id_col, text_col)
+    else:
+        n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        src = df.select(id_col, text_col).repartition(n, F.col(id_col))
+    out = tm.pipeline.transform(src)
     probs = vector_to_array(F.col("probability"))
     classes = F.array(*[F.lit(c) for c in tm.classes])
     return out.select(
