@@ -60,15 +60,13 @@ def main() -> None:
         return catalog.labelled(spark, sf)
 
     def q_tfidf():
-        dt = fe.doc_term_counts(docs, "doc_id", "text")
-        return fe.tfidf_weights(dt, vocab, "doc_id")
+        return fe.tfidf_for(docs, vocab, "doc_id", "text")
 
     def q_score_batch():
         return M.score_batch(tm, docs, "doc_id", "text")
 
     def q_score_tables():
-        w = M.weights_for(docs, vocab, "doc_id", "text")
-        return M.score_tables(docs, w, coef, intercepts, "doc_id", "tables")
+        return M.score_text(docs, vocab, coef, intercepts, "doc_id", "text", "tables")
 
     def q_hist():
         return rl.cumulative_histogram(tb.request_log(spark, sf), ["endpoint"], "duration_s")

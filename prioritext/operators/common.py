@@ -33,6 +33,16 @@ def require_columns(df: DataFrame, required: tuple[str, ...] | list[str], what:
         )
 
 
+def checked_dimension(df: DataFrame, key: str, what: str = "dimension", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """One job checks both the key uniqueness and the size bound of a
+    dimension; it comes back broadcast when within the bound."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.col(key)).alias("k"),
+                 F.count_if(F.col(key).isNull()).alias("z")).first()
+    if row["n"] != row["k"] + row["z"] or row["z"] > 1:
+        assert_unique_key(df, key, what)
+    return F.broadcast(df) if row["n"] <= max_rows else df
+
+
 def assert_unique_key(df: DataFrame, key: str, what: str = "dimension") -> None:
     """Fail when a dimension key repeats (it would fan fact rows out)."""
     dup = df.groupBy(key).count().filter(F.col("count") > 1).limit(5).collect()

@@ -34,13 +34,69 @@ def doc_term_counts(
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parted = df.select(id_col, text_col).repartition(n, F.col(id_col))
     return (
-        with_grams(parted, text_col)
-        .select(id_col, F.explode("grams").alias("term"))
+        explode_terms(with_grams(parted, text_col), id_col)
         .groupBy(id_col, "term")
         .agg(F.count(F.lit(1)).alias("c"))
     )
 
 
+def explode_terms(df: DataFrame, id_col: str) -> DataFrame:
+    """One row per n-gram.  ``explode_outer`` + a null filter on the generated
+    column: a plain ``explode`` makes Catalyst infer a non-empty-array filter
+    and push it below the repartition, which would tokenise every text twice."""
+    return df.select(id_col, F.explode_outer("grams").alias("term")).filter(F.col("term").isNotNull())
+
+
+def partition_docs(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", num_partitions: int | None = None
+) -> DataFrame:
+    """``(id, text)`` hash-partitioned by id: the one text shuffle of the feature jobs."""
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.select(id_col, text_col).repartition(n, F.col(id_col))
+
+
+def exploded_grams(
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    num_partitions: int | None = None,
+    partitioned: bool = False,
+) -> DataFrame:
+    """``(id, term)``, one row per n-gram occurrence, documents hash-partitioned by id."""
+    parted = df if partitioned else partition_docs(df, id_col, text_col, num_partitions)
+    return explode_terms(with_grams(parted, text_col), id_col)
+
+
+def doc_vocab_counts(
+    df: DataFrame,
+    vocab: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    num_partitions: int | None = None,
+    partitioned: bool = False,
+) -> DataFrame:
+    """``(id, idx, term, idf, c)``: counts of in-vocabulary n-grams only.
+
+    Every occurrence is looked up in the broadcast vocabulary (bounded by
+    ``max_features``) *before* aggregating, so out-of-vocabulary n-grams (most
+    bigrams) never reach the aggregation.  The ``(id, idx)`` aggregate reuses
+    the id partitioning: no exchange after the initial repartition.
+    """
+    v = F.broadcast(vocab.select("term", "idx", "idf"))
+    grams = exploded_grams(df, id_col, text_col, num_partitions, partitioned)
+    return grams.join(v, "term", "inner").groupBy(id_col, "idx", "term", "idf").agg(F.count(F.lit(1)).alias("c"))
+
+
+def tfidf_for(
+    df: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col: str = "text", num_partitions: int | None = None
+) -> DataFrame:
+    """``(id, idx, term, weight)`` of documents against a fitted vocabulary."""
+    counts = doc_vocab_counts(df, vocab, id_col, text_col, num_partitions)
+    w = F.col("c") * F.col("idf")
+    norm = F.sqrt(F.sum(w * w).over(Window.partitionBy(id_col)))
+    return counts.select(id_col, "idx", "term", (w / norm).alias("weight"))
+
+
 def fit_vocabulary(
     doc_terms: DataFrame,
     n_docs: int,

@@ -22,8 +22,8 @@ from prioritext.constants import HIGH_QUANTILE, LABELLED_COLUMNS, LOW_QUANTILE,
 from prioritext.functions.text import map_band, urgency_score
 from prioritext.operators.common import (
     EngineError,
-    assert_unique_key,
     checked_broadcast,
+    checked_dimension,
     require_columns,
 )
 from prioritext.operators.ids import dense_ids
@@ -81,8 +81,7 @@ def score_documents(
     require_columns(docs, [key_col, text_col], "documents")
     dim_cols = [key_col, name_col] + ([prior_col] if prior_col in categories.columns else [])
     if check:
-        assert_unique_key(categories, key_col, "category dimension")
-        dim = checked_broadcast(categories.select(*dim_cols))
+        dim = checked_dimension(categories.select(*dim_cols), key_col, "category dimension")
     else:
         dim = F.broadcast(categories.select(*dim_cols))  # checked by the first call
     joined = docs.join(dim, key_col, "left")

@@ -35,7 +35,7 @@ from prioritext.constants import (
 )
 from prioritext.functions.text import BIGRAM_PATTERN, TOKEN_PATTERN, accent_table
 from prioritext.operators.common import EngineError
-from prioritext.operators.features import doc_term_counts, fit_vocabulary, tfidf_weights
+from prioritext.operators.features import doc_term_counts, doc_vocab_counts, fit_vocabulary, partition_docs, tfidf_for
 
 # sklearn's documented lbfgs stopping tolerance (public default).
 LBFGS_TOL = 1e-4
@@ -250,7 +250,44 @@ def intercept_list(intercept: DataFrame) -> list[tuple[str, float]]:
 
 def weights_for(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col: str = "text", num_partitions: int | None = None) -> DataFrame:
     """TF-IDF weights of new documents against a fitted vocabulary."""
-    return tfidf_weights(doc_term_counts(docs, id_col, text_col, num_partitions), vocab, id_col)
+    return tfidf_for(docs, vocab, id_col, text_col, num_partitions)
+
+
+def score_text(
+    docs: DataFrame,
+    vocab: DataFrame,
+    coef: DataFrame,
+    intercept_rows: Sequence[tuple[str, float]],
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    backend: str = "tables",
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Path 2 fused from text: in-vocabulary counts -> two per-document sums.
+
+    With ``u_t = c_t * idf_t`` the L2-normalised logit is
+    ``z_c = sum_t u_t * w_tc / sqrt(sum_t u_t^2) + b_c``, so one aggregate per
+    document gives every logit and the norm together; no weights table, no
+    window.  The vocabulary and coefficients travel as one broadcast table
+    (bounded by ``max_features``), and every aggregate reuses the id
+    partitioning of the documents.
+    """
+    classes = [c for c, _ in intercept_rows]
+    k = len(classes)
+    parted = partition_docs(docs, id_col, text_col, num_partitions)
+    counts = doc_vocab_counts(parted, vocab, id_col, text_col, partitioned=True)
+    counts = counts.join(F.broadcast(coef.select("idx", "weights")), "idx", "inner")  # bounded by the vocabulary
+    u = F.col("c") * F.col("idf")
+    sums = counts.groupBy(id_col).agg(
+        F.sum(u * u).alias("_ss"), *[F.sum(u * F.col("weights")[i]).alias(f"_s{i}") for i in range(k)]
+    )
+    base = parted.select(id_col).join(sums, id_col, "left")
+    logits = [
+        F.coalesce(F.col(f"_s{i}") / F.sqrt(F.col("_ss")), F.lit(0.0)) + F.lit(float(b))
+        for i, (_, b) in enumerate(intercept_rows)
+    ]
+    label, scores = softmax_label(logits, classes)
+    return base.select(id_col, label.alias("label"), scores.alias("scores"), F.lit(backend).alias("backend"))
 
 
 def quantize_tables(coef: DataFrame) -> DataFrame:

@@ -446,9 +446,10 @@ def q_idf(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("tfidf_weights")
 def q_tfidf_weights(spark: SparkSession, sf: str) -> DataFrame:
-    dt_all, dt_train, n = _train_docs(spark, sf)
+    _, dt_train, n = _train_docs(spark, sf)
     vocab = fe.fit_vocabulary(dt_train, n)
-    w = fe.tfidf_weights(dt_all, vocab, "doc_id")
+    docs = tb.read_table(spark, sf, "documents").select("doc_id", "text")
+    w = fe.tfidf_for(docs, vocab, "doc_id", "text")
     return w.select("doc_id", "term", r6("weight").alias("weight"))
 
 

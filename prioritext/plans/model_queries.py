@@ -91,8 +91,8 @@ def q_score_batch(spark: SparkSession, sf: str) -> DataFrame:
 
 def _tables_scores(tm: M.TrainedModel, docs: DataFrame, coef: DataFrame | None = None, backend: str = "tables") -> DataFrame:
     tabs = M.export_tables(tm)
-    w = M.weights_for(docs, tabs["vocab"], "id", "text")
-    return M.score_tables(docs, w, coef if coef is not None else tabs["coef"], M.intercept_list(tabs["intercept"]), "id", backend)
+    c = coef if coef is not None else tabs["coef"]
+    return M.score_text(docs, tabs["vocab"], c, M.intercept_list(tabs["intercept"]), "id", "text", backend)
 
 
 @register("score_tables")
