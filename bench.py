@@ -102,6 +102,18 @@ def main() -> None:
         "cpus": int(cpus),
         "runs": RUNS,
     }
+    sink = os.environ.get("BENCH_RESULTS_DIR")
+    if sink:
+        from datetime import datetime, timezone
+
+        from prioritext.sources.files import append_bench_results
+
+        at = datetime.now(timezone.utc).isoformat(timespec="seconds")
+        append_bench_results(
+            spark,
+            [(at, out["sf"], k, medians[k], v["rows"], v["per_sec"], v["unit"]) for k, v in throughput.items()],
+            sink,
+        )
     print(json.dumps(out))
     spark.stop()
 

@@ -10,6 +10,7 @@ import unicodedata
 from collections.abc import Iterable, Sequence
 from functools import lru_cache
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -166,3 +167,29 @@ def presence_score(
 def word_count(text: str | Column) -> Column:
     """Words = runs of characters other than space, tab, CR, LF."""
     return F.regexp_count(_col(text), F.lit(r"[^ \t\n\r]+"))
+
+
+def normalize_text_unicode(text: str | Column) -> Column:
+    """Opt-in full Unicode accent stripping (NFKD, combining marks dropped)
+    for scripts outside the Latin table, as an Arrow-batched pandas UDF.
+
+    ``normalize_text`` (native ``translate``) is the default and equals this
+    on Latin text; use this one only where other scripts carry accents.
+    """
+    return _unicode_strip_udf()(F.lower(_col(text)))
+
+
+@lru_cache(maxsize=1)
+def _unicode_strip_udf():
+    from pyspark.sql.functions import pandas_udf
+
+    @pandas_udf("string")
+    def strip(s: pd.Series) -> pd.Series:
+        def one(x):
+            if x is None:
+                return None
+            return "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c))
+
+        return s.map(one)
+
+    return strip

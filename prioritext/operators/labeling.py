@@ -1,18 +1,19 @@
 """Lexicon scoring, train-only quantile thresholds and three-class labels.
 
-Plan shape of :func:`label_documents` (two actions):
-
-1. one aggregate job: scan -> broadcast dimension join -> score -> partial
-   ``groupBy(is_train, score, unmatched_key).count()``.  Its output has one
-   row per distinct score, so the exact quantiles and the unmatched-key
-   audit are computed on a tiny table, and only two doubles reach the
-   driver;
-2. one lazy plan: scan -> broadcast join -> score -> band by literal
-   thresholds -> dense ids (one range shuffle) -> fixed column order.
+Plan shape of :func:`label_documents`:
+
+1. scan -> broadcast dimension join -> lexicon score (the only regex pass)
+   -> narrow rows written to the checkpoint folder (map-only);
+2. exact quantiles over the checkpointed train scores (``groupBy(score)``
+   pre-aggregate, two doubles to the driver) and the unmatched-key audit;
+3. one lazy plan: dense ids on the narrow table (range shuffle of narrow
+   rows), texts joined back by (split, order) -> band by literal thresholds
+   -> fixed column order.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -25,8 +26,10 @@ from prioritext.operators.common import (
     checked_broadcast,
     checked_dimension,
     require_columns,
+    spread,
 )
 from prioritext.operators.ids import dense_ids
+from prioritext.session import scratch_path
 
 
 def fit_thresholds(
@@ -110,49 +113,46 @@ def label_documents(
 
     Returns ``(labelled, (low, high))``.  Unmatched dimension keys raise,
     listing them sorted (null keys never match in Spark and are reported).
+
+    The lexicon regexes run once per text: the scores go to a narrow table
+    ``(split, order, key, name, score)`` written as a table in the cluster's
+    checkpoint folder (map-only; it also cuts the lineage).  Dense ids are
+    given on that narrow table (a range shuffle of narrow rows, not of texts).  Thresholds and
+    the unmatched-key audit read that table; the texts are joined back by
+    ``(split, order)`` once at the end.  ``order_col`` must be unique per split.
     """
     require_columns(docs, [text_col, key_col, split_col, order_col], "documents")
-    scored = score_documents(docs, categories, raising_terms, lowering_terms, key_col, text_col)
-    if thresholds is None or check_unmatched:
-        is_train = F.col(split_col) == F.lit(train_value)
-        stats = (
-            scored.groupBy(
-                is_train.alias("_train"),
-                # only train rows are scored here (the regexes run lazily per row)
-                F.when(is_train, F.col("urgency_score")).alias("_s"),
-                F.when(F.col("condition_name").isNull(), F.col(key_col).cast("string")).alias("_bad"),
-                F.col("condition_name").isNull().alias("_unmatched"),
+    spark = docs.sparkSession
+    scored = score_documents(spread(docs), categories, raising_terms, lowering_terms, key_col, text_col)
+    narrow = scored.select(split_col, order_col, key_col, "condition_name", "urgency_score")
+    # a written table in the checkpoint folder, map-only: the regexes run in
+    # exactly one pass (an eager RDD checkpoint would recompute them to write,
+    # and a range exchange above them would evaluate them again to sample)
+    path = scratch_path(spark, f"narrow-scores-{uuid.uuid4().hex}")
+    narrow.write.mode("overwrite").parquet(path)
+    narrow = dense_ids(spark.read.parquet(path), split_col, order_col, "id")
+    if check_unmatched:
+        bad = (
+            narrow.filter(F.col("condition_name").isNull())
+            .select(F.col(key_col).cast("string").alias("_bad"))
+            .distinct()
+            .orderBy(F.col("_bad").asc_nulls_first())
+            .limit(50)
+            .collect()
+        )
+        if bad:
+            raise EngineError(
+                f"{key_col} value(s) {[r['_bad'] for r in bad]} are absent from the category dimension"
             )
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .cache()
+    if thresholds is None:
+        thresholds = collect_thresholds(
+            fit_thresholds(narrow.filter(F.col(split_col) == F.lit(train_value)), "urgency_score", q_low, q_high)
         )
-        try:
-            if check_unmatched:
-                bad = (
-                    stats.filter("_unmatched")
-                    .select("_bad")
-                    .distinct()
-                    .orderBy(F.col("_bad").asc_nulls_first())
-                    .limit(50)
-                    .collect()
-                )
-                if bad:
-                    raise EngineError(
-                        f"{key_col} value(s) {[r['_bad'] for r in bad]} are absent from the category dimension"
-                    )
-            if thresholds is None:
-                train_stats = stats.filter("_train").groupBy("_s").agg(F.sum("_n").alias("_n"))
-                thresholds = collect_thresholds(
-                    fit_thresholds(train_stats, "_s", q_low, q_high, weight_col="_n")
-                )
-        finally:
-            stats.unpersist()
     low, high = thresholds
-    # ids first: the range exchange then moves raw rows, its sampling pass runs
-    # no regex, and scoring runs after the exchange on balanced partitions
-    with_ids = dense_ids(docs, split_col, order_col, "id")
-    scored = score_documents(with_ids, categories, raising_terms, lowering_terms, key_col, text_col, check=False)
-    labelled = scored.withColumn("label", map_band("urgency_score", float(low), float(high), VALID_LABELS))
+    texts = docs.select(split_col, order_col, key_col, text_col)
+    labelled = texts.join(narrow.drop(key_col), [split_col, order_col], "inner").withColumn(
+        "label", map_band("urgency_score", float(low), float(high), VALID_LABELS)
+    )
     return labelled.select(*LABELLED_COLUMNS), (low, high)
 
 

@@ -34,7 +34,7 @@ from prioritext.constants import (
     MIN_DF,
 )
 from prioritext.functions.text import BIGRAM_PATTERN, TOKEN_PATTERN, accent_table
-from prioritext.operators.common import EngineError
+from prioritext.operators.common import EngineError, spread
 from prioritext.operators.features import doc_term_counts, doc_vocab_counts, fit_vocabulary, partition_docs, tfidf_for
 
 # sklearn's documented lbfgs stopping tolerance (public default).
@@ -156,14 +156,12 @@ def score_batch(
 ) -> DataFrame:
     """Path 1: ``(id, label, scores, backend)``; scores keyed by class, sum to 1.
 
-    Texts are hash-partitioned by id first: text cost varies a lot per row
-    (up to 20,000 words), so CPU work is spread evenly before tokenising.
+    Map-only on a large input; a coarse input (fewer partitions than cores)
+    is spread first, see ``spread``.
     """
-    if df.isStreaming:
-        src = df.select(id_col, text_col)
-    else:
-        n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        src = df.select(id_col, text_col).repartition(n, F.col(id_col))
+    src = df.select(id_col, text_col)
+    if not df.isStreaming:
+        src = spread(src, num_partitions)
     out = tm.pipeline.transform(src)
     probs = vector_to_array(F.col("probability"))
     classes = F.array(*[F.lit(c) for c in tm.classes])

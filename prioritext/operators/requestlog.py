@@ -270,13 +270,18 @@ def counter_samples(log: DataFrame, series: Sequence[str], ts_col: str = "ts", t
     """Sampled counter table: each request is a sample of its series' counter,
     which restarts at every day (process restart); value = count since the restart.
 
-    The window is keyed by (series, day): one partition never spans days.
+    Distributed by (series, hour): per-(series, hour) counts (one row each)
+    give every hour its offset inside the day, and the running count runs
+    inside (series, hour) partitions only.
     """
     series = list(series)
-    day = F.date_trunc("day", F.col(ts_col))
-    w = Window.partitionBy(*series, "_day").orderBy(ts_col, tiebreak).rowsBetween(Window.unboundedPreceding, 0)
-    return log.withColumn("_day", day).select(
-        *series, ts_col, tiebreak, F.count(F.lit(1)).over(w).cast("double").alias("value")
+    s = log.withColumn("_day", F.date_trunc("day", F.col(ts_col))).withColumn("_h", hour_bucket(ts_col))
+    per_hour = s.groupBy(*series, "_day", "_h").agg(F.count(F.lit(1)).alias("_n"))
+    wo = Window.partitionBy(*series, "_day").orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_hour.select(*series, "_h", F.coalesce(F.sum("_n").over(wo), F.lit(0)).alias("_off"))
+    w = Window.partitionBy(*series, "_h").orderBy(ts_col, tiebreak).rowsBetween(Window.unboundedPreceding, 0)
+    return s.join(offsets, series + ["_h"], "inner").select(
+        *series, ts_col, tiebreak, (F.col("_off") + F.count(F.lit(1)).over(w)).cast("double").alias("value")
     )
 
 

@@ -140,3 +140,12 @@ def artifact_manifest(spark: SparkSession, base: str, names: Sequence[str]) -> D
 def missing_artifacts(expected: DataFrame, produced: DataFrame) -> DataFrame:
     """Expected manifest anti-joined with what was produced."""
     return expected.join(produced.filter("present").select("artifact"), "artifact", "left_anti").select("artifact")
+
+
+BENCH_RESULT_SCHEMA = "measured_at STRING, sf STRING, job STRING, median_sec DOUBLE, rows BIGINT, per_sec DOUBLE, unit STRING"
+
+
+def append_bench_results(spark: SparkSession, rows: Sequence[tuple], path: str) -> str:
+    """Benchmark result sink: append one row per job to a Parquet table."""
+    spark.createDataFrame(list(rows), BENCH_RESULT_SCHEMA).write.mode("append").parquet(path)
+    return path
