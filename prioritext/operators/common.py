@@ -50,17 +50,18 @@ def assert_unique_key(df: DataFrame, key: str, what: str = "dimension") -> None:
         raise EngineError(f"{what}: key {key!r} is not unique, e.g. {[r[key] for r in dup]}")
 
 
-def spread(df: DataFrame, num_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, num_partitions: int | None = None, key: str | None = None) -> DataFrame:
     """Rebalance before CPU-heavy text work only when the input is too coarse.
 
     A large scan already has far more splits than cores and is left alone (no
     extra shuffle).  A small input, or one stored as a single row group,
     yields fewer partitions than the session's parallelism and would run its
-    regexes on one or two cores: it is spread round-robin instead.
+    regexes on one or two cores: it is spread by a hash of ``key`` instead
+    (round-robin without a key, which sorts rows first to stay deterministic).
     ``num_partitions`` forces a given partition count.
     """
     spark = df.sparkSession
     target = num_partitions or spark.sparkContext.defaultParallelism
     if num_partitions or df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
+        return df.repartition(target, F.col(key)) if key else df.repartition(target)
     return df

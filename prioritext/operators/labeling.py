@@ -123,7 +123,7 @@ def label_documents(
     """
     require_columns(docs, [text_col, key_col, split_col, order_col], "documents")
     spark = docs.sparkSession
-    scored = score_documents(spread(docs), categories, raising_terms, lowering_terms, key_col, text_col)
+    scored = score_documents(spread(docs, key=order_col), categories, raising_terms, lowering_terms, key_col, text_col)
     narrow = scored.select(split_col, order_col, key_col, "condition_name", "urgency_score")
     # a written table in the checkpoint folder, map-only: the regexes run in
     # exactly one pass (an eager RDD checkpoint would recompute them to write,

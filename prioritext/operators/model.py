@@ -161,7 +161,7 @@ def score_batch(
     """
     src = df.select(id_col, text_col)
     if not df.isStreaming:
-        src = spread(src, num_partitions)
+        src = spread(src, num_partitions, key=id_col)
     out = tm.pipeline.transform(src)
     probs = vector_to_array(F.col("probability"))
     classes = F.array(*[F.lit(c) for c in tm.classes])
