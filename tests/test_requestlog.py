@@ -109,3 +109,19 @@ def test_errors_total_types(spark):
     )
     got = {r["type"]: r["n"] for r in rl.errors_total(df).collect()}
     assert got == {"client_error": 1, "server_error": 1, "unhandled_exception": 1}
+
+
+def test_exact_quantiles_distributed_equal_percentile(spark):
+    rng = random.Random(11)
+    # one hot key with many duplicates, one small key, one key with a single value
+    rows = [("hot", float(rng.randint(0, 500)) / 10) for _ in range(3000)]
+    rows += [("small", rng.random()) for _ in range(7)] + [("one", 4.2)]
+    df = spark.createDataFrame(rows, "k STRING, v DOUBLE").repartition(5)
+    qs = (0.0, 0.35, 0.5, 0.9, 0.99, 1.0)
+    got = {r["k"]: r for r in st.exact_quantiles(df, ["k"], "v", qs, num_partitions=7).collect()}
+    ref = df.groupBy("k").agg(F.percentile("v", F.array(*[F.lit(q) for q in qs])).alias("p"), F.count("v").alias("n")).collect()
+    for r in ref:
+        g = got[r["k"]]
+        assert g["n"] == r["n"]
+        for i, _ in enumerate(qs):
+            assert g[f"q_{i}"] == pytest.approx(r["p"][i], abs=1e-12)
