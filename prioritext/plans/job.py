@@ -34,7 +34,7 @@ MANIFEST_SCHEMA = "stage STRING, status STRING, rows BIGINT, detail STRING"
 
 
 @dataclass
-class PipelineConfig:
+class JobConfig:
     out_dir: str
     raw_lexicon_raising: tuple[str, ...]
     raw_lexicon_lowering: tuple[str, ...]
@@ -46,7 +46,7 @@ class PipelineConfig:
     train: M.TrainConfig | None = None
 
 
-def run_pipeline(spark: SparkSession, raw_docs: DataFrame, categories: DataFrame, cfg: PipelineConfig) -> DataFrame:
+def run_job(spark: SparkSession, raw_docs: DataFrame, categories: DataFrame, cfg: JobConfig) -> DataFrame:
     """Run every stage; return the run manifest ``(stage, status, rows, detail)``.
 
     ``raw_docs`` needs ``doc_id, text, condition_label, split``.

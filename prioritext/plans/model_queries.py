@@ -206,11 +206,11 @@ def linear_coef(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "term STRING, idx INT, weights ARRAY<DOUBLE>")
 
 
-@register("pipeline_run")
-def q_pipeline_run(spark: SparkSession, sf: str) -> DataFrame:
+@register("end_to_end_job")
+def q_end_to_end_job(spark: SparkSession, sf: str) -> DataFrame:
     """The whole job (land -> build -> train -> gate -> publish); its run manifest."""
-    from prioritext.plans.pipeline import PipelineConfig, run_pipeline
+    from prioritext.plans.job import JobConfig, run_job
 
-    base = scratch_path(spark, f"pipeline-{uuid.uuid4().hex}")
-    cfg = PipelineConfig(base, tb.STANDIN_RAISING, tb.STANDIN_LOWERING)
-    return run_pipeline(spark, tb.labelled_text_input(spark, sf), tb.category_dimension(spark), cfg)
+    base = scratch_path(spark, f"job-{uuid.uuid4().hex}")
+    cfg = JobConfig(base, tb.STANDIN_RAISING, tb.STANDIN_LOWERING)
+    return run_job(spark, tb.labelled_text_input(spark, sf), tb.category_dimension(spark), cfg)
