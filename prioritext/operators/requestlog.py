@@ -213,18 +213,27 @@ def histogram_quantile(hist: DataFrame, q: float, keys: Sequence[str]) -> DataFr
     ``+Inf`` bucket returns the highest finite bound; no observations -> null.
     Windows run over at most one row per bucket bound per key.
     """
+    return histogram_quantiles(hist, [q], keys)
+
+
+def histogram_quantiles(hist: DataFrame, qs: Sequence[float], keys: Sequence[str]) -> DataFrame:
+    """:func:`histogram_quantile` for several ``q`` in one pass: the bucket
+    rows are repeated once per ``q`` (a literal array, map-only) and the
+    windows are keyed by ``(keys, q)``, so the input plan runs once."""
     keys = list(keys)
-    w = Window.partitionBy(*keys).orderBy("idx")
-    wall = Window.partitionBy(*keys)
+    wkeys = keys + ["q"]
+    w = Window.partitionBy(*wkeys).orderBy("idx")
+    wall = Window.partitionBy(*wkeys)
     h = (
-        hist.withColumn("_prev_cum", F.coalesce(F.lag("cumulative").over(w), F.lit(0)))
+        hist.withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs])))
+        .withColumn("_prev_cum", F.coalesce(F.lag("cumulative").over(w), F.lit(0)))
         .withColumn("_prev_le", F.coalesce(F.lag("le_bound").over(w), F.lit(0.0)))
         .withColumn("_total", F.max("cumulative").over(wall))
         .withColumn("_last_finite", F.max(F.when(~F.isnan("le_bound") & (F.col("le_bound") != float("inf")), F.col("le_bound"))).over(wall))
-        .withColumn("_rank", F.lit(float(q)) * F.col("_total"))
+        .withColumn("_rank", F.col("q") * F.col("_total"))
     )
     hit = h.filter(F.col("cumulative") >= F.col("_rank"))
-    first = hit.groupBy(*keys).agg(
+    first = hit.groupBy(*wkeys).agg(
         F.min_by(
             F.struct("le_bound", "_prev_le", "_prev_cum", "cumulative", "_rank", "_total", "_last_finite"),
             F.col("idx"),
@@ -240,7 +249,7 @@ def histogram_quantile(hist: DataFrame, q: float, keys: Sequence[str]) -> DataFr
         .when(b("cumulative") == b("_prev_cum"), b("le_bound"))
         .otherwise(inside)
     )
-    return first.select(*keys, F.lit(float(q)).alias("q"), value.alias("value"))
+    return first.select(*keys, "q", value.alias("value"))
 
 
 def sliding_histogram_quantile(
@@ -259,10 +268,7 @@ def sliding_histogram_quantile(
     hourly = bucket_counts_hourly(log, value_col, bounds, ts_col)
     win = sliding_hours(hourly.withColumnRenamed("cumulative", "cum"), ["idx", "le_bound"], ["cum"], hours)
     win = win.select("_h", "idx", "le_bound", F.col("cum").alias("cumulative"))
-    out = None
-    for q in qs:
-        part = histogram_quantile(win, q, ["_h"])
-        out = part if out is None else out.unionByName(part)
+    out = histogram_quantiles(win, qs, ["_h"])
     return out.select(fmt_ts(F.col("_h")).alias("window_end_hour"), "q", "value")
 
 
