@@ -35,7 +35,7 @@ from prioritext.constants import (
 )
 from prioritext.functions.text import BIGRAM_PATTERN, TOKEN_PATTERN, accent_table
 from prioritext.operators.common import EngineError, spread
-from prioritext.operators.features import doc_term_counts, doc_vocab_counts, fit_vocabulary, partition_docs, tfidf_for
+from prioritext.operators.features import doc_term_counts, exploded_grams, fit_vocabulary, partition_docs, tfidf_for
 
 # sklearn's documented lbfgs stopping tolerance (public default).
 LBFGS_TOL = 1e-4
@@ -277,8 +277,17 @@ def score_text(
     classes = [c for c, _ in intercept_rows]
     k = len(classes)
     parted = partition_docs(docs, id_col, text_col, num_partitions)
-    counts = doc_vocab_counts(parted, vocab, id_col, text_col, partitioned=True)
-    counts = counts.join(F.broadcast(coef.select("idx", "weights")), "idx", "inner")  # bounded by the vocabulary
+    # occurrences -> vocabulary index (broadcast lookup before aggregating),
+    # then counts keyed by the integer (id, idx) only; idf and coefficients
+    # join the aggregated rows as one broadcast table, bounded by the vocabulary
+    grams = exploded_grams(parted, id_col, text_col, partitioned=True)
+    counts = (
+        grams.join(F.broadcast(vocab.select("term", "idx")), "term", "inner")
+        .groupBy(id_col, "idx")
+        .agg(F.count(F.lit(1)).alias("c"))
+    )
+    per_idx = vocab.select("idx", "idf").join(coef.select("idx", "weights"), "idx", "inner")
+    counts = counts.join(F.broadcast(per_idx), "idx", "inner")
     u = F.col("c") * F.col("idf")
     sums = counts.groupBy(id_col).agg(
         F.sum(u * u).alias("_ss"), *[F.sum(u * F.col("weights")[i]).alias(f"_s{i}") for i in range(k)]

@@ -425,9 +425,11 @@ def q_endpoint_normalize(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _train_docs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, int]:
+    """Document-term counts of the whole corpus and of its train split (the
+    corpus split binding, the one the labelled table uses)."""
     docs = tb.read_table(spark, sf, "documents").select("doc_id", "text")
     dt = fe.doc_term_counts(docs, "doc_id", "text")
-    train_filter = F.col("doc_id") % 5 != 0
+    train_filter = tb.split_of("doc_id") == F.lit("train")
     n_train = docs.filter(train_filter).count()
     return dt, dt.filter(train_filter), n_train
 
