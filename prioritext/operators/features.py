@@ -82,9 +82,15 @@ def doc_vocab_counts(
     bigrams) never reach the aggregation.  The ``(id, idx)`` aggregate reuses
     the id partitioning: no exchange after the initial repartition.
     """
-    v = F.broadcast(vocab.select("term", "idx", "idf"))
     grams = exploded_grams(df, id_col, text_col, num_partitions, partitioned)
-    return grams.join(v, "term", "inner").groupBy(id_col, "idx", "term", "idf").agg(F.count(F.lit(1)).alias("c"))
+    counts = (
+        grams.join(F.broadcast(vocab.select("term", "idx")), "term", "inner")
+        .groupBy(id_col, "idx")  # integer key: cheaper to hash than the term
+        .agg(F.count(F.lit(1)).alias("c"))
+    )
+    return counts.join(F.broadcast(vocab.select("idx", "term", "idf")), "idx", "inner").select(
+        id_col, "idx", "term", "idf", "c"
+    )
 
 
 def tfidf_for(
