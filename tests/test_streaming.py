@@ -17,3 +17,20 @@ def test_stream_metrics_equal_batch_twin_on_closed_windows(spark, sf001):
     assert s and all(r in b for r in s)
     # only the last window per endpoint stays open in append mode
     assert len(b) - len(s) <= batch.select("endpoint").distinct().count()
+
+
+def test_stream_score_equals_batch_scoring_of_admitted_documents(spark, sf001):
+    from prioritext.operators import model as M
+    from prioritext.operators.contracts import admission
+    from prioritext.plans.model_queries import trained
+
+    stream = E.queries()["stream_score"](spark, sf001)
+    tm, _, _, _ = trained(spark, sf001)  # the same memoised model the stream used
+    docs = tb.read_table(spark, sf001, "documents")
+    ok = admission(docs, "text").filter(F.col("admitted"))
+    batch = M.score_batch(tm, ok, "doc_id", "text")
+    s = {r["doc_id"]: r["label"] for r in stream.select("doc_id", "label").collect()}
+    b = {r["doc_id"]: r["label"] for r in batch.select("doc_id", "label").collect()}
+    assert s == b
+    assert len(s) == ok.count()
+    assert stream.select("model_version").distinct().count() == 1
