@@ -4,8 +4,8 @@ Plan shape of :func:`label_documents`:
 
 1. scan -> broadcast dimension join -> lexicon score (the only regex pass)
    -> narrow rows written to the checkpoint folder (map-only);
-2. exact quantiles over the checkpointed train scores (``groupBy(score)``
-   pre-aggregate, two doubles to the driver) and the unmatched-key audit;
+2. one aggregate job over the written table: exact quantiles of the train
+   scores (two doubles to the driver) and the unmatched-key count;
 3. one lazy plan: dense ids on the narrow table (range shuffle of narrow
    rows), texts joined back by (split, order) -> band by literal thresholds
    -> fixed column order.
@@ -130,24 +130,32 @@ def label_documents(
     # and a range exchange above them would evaluate them again to sample)
     path = scratch_path(spark, f"narrow-scores-{uuid.uuid4().hex}")
     narrow.write.mode("overwrite").parquet(path)
-    narrow = dense_ids(spark.read.parquet(path), split_col, order_col, "id")
-    if check_unmatched:
+    written = spark.read.parquet(path)
+    # the audit and the threshold fit read the written table (not the id plan,
+    # whose range shuffle would run again) in one aggregate job; exact
+    # percentile keeps a count per distinct score, bounded by the few
+    # distinct lexicon scores
+    is_train = F.col(split_col) == F.lit(train_value)
+    row = written.agg(
+        F.count_if(F.col("condition_name").isNull()).alias("_n_bad"),
+        F.percentile(F.when(is_train, F.col("urgency_score")), F.array(F.lit(q_low), F.lit(q_high))).alias("_q"),
+    ).first()
+    if check_unmatched and row["_n_bad"] > 0:
         bad = (
-            narrow.filter(F.col("condition_name").isNull())
+            written.filter(F.col("condition_name").isNull())
             .select(F.col(key_col).cast("string").alias("_bad"))
             .distinct()
             .orderBy(F.col("_bad").asc_nulls_first())
             .limit(50)
             .collect()
         )
-        if bad:
-            raise EngineError(
-                f"{key_col} value(s) {[r['_bad'] for r in bad]} are absent from the category dimension"
-            )
+        raise EngineError(f"{key_col} value(s) {[r['_bad'] for r in bad]} are absent from the category dimension")
     if thresholds is None:
-        thresholds = collect_thresholds(
-            fit_thresholds(narrow.filter(F.col(split_col) == F.lit(train_value)), "urgency_score", q_low, q_high)
-        )
+        q = row["_q"]
+        if q is None or q[0] is None or q[1] is None:
+            raise EngineError("cannot fit urgency thresholds on an empty score list")
+        thresholds = (float(q[0]), float(q[1]))
+    narrow = dense_ids(written, split_col, order_col, "id")
     low, high = thresholds
     texts = docs.select(split_col, order_col, key_col, text_col)
     labelled = texts.join(narrow.drop(key_col), [split_col, order_col], "inner").withColumn(
