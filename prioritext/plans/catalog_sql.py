@@ -73,6 +73,9 @@ FROM labelled"""
 
 SQL["scan_documents"] = "SELECT doc_id, text, lang, source, n_chars FROM documents"
 
+# landing twice keeps the first landing: the landed table is the documents table
+SQL["land_documents"] = "SELECT doc_id, text, lang, source, n_chars FROM documents"
+
 SQL["dense_ids"] = """SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'test' ELSE 'train' END AS split,
        printf('%s-%06d', CASE WHEN doc_id % 5 = 0 THEN 'test' ELSE 'train' END,
               row_number() OVER (PARTITION BY doc_id % 5 = 0 ORDER BY doc_id) - 1) AS id

@@ -85,8 +85,10 @@ def q_train_eval(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("score_batch")
 def q_score_batch(spark: SparkSession, sf: str) -> DataFrame:
-    tm, _, test_df, _ = trained(spark, sf)
-    return M.score_batch(tm, test_df, "id", "text")
+    """Path 1 over the whole documents table (one row per text)."""
+    tm, _, _, _ = trained(spark, sf)
+    docs = tb.read_table(spark, sf, "documents").select("doc_id", "text")
+    return M.score_batch(tm, docs, "doc_id", "text")
 
 
 def _tables_scores(tm: M.TrainedModel, docs: DataFrame, coef: DataFrame | None = None, backend: str = "tables") -> DataFrame:
@@ -97,8 +99,11 @@ def _tables_scores(tm: M.TrainedModel, docs: DataFrame, coef: DataFrame | None =
 
 @register("score_tables")
 def q_score_tables(spark: SparkSession, sf: str) -> DataFrame:
-    tm, _, test_df, _ = trained(spark, sf)
-    return _tables_scores(tm, test_df)
+    """Path 2 over the whole documents table (one row per text)."""
+    tm, _, _, _ = trained(spark, sf)
+    docs = tb.read_table(spark, sf, "documents").select("doc_id", "text")
+    tabs = M.export_tables(tm)
+    return M.score_text(docs, tabs["vocab"], tabs["coef"], M.intercept_list(tabs["intercept"]), "doc_id", "text", "tables")
 
 
 @register("backend_equivalence")
