@@ -233,6 +233,34 @@ FROM keys k, (VALUES {rows}) AS b(idx, le, bound)"""
 
 
 SQL["duration_histogram"] = _hist_sql("endpoint", REQUEST_DURATION_BUCKETS)
+
+
+def _stream_metrics_sql(bounds, watermark_minutes: int = 10) -> str:
+    """Windows the append-mode stream emits: hourly windows whose end is at or
+    before the watermark (latest event time minus the delay).  One input file
+    is one micro-batch, so no row is late."""
+    les = ",\n       ".join(
+        f"count(*) FILTER (WHERE duration_s <= CAST({b!r} AS DOUBLE)) AS le_{i}" for i, b in enumerate(bounds)
+    )
+    return f"""{_LAT},
+agg AS (
+SELECT time_bucket(INTERVAL '1 hour', ts) AS ws, endpoint,
+       count(*) AS requests,
+       count(*) FILTER (WHERE status >= 400) AS errors,
+       count(*) FILTER (WHERE status >= 400 AND NOT unhandled AND status < 500) AS client_errors,
+       count(*) FILTER (WHERE status >= 400 AND NOT unhandled AND status >= 500) AS server_errors,
+       count(*) FILTER (WHERE status >= 400 AND unhandled) AS unhandled_exceptions,
+       {les},
+       round(sum(duration_s), 6) AS duration_sum
+FROM log GROUP BY ALL)
+SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(ws + INTERVAL '1 hour', '%Y-%m-%d %H:%M:%S') AS window_end,
+       agg.* EXCLUDE (ws)
+FROM agg
+WHERE ws + INTERVAL '1 hour' <= (SELECT max(ts) FROM events) - INTERVAL '{watermark_minutes} minutes'"""
+
+
+SQL["stream_metrics"] = _stream_metrics_sql(REQUEST_DURATION_BUCKETS)
 SQL["inference_histogram"] = _hist_sql("backend", DEFAULT_DURATION_BUCKETS)
 
 SQL["model_info"] = f"""{_LAT},

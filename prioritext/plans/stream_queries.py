@@ -1,5 +1,5 @@
-"""Registered streaming queries (rows-only checks; the batch twins carry the
-oracle).  Each runs a Structured Streaming query over the whole input table
+"""Registered streaming queries (``stream_metrics`` has a SQL twin of its
+closed windows; the scoring streams are rows-only).  Each runs a Structured Streaming query over the whole input table
 with ``trigger(availableNow=True)`` and returns its sink read back."""
 
 from __future__ import annotations
@@ -7,6 +7,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from prioritext.plans.catalog import register
@@ -58,4 +59,17 @@ def q_stream_metrics(spark: SparkSession, sf: str) -> DataFrame:
     src = jobs.read_stream_parquet(spark, tb.table_path(sf, "events"), EVENTS_SCHEMA)
     log = tb.request_log_of(jobs.as_event_time(src))
     _run(jobs.stream_metrics(log, f"{base}/out", f"{base}/ckpt", available_now=True))
-    return spark.read.parquet(f"{base}/out")
+    return metrics_view(spark.read.parquet(f"{base}/out"))
+
+
+def metrics_view(out: DataFrame) -> DataFrame:
+    """The metrics sink as compared with its SQL twin: window bounds as text,
+    the duration sum rounded to 6 decimals, counts as they are."""
+    fmt = lambda c: F.date_format(F.col(c), "yyyy-MM-dd HH:mm:ss")
+    rest = [c for c in out.columns if c not in ("window_start", "window_end", "duration_sum")]
+    return out.select(
+        fmt("window_start").alias("window_start"),
+        fmt("window_end").alias("window_end"),
+        *rest,
+        F.round(F.col("duration_sum"), 6).alias("duration_sum"),
+    )

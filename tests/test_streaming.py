@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from prioritext.plans.stream_queries import metrics_view
 from prioritext.sources import tables as tb
 from prioritext.streaming import jobs
 
@@ -11,6 +12,7 @@ def test_stream_metrics_equal_batch_twin_on_closed_windows(spark, sf001):
     stream = E.queries()["stream_metrics"](spark, sf001)
     batch = jobs.window_metrics(tb.request_log_of(jobs.as_event_time(tb.read_table(spark, sf001, "events"))))
     batch = batch.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "*").drop("w")
+    batch = metrics_view(batch)
     cols = sorted(stream.columns)
     s = sorted(tuple(r) for r in stream.select(*cols).collect())
     b = {tuple(r) for r in batch.select(*cols).collect()}
