@@ -100,6 +100,15 @@ SQL["admission"] = """SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars_che
             WHEN length(text) > 20000 THEN 'too_long' END AS reason
 FROM documents"""
 
+# the quarantine sink of the scoring stream: the rejected rows of the
+# admission rule; one input file is one micro-batch (batch id 0)
+SQL["stream_quarantine"] = """SELECT doc_id, n_chars_checked, reason, 'client_error' AS error_type, 0 AS batch_id
+FROM (SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars_checked,
+             CASE WHEN text IS NULL THEN 'missing' WHEN length(text) < 1 THEN 'too_short'
+                  WHEN length(text) > 20000 THEN 'too_long' END AS reason
+      FROM documents)
+WHERE reason IS NOT NULL"""
+
 _disp = " ".join(f"WHEN {sql_str(k)} THEN {sql_str(v)}" for k, v in DISPLAY_NAMES.items())
 SQL["display_labels"] = f"""WITH {labelled_ctes()}
 SELECT id, label, CASE label {_disp} END AS display_name FROM labelled"""
