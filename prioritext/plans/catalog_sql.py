@@ -71,6 +71,11 @@ SELECT count(*) AS n_rows,
        count(*) FILTER (WHERE coalesce(CAST(label AS VARCHAR), 'null') NOT IN {_in_list(VALID_LABELS)}) AS n_bad_label
 FROM labelled"""
 
+# required columns of the documents contract against the table's own schema
+SQL["contract_columns"] = """SELECT r.col AS "column",
+       r.col IN (SELECT column_name FROM information_schema.columns WHERE table_name = 'documents') AS present
+FROM (VALUES ('doc_id'), ('text'), ('lang'), ('label')) AS r(col)"""
+
 SQL["scan_documents"] = "SELECT doc_id, text, lang, source, n_chars FROM documents"
 
 # landing twice keeps the first landing: the landed table is the documents table
