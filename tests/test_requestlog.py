@@ -46,6 +46,14 @@ def test_cumulative_histogram_and_quantile_vs_brute_force(spark):
             cum = [got[(key, i)] for i in range(len(bounds) + 1)]
             assert res[key] == pytest.approx(_prom_quantile(q, bounds, cum))
 
+    # several q in one pass give the same values as one q at a time
+    qs = (0.5, 0.95, 0.999)
+    multi = {(r["k"], r["q"]): r["value"] for r in rl.histogram_quantiles(h, qs, ["k"]).collect()}
+    assert len(multi) == 2 * len(qs)
+    for q in qs:
+        for r in rl.histogram_quantile(h, q, ["k"]).collect():
+            assert multi[(r["k"], q)] == r["value"]
+
 
 def test_counter_increase_with_resets(spark):
     t0 = dt.datetime(2024, 1, 1, 0, 0, 0)
