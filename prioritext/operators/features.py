@@ -10,11 +10,15 @@ partitioning, so the only other shuffle is the map-side-combined
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from prioritext.constants import MAX_FEATURES, MIN_DF
 from prioritext.functions.text import ngrams, normalize_text, tokens
+from prioritext.operators.ids import dense_index
+from prioritext.session import scratch_path
 
 
 def with_grams(df: DataFrame, text_col: str = "text", out_col: str = "grams") -> DataFrame:
@@ -114,11 +118,17 @@ def fit_vocabulary(
     ``max_features`` by total count (ties by term), indexed in term order.
 
     ``idf = ln((1 + n) / (1 + df)) + 1`` (smoothed, with the ``+1``).
-    The top-k is a TakeOrdered (k rows per partition), and the index window
-    runs over those k rows only.
+    The top-k is an exact distributed rank (see :func:`top_terms`), and the
+    index window runs over those k rows only.
     """
     stats = doc_terms.groupBy("term").agg(F.sum("c").alias("tf"), F.count(F.lit(1)).alias("df"))
-    top = stats.filter(F.col("df") >= min_df).orderBy(F.desc("tf"), F.asc("term")).limit(max_features)
+    # the eligible terms are written once (checkpoint folder): the rank reads
+    # its range exchange from two branches, which must see the same rows in
+    # the same order, and a shuffled aggregate does not guarantee that
+    spark = doc_terms.sparkSession
+    path = scratch_path(spark, f"vocab-terms-{uuid.uuid4().hex}")
+    stats.filter(F.col("df") >= min_df).write.mode("overwrite").parquet(path)
+    top = top_terms(spark.read.parquet(path), max_features)
     w = Window.orderBy("term")  # over at most max_features rows
     return top.select(
         "term",
@@ -129,6 +139,28 @@ def fit_vocabulary(
     )
 
 
+def top_terms(stats: DataFrame, k: int) -> DataFrame:
+    """The ``k`` terms with the largest ``tf`` (ties by term), exactly.
+
+    A TakeOrdered would send ``k`` rows from every partition to one task
+    (partitions x 20,000 rows at scale).  Instead the terms are ranked by
+    ``(-tf, term)`` with range partitioning and per-partition offsets
+    (``dense_index``): every task ranks its own range, and only ranks
+    below ``k`` are kept.  ``stats`` must be a stable input (a scan of a
+    written table), see ``dense_index``.
+    """
+    # every column rides inside the ordering struct (term is unique, so tf
+    # and df never decide the order): both branches of the rank then read
+    # the same columns and share one range exchange (two exchanges would
+    # sample different range bounds)
+    order = F.struct(
+        (-F.col("tf")).alias("neg_tf"), F.col("term").alias("term"), F.col("tf").alias("tf"), F.col("df").alias("df")
+    )
+    keyed = stats.select(F.lit(0).alias("_g"), order.alias("_o"))
+    ranked = dense_index(keyed, "_g", "_o", "_rank")
+    return ranked.filter(F.col("_rank") < k).select("_o.term", "_o.tf", "_o.df")
+
+
 def tfidf_weights(doc_terms: DataFrame, vocab: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``(id, idx, term, weight)``: raw tf x idf, L2-normalised per document over
     in-vocabulary terms.  Documents without a known term produce no rows (the

@@ -78,3 +78,20 @@ def test_quantized_tables_stay_close(spark, fitted):
     ).first()["d"]
     scale = tabs["coef"].select(F.max(F.abs(F.col("weights")[0])).alias("m")).first()["m"] / 127
     assert diff <= scale / 2 + 1e-12
+
+
+def test_top_terms_equals_take_ordered(spark, sf001):
+    """The distributed rank keeps exactly the k terms a TakeOrdered would keep."""
+    from prioritext.sources import tables as tb
+
+    docs = tb.read_table(spark, sf001, "documents").select("doc_id", "text")
+    dt = fe.doc_term_counts(docs, "doc_id", "text", 4)
+    k = 1500  # below the number of eligible terms, so the cap binds
+    got = fe.fit_vocabulary(dt, 200, "doc_id", 2, k)
+    stats = dt.groupBy("term").agg(F.sum("c").alias("tf"), F.count(F.lit(1)).alias("df")).filter(F.col("df") >= 2)
+    assert stats.count() > k
+    want = stats.orderBy(F.desc("tf"), F.asc("term")).limit(k)
+    g = sorted((r["term"], r["tf"], r["df"]) for r in got.collect())
+    w = sorted((r["term"], r["tf"], r["df"]) for r in want.collect())
+    assert g == w
+    assert sorted(r["idx"] for r in got.collect()) == list(range(k))
