@@ -43,7 +43,7 @@ END_ID = 2
 # Pieces that one cell (one task's unit of packing) takes, on average.
 CELL_PIECES = 4_096
 # Distinct words whose ids a worker remembers, and words tokenised in one call.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 350_000  # twice at most
 CALL_WORDS = 512
 
 _workers: dict[str, "WordIds"] = {}
@@ -52,8 +52,10 @@ _workers: dict[str, "WordIds"] = {}
 class WordIds:
     """Ids of ASCII-white-space-separated words by a ``tokenizers`` file, remembered per worker.
 
-    For a tokenizer that splits at white space and drops it, the ids of a text
-    are the ids of its words one after the other.
+    For a tokenizer that lowers case and splits at white space and between
+    letters and marks, the ids of a text are the ids of its words one after
+    the other, those of an ASCII word are the ids of its lower-case form, and
+    a full stop or comma behind a letter is a token of its own.
     """
 
     def __init__(self, path: str):
@@ -61,7 +63,13 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # two generations: a word used lately survives when the cache is full
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.marks = {m: self._slow([m])[0] for m in (b".", b",")}
 
     @classmethod
     def of_worker(cls, path: str) -> WordIds:
@@ -69,28 +77,73 @@ class WordIds:
             _workers[path] = cls(path)
         return _workers[path]
 
-    def learn(self, words: set[bytes]) -> None:
-        if len(self.known) + len(words) > CACHE_WORDS:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
+    @staticmethod
+    def _core(word: bytes) -> tuple[bytes, bytes]:
+        """The word without a final full stop or comma behind a letter, lowered if it is ASCII; and that mark."""
+        mark = b""
+        if word[-1:] in (b".", b",") and len(word) > 1:
+            before = word[-2]
+            letter = chr(before).isalpha() if before < 128 else word[:-1].decode()[-1].isalpha()
+            if letter:
+                word, mark = word[:-1], word[-1:]
+        return (word.lower() if word.isascii() else word), mark
+
+    def _lookup(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of each of the words; unseen cores are tokenised together."""
+        out, open_, new = {}, [], []
+        fresh: set[bytes] = set()
+        for word in words:
+            core, mark = self._core(word)
+            ids = self.known.get(core)
+            if ids is None:
+                ids = self.older.get(core)
+                if ids is not None:
+                    self.known[core] = ids
+            if ids is None:
+                open_.append((word, core, mark))
+                if core not in fresh:
+                    fresh.add(core)
+                    new.append(core)
+            else:
+                out[word] = ids + self.marks[mark] if mark else ids
+        if len(self.known) + len(new) > CACHE_WORDS:
+            self.known, self.older = {}, self.known
         for i in range(0, len(new), CALL_WORDS):
-            self._add(new[i : i + CALL_WORDS])
-
-    def _add(self, words: list[bytes]) -> None:
+            some = new[i : i + CALL_WORDS]
+            self.known.update(zip(some, self._ids(some), strict=True))
+        for word, core, mark in open_:
+            ids = self.known[core]
+            out[word] = ids + self.marks[mark] if mark else ids
+        return out
+
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        plain = [w for w in words if w.decode().isalpha()]
+        joined = b" ".join(plain).decode()
+        ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = (np.flatnonzero(self.closes[ids]) + 1).tolist()
+        if len(ends) != len(plain):  # not one token run a word: take the ids by their places in the text
+            return self._slow(words)
+        raw = ids.tobytes()
+        found = {w: raw[4 * low : 4 * high] for w, low, high in zip(plain, [0, *ends], ends, strict=False)}
+        others = [w for w in words if w not in found]
+        found.update(zip(others, self._slow(others), strict=True))
+        return [found[w] for w in words]
+
+    def _slow(self, words: list[bytes]) -> list[bytes]:
+        if not words:
+            return []
         texts = [w.decode() for w in words]
         found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
         begin = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
-        ids = np.array(found.ids, dtype="<u4")
-        at = np.searchsorted([o[0] for o in found.offsets], begin) if len(ids) else np.zeros(len(begin), dtype=int)
-        raw = ids.tobytes()
-        for w, low, high in zip(words, at[:-1].tolist(), at[1:].tolist(), strict=True):
-            self.known[w] = raw[4 * low : 4 * high]
+        raw = np.array(found.ids, dtype="<u4").tobytes()
+        at = np.searchsorted([o[0] for o in found.offsets], begin).tolist() if raw else [0] * len(begin)
+        return [raw[4 * low : 4 * high] for low, high in zip(at[:-1], at[1:], strict=True)]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
         split = [t.split() for t in texts]
-        self.learn(set().union(*split))
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        known = self._lookup(set().union(*split))
+        return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
