@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prioritext.llm import near_duplicates, packing, quality, substrings
+import corpus_pipeline
+from prioritext.llm import (
+    chat,
+    near_duplicates,
+    packing,
+    piecewise,
+    quality,
+    sharding,
+    substrings,
+    topk,
+    toxicity,
+    warc,
+)
 from prioritext.llm.tables import ship_code
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -14,12 +26,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     found = (
+        toxicity.op1_classifier_chain,
         quality.op2_quality_cascade,
+        topk.op3_uniform_threshold,
+        piecewise.op4_transducer,
         substrings.op5_substring_dedup,
         near_duplicates.op6_superminhash,
+        sharding.op7_external_shuffle,
+        warc.op8_revisits,
+        chat.op9_snapshot_collapse,
         packing.op10_nnls_packing,
     )
-    return {f.__name__: _shipping(f) for f in found}
+    return {f.__name__: _shipping(f) for f in found} | {"pipeline": _shipping(corpus_pipeline.run)}
 
 
 def _shipping(query: Query) -> Query:
@@ -34,6 +52,9 @@ def _shipping(query: Query) -> Query:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_quality_cascade": quality.OP2_SQL,
+        "op3_uniform_threshold": topk.OP3_SQL,
         "op5_substring_dedup": substrings.OP5_SQL,
         "op6_superminhash": near_duplicates.OP6_SQL,
+        "op8_revisits": warc.OP8_SQL,
+        "op9_snapshot_collapse": chat.OP9_SQL,
     }

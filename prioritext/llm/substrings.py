@@ -34,6 +34,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -237,61 +238,71 @@ def repeated_spans(docs: DataFrame, k: int = WINDOW, gram: int = GRAM) -> DataFr
     )
 
 
-def _kept(text: memoryview | None, starts, lengths, k: int) -> tuple[list[bytes], int, np.ndarray]:
-    words = [] if text is None else bytes(text).split()
-    gone = np.zeros(len(words), dtype=bool)
-    for s, n in zip(starts or (), lengths or (), strict=True):
-        gone[s : s + n + k - 1] = True
-    return [w for w, g in zip(words, gone.tolist(), strict=True) if not g], len(words), gone
+def _with_spans(docs: DataFrame, k: int, gram: int) -> DataFrame:
+    """``docs`` with ``starts`` and ``lengths`` of the repeated spans of each row, null where there are none."""
+    spans = repeated_spans(docs, k, gram).groupBy("doc_id", "crc").agg(
+        F.collect_list(F.struct("start", "n")).alias("spans")  # bounded by the length of one text
+    )
+    spans = spans.select(F.col("doc_id").alias("_span_id"), F.col("crc").alias("_span_crc"), "spans")
+    crc = F.crc32(F.coalesce(docs["text"], F.lit("")))
+    found = docs["doc_id"].eqNullSafe(spans["_span_id"]) & (crc == spans["_span_crc"])
+    return docs.join(spans, found, "left").select(
+        *(docs[c] for c in docs.columns), spans["spans.start"].alias("_starts"), spans["spans.n"].alias("_lengths")
+    )
+
 
+def _kept_words(part: pa.RecordBatch, k: int) -> Iterator[tuple[pa.LargeStringScalar | pa.StringScalar, int, list[bytes]]]:
+    """Of each row: its text, its number of words, the words that stay."""
+    rows = zip(part.column("text"), part.column("_starts").to_pylist(), part.column("_lengths").to_pylist(), strict=True)
+    for text, starts, lengths in rows:
+        words = text.as_buffer().to_pybytes().split() if text.is_valid else []
+        if starts is None:
+            yield text, len(words), words
+            continue
+        stays = np.ones(len(words), dtype=bool)
+        for s, n in zip(starts, lengths, strict=True):
+            stays[s : s + n + k - 1] = False
+        yield text, len(words), list(compress(words, stays.tolist()))
 
-def cleaned(docs: DataFrame, k: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """``(doc_id, crc, n_words, n_removed, kept_sha256, kept_text, changed)`` of every row of ``docs``.
 
-    ``kept_text`` is the text itself where nothing is removed, else the kept words joined by a space.
+def removals(docs: DataFrame, k: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """``(doc_id, n_words, n_removed, kept_sha256)`` of every row of ``docs(doc_id, text)``.
+
+    The digest is of the kept words joined by one space.
     """
-    spans = repeated_spans(docs, k, gram).groupBy("doc_id", "crc").agg(
-        F.collect_list(F.struct("start", "n")).alias("spans")  # bounded by the length of one text
-    )
-    left = docs.select("doc_id", "text", F.crc32(F.coalesce("text", F.lit(""))).alias("crc"))
-    both = left.join(
-        spans.select(F.col("doc_id").alias("span_id"), F.col("crc").alias("span_crc"), "spans"),
-        F.col("doc_id").eqNullSafe(F.col("span_id")) & (F.col("crc") == F.col("span_crc")),
-        "left",
-    ).select("doc_id", "crc", "text", F.col("spans.start").alias("starts"), F.col("spans.n").alias("lengths"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                out: dict[str, list] = {c: [] for c in ("n_words", "n_removed", "kept_sha256", "kept_text", "changed")}
-                starts, lengths = part.column("starts").to_pylist(), part.column("lengths").to_pylist()
-                for i, text in enumerate(part.column("text")):
-                    raw = text.as_buffer() if text.is_valid else None
-                    words, n, gone = _kept(raw, starts[i], lengths[i], k)
-                    joined = b" ".join(words)
-                    removed = n - len(words)
-                    out["n_words"].append(n)
-                    out["n_removed"].append(removed)
-                    out["kept_sha256"].append(hashlib.sha256(joined).hexdigest())
-                    out["kept_text"].append(joined.decode() if removed else text.as_py())
-                    out["changed"].append(removed > 0)
-                yield pa.RecordBatch.from_pydict(
-                    {"doc_id": part.column("doc_id"), "crc": part.column("crc")} | out,
-                    schema=pa.schema(
-                        [("doc_id", pa.int64()), ("crc", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
-                         ("kept_sha256", pa.string()), ("kept_text", pa.string()), ("changed", pa.bool_())]
-                    ),
-                )
-
-    return both.mapInArrow(
-        run, _KEYS + "n_words long, n_removed long, kept_sha256 string, kept_text string, changed boolean"
-    )
+                out = [(n, n - len(w), hashlib.sha256(b" ".join(w)).hexdigest()) for _, n, w in _kept_words(part, k)]
+                cols = [part.column("doc_id"), *(pa.array(c) for c in zip(*out, strict=True))]
+                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_words", "n_removed", "kept_sha256"])
+
+    spans = _with_spans(docs.select("doc_id", "text"), k, gram)
+    return spans.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+
+
+def without_repeats(docs: DataFrame, k: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """``docs`` (all columns) with the repeated passages taken out of ``text``.
+
+    A text that loses words becomes its kept words joined by one space; others stay as they are.
+    """
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                texts = [t.as_py() if n == len(w) else b" ".join(w).decode() for t, n, w in _kept_words(part, k)]
+                cols = {c: part.column(c) for c in names}
+                yield pa.RecordBatch.from_pydict(cols | {"text": pa.array(texts, part.column("text").type)})
+
+    return _with_spans(docs, k, gram).mapInArrow(run, docs.schema)
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the words that repeated 35-word passages take from it."""
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return cleaned(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    return removals(docs)
 
 
 OP5_SQL = r"""
