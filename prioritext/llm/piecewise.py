@@ -10,8 +10,8 @@ tropical semiring.
 For a pair-merging model the weight of an arc depends on the arc before it:
 one where merging would leave the two pieces side by side, infinite where it
 would join across their border first.  A path is finite exactly if all its
-neighbours are stable, and then it is the merges' own result, so the
-shortest-path search keeps, per place, the best path for each last piece.  For
+neighbours are stable, and then it is the merges' own result for the text up to
+there: each place has one finite path, so the search keeps one per place.  For
 a unigram model an arc weighs minus its piece's score.
 
 No piece holds a visible blank behind another character, and nothing merges
@@ -41,7 +41,8 @@ from prioritext.llm.tables import table
 from prioritext.llm.words import slices
 
 BLANK = "▁"
-CACHE_STRETCHES = 300_000
+CACHE_STRETCHES = 500_000  # twice at most
+_INFINITE = float("inf")
 _NORMAL, _UNKNOWN, _BYTE = 1, 2, 6
 _UNIGRAM, _BPE = 1, 2
 
@@ -105,15 +106,14 @@ class Transducer:
         self.byte_of = {i: b for b, i in self.bytes.items()}
         if any(BLANK in p.lstrip(BLANK) for p in self.ids):
             raise ValueError("pieces with an inner blank are not supported")
-        # the trie: a state is a prefix of a piece; per state the piece that ends there
-        self.longest = max(map(len, self.ids))
-        self.prefixes = {p[:n] for p in self.ids for n in range(1, len(p) + 1)}
+        # the trie: a state is a prefix of a piece, with the piece that ends there or -1
+        self.arcs = dict.fromkeys((p[:n] for p in self.ids for n in range(1, len(p))), -1) | self.ids
         known = {c for p in self.ids for c in p if len(c) == 1 and c in self.ids}
         self.alphabet = known
         # stretches: blanks and what follows up to the next blank, or a run without pieces
         inside = "".join(map(re.escape, sorted(known - {BLANK})))
         self.stretch = re.compile(f"{BLANK}*[{inside}]+|{BLANK}+|[^{inside}{BLANK}]+")
-        self.stable: dict[tuple[int, int], bool] = {}
+        self.stable: dict[int, float] = {}
         self.paths: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -147,64 +147,42 @@ class Transducer:
                 return out
             out[at : at + 2] = [out[at] + out[at + 1]]
 
-    def _neighbours(self, left: int, right: int) -> bool:
-        """True if merging the two pieces' characters leaves just the two pieces."""
-        key = (left, right)
+    # -- shortest paths
+
+    def _arc(self, last: int, piece: int) -> float:
+        """Weight of a piece's arc behind the arc of another (-1: the first)."""
+        if not self.bpe:
+            return -self.scores[piece]
+        key = last * len(self.pieces) + piece
         known = self.stable.get(key)
         if known is None:
-            a, b = self.pieces[left], self.pieces[right]
-            known = self.stable[key] = self._merged(a + b) == [a, b]
+            # merging the characters must leave just these pieces
+            alone = [self.pieces[piece]] if last < 0 else [self.pieces[last], self.pieces[piece]]
+            known = self.stable[key] = 1.0 if self._merged("".join(alone)) == alone else _INFINITE
         return known
 
-    # -- shortest paths
-
     def _path(self, stretch: str) -> list[int]:
         whole = self.ids.get(stretch)
-        if whole is not None and self.bpe and (len(stretch) == 1 or self._whole(whole)):
+        if whole is not None and self.bpe and self._arc(-1, whole) < _INFINITE:
             return [whole]
-        n = len(stretch)
-        best: list[dict[int, tuple[float, int, int]]] = [{} for _ in range(n + 1)]  # last piece -> weight, its start, the one before
-        best[0][-1] = (0.0, 0, -1)
+        n, arcs, arc, bpe = len(stretch), self.arcs, self._arc, self.bpe
+        weight, begin, last = [0.0] + [_INFINITE] * n, [0] * (n + 1), [-1] * (n + 1)
         for i in range(n):
-            here = best[i]
-            if not here:
-                continue
-            for j in range(i + 1, min(n, i + self.longest) + 1):
-                part = stretch[i:j]
-                if part not in self.prefixes:
+            for j in range(i + 1, n + 1):
+                piece = arcs.get(stretch[i:j])
+                if piece is None:
                     break
-                piece = self.ids.get(part)
-                if piece is None or (self.bpe and j - i > 1 and not self._whole(piece)):
+                if piece < 0 or (bpe and weight[j] < _INFINITE):
                     continue
-                found = None
-                for last, (weight, _, _) in here.items():
-                    if self.bpe:
-                        if last >= 0 and not self._neighbours(last, piece):
-                            continue
-                        weight += 1.0
-                    else:
-                        weight -= self.scores[piece]
-                    if found is None or weight < found[0]:
-                        found = (weight, i, last)
-                if found is not None:
-                    if self.bpe:
-                        best[j][piece] = found
-                    elif not best[j] or found[0] <= next(iter(best[j].values()))[0]:
-                        best[j] = {piece: found}
-        piece = min(best[n], key=lambda p: best[n][p][0])
+                cost = weight[i] + arc(last[i], piece)
+                if cost <= weight[j] and cost < _INFINITE:
+                    weight[j], begin[j], last[j] = cost, i, piece
         out, at = [], n
-        while piece >= 0:
-            out.append(piece)
-            _, at, piece = best[at][piece]
+        while at:
+            out.append(last[at])
+            at = begin[at]
         return out[::-1]
 
-    def _whole(self, piece: int) -> bool:
-        """True if merging the piece's characters gives the piece."""
-        known = self.stable.get((piece, -1))
-        if known is None:
-            known = self.stable[(piece, -1)] = self._merged(self.pieces[piece]) == [self.pieces[piece]]
-        return known
-
     def _fallback(self, run: str) -> list[int]:
         if not self.bytes:
             return [self.unknown] * len(run)
