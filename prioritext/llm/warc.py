@@ -108,11 +108,17 @@ def resolve_revisits(records: DataFrame, block_seconds: int = BLOCK_SECONDS) ->
     )
     bodies = (
         records.filter("kind = 'response' and record_id is not null")
-        .select(F.col("record_id").alias("response_id"), "body")
-        .groupBy("response_id")
+        .groupBy(F.lit(True).alias("has"), F.col("record_id").alias("body_of"))
         .agg(F.max("body").alias("body"))
     )
-    return judged.join(bodies, "response_id", "left").select(
+    # the unresolved look for a body that isn't there, each under a key of its own
+    wanted = judged.withColumns(
+        {
+            "has": F.col("response_id").isNotNull(),
+            "body_of": F.coalesce("response_id", F.xxhash64("record_id", "url_key", "ts")),
+        }
+    )
+    return wanted.join(bodies, ["has", "body_of"], "left").select(
         "record_id", "url_key", "ts", "status", "response_id", "headers", "body"
     )
 
