@@ -56,7 +56,7 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 4096 ids, piece by piece."""
-    packed = packing.digests(packing.pack_documents(docs, packing.word_bpe_path()))
+    packed = packing.pack_documents(docs, packing.word_bpe_path(), digest=True)
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 

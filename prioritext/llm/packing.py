@@ -43,7 +43,7 @@ END_ID = 2
 # Pieces that one cell (one task's unit of packing) takes, on average.
 CELL_PIECES = 4_096
 # Distinct words whose ids a worker remembers, and words tokenised in one call.
-CACHE_WORDS = 350_000  # twice at most
+CACHE_WORDS = 250_000  # twice at most
 CALL_WORDS = 512
 
 _workers: dict[str, "WordIds"] = {}
@@ -268,10 +268,11 @@ def pack_cell(lengths: np.ndarray, plan: list[tuple[tuple[int, ...], float]], sh
     return out
 
 
-def pack(cut: DataFrame, window: int = WINDOW, unit: int = UNIT) -> DataFrame:
+def pack(cut: DataFrame, window: int = WINDOW, unit: int = UNIT, digest: bool = False) -> DataFrame:
     """Each piece's ``sequence_id`` and ``offset`` beside its own columns.
 
     ``cut`` is a written table of pieces (see :func:`pieces`), so that row numbers stand.
+    With ``digest`` a CRC-32 of a piece's 32-bit ids stands in place of the ids.
     """
     bins = window // unit
     counted = cut.groupBy(F.ceil(F.col("length") / unit).alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()
@@ -293,35 +294,29 @@ def pack(cut: DataFrame, window: int = WINDOW, unit: int = UNIT) -> DataFrame:
         for number, members in enumerate(packed):
             sequence[members] = (cell << 32) + number
             offset[members] = np.cumsum(lengths[members]) - lengths[members]
+        if digest:
+            pairs = zip(table_.column("ids").to_pylist(), lengths.tolist(), strict=True)
+            ids = {"ids_crc32": pa.array([zlib.crc32(widened(i, n).tobytes()) for i, n in pairs], pa.int64())}
+        else:
+            ids = {"ids": table_.column("ids")}
         return pa.table(
-            {c: table_.column(c) for c in ("doc_id", "start", "length", "doc_tokens", "ids")}
+            {c: table_.column(c) for c in ("doc_id", "start", "length", "doc_tokens")}
+            | ids
             | {"sequence_id": sequence, "offset": offset}
         )
 
+    content = "ids_crc32 long" if digest else "ids binary"
     return cells.groupBy("cell").applyInArrow(
-        run, "doc_id long, start long, length long, doc_tokens long, ids binary, sequence_id long, offset long"
+        run, f"doc_id long, start long, length long, doc_tokens long, {content}, sequence_id long, offset long"
     )
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
-    """Every piece of every document with its ids (16- or 32-bit), sequence and offset."""
+def pack_documents(
+    docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int = END_ID, digest: bool = False
+) -> DataFrame:
+    """Every piece of every document with its ids (16- or 32-bit) or their digest, sequence and offset."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return pack(written(pieces(docs, tokenizer_path, window, end_id), "pieces"), window)
-
-
-def digests(packed: DataFrame) -> DataFrame:
-    """The packed pieces with a CRC-32 of their 32-bit ids in place of the ids."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lengths = batch.column("length").to_pylist()
-            crc = [zlib.crc32(widened(i, n).tobytes()) for i, n in zip(batch.column("ids").to_pylist(), lengths, strict=True)]
-            keep = ("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset")
-            yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in keep} | {"ids_crc32": pa.array(crc, pa.int64())})
-
-    return packed.mapInArrow(
-        run, "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids_crc32 long"
-    )
+    return pack(written(pieces(docs, tokenizer_path, window, end_id), "pieces"), window, digest=digest)
 
 
 def word_bpe_path() -> str:
@@ -333,6 +328,6 @@ def word_bpe_path() -> str:
 def op10_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed to sequences of at most 4096 ids."""
     docs = table(spark, sf_dir, "documents")
-    return digests(pack_documents(docs, word_bpe_path())).select(
+    return pack_documents(docs, word_bpe_path(), digest=True).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
     )

@@ -51,7 +51,7 @@ GRAM = 8
 SAMPLE_ROWS = 20_000
 FREQUENT = 0.002
 # Texts of this size are worked on together: the reach of step 2.
-REACH_BYTES = 6_000_000
+REACH_BYTES = 4_000_000
 HASH_BYTES = 6
 
 _KEYS = "doc_id long, crc long, "

@@ -7,6 +7,7 @@ word.  Hashes are 64-bit and the same in every process.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,7 +17,7 @@ import pyarrow.compute as pc
 
 # Texts are worked on in slices of about this many bytes (one text at least),
 # which bounds the temporary arrays of a task whatever the batch size.
-SLICE_BYTES = 3_000_000
+SLICE_BYTES = 2_000_000
 
 _SEPARATOR = np.zeros(256, dtype=bool)
 _SEPARATOR[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -150,3 +151,14 @@ def slices(batch: pa.RecordBatch, text_col: str, size: int = SLICE_BYTES) -> Ite
         end = max(begin + 1, int(np.searchsorted(total, before + size, side="right")))
         yield batch.slice(begin, end - begin)
         begin = end
+    release()
+
+
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Give the memory of finished arrays back, so that idle workers stay small."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
