@@ -59,7 +59,7 @@ _KEYS = "doc_id long, crc long, "
 
 def _coordinates(part: pa.RecordBatch) -> tuple[list, np.ndarray]:
     texts = part.column("text")
-    crc = [0 if t is None else zlib.crc32(t.as_buffer()) for t in texts]
+    crc = [zlib.crc32(t.as_buffer()) if t.is_valid else 0 for t in texts]
     return part.column("doc_id").to_pylist(), np.array(crc, dtype=np.int64)
 
 
