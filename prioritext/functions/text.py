@@ -46,7 +46,7 @@ def lexicon_pattern(terms: Sequence[str]) -> str:
     """
     firsts = sorted({t[0].lower() for t in terms})
     cls = "".join(c if c.isalnum() else "\\" + c for c in firsts)
-    return rf"(?iu)\b(?=[{cls}])(?:{term_alternation(terms)})\b"
+    return rf"(?iuU)\b(?=[{cls}])(?:{term_alternation(terms)})\b"
 
 
 def lexicon_hits(text: str | Column, terms: Sequence[str]) -> Column:
@@ -77,24 +77,27 @@ def map_band(
     high: str | Column | float,
     labels: Sequence[str] = ("normal", "atencao", "urgente"),
 ) -> Column:
-    """Three bands: ``score < low`` -> labels[0], ``[low, high)`` -> labels[1], else labels[2]."""
+    """Three bands: ``score < low`` -> labels[0], ``[low, high)`` -> labels[1], else labels[2].
+
+    A null or NaN score has no band (null).
+    """
     s = _col(score)
     lo = F.lit(low) if isinstance(low, (int, float)) else _col(low)
     hi = F.lit(high) if isinstance(high, (int, float)) else _col(high)
-    return F.when(s < lo, labels[0]).when(s < hi, labels[1]).otherwise(labels[2])
+    return F.when(s < lo, labels[0]).when(s < hi, labels[1]).when(s.isNotNull() & ~F.isnan(s.cast("double")), labels[2])
 
 
 @lru_cache(maxsize=1)
 def accent_table() -> tuple[str, str]:
     """(from, to) strings for ``translate``: accented Latin letters -> base letter.
 
-    Built by rule, not by hand: every code point of the Latin-1 supplement
-    and Latin extended-A/B blocks whose compatibility decomposition, with
+    Built by rule, not by hand: every code point of the Latin-1 supplement,
+    Latin extended-A/B and Latin extended additional blocks whose compatibility decomposition, with
     combining marks dropped, is a single different character.  Letters with
     no decomposition (``ß``, ``æ``, ``ø``) stay, as with NFKD.
     """
     src, dst = [], []
-    for cp in range(0x00C0, 0x0250):
+    for cp in (*range(0x00C0, 0x0250), *range(0x1E00, 0x1F00)):
         ch = chr(cp)
         base = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
         if base != ch and len(base) == 1:
@@ -103,10 +106,14 @@ def accent_table() -> tuple[str, str]:
     return "".join(src), "".join(dst)
 
 
+# Combining marks of decomposed letters: no counterpart, so ``translate`` deletes them.
+COMBINING_MARKS = "".join(map(chr, range(0x0300, 0x0370)))
+
+
 def normalize_text(text: str | Column) -> Column:
     """Lower-case, then strip accents of Latin letters (native ``translate``)."""
     src, dst = accent_table()
-    return F.translate(F.lower(_col(text)), src, dst)
+    return F.translate(F.lower(_col(text)), src + COMBINING_MARKS, dst)
 
 
 def tokens(normalized: str | Column) -> Column:

@@ -138,8 +138,7 @@ def equivalence(
 
     1 row ``(n, matches, agreement_pct, passed, unpaired)``.  Pairing is a
     full outer equi-join (shuffle on the id, AQE may switch strategies), so
-    rows missing on one side are counted as ``unpaired`` rather than
-    silently dropped.  No rows or a missing side is vacuously ``(0, 0, 100, true)``.
+    rows missing on one side are counted as ``unpaired`` and fail the check.  No rows or a missing side is vacuously ``(0, 0, 100, true)``.
     """
     if a is None or b is None:
         spark = (a or b).sparkSession
@@ -160,7 +159,7 @@ def equivalence(
         F.col("n").cast("bigint").alias("n"),
         F.col("matches").cast("bigint").alias("matches"),
         pct.alias("agreement_pct"),
-        (pct >= F.lit(floor)).alias("passed"),
+        ((pct >= F.lit(floor)) & (F.col("unpaired") == 0)).alias("passed"),
         F.col("unpaired").cast("bigint").alias("unpaired"),
     )
 

@@ -2,18 +2,23 @@
 
 ``row_number() OVER (PARTITION BY split ORDER BY key)`` would put a whole
 split into one task.  Instead the rows are range-partitioned on
-``(split, key)`` (balanced by sampling), sorted inside each partition and
-numbered locally; a tiny table of per-partition counts (one row per
-partition and split, bounded by the partition count) gives each partition
-its offset and is broadcast back.  One range shuffle in total: both
-branches read the same exchange.
+``(split, key)`` (balanced by sampling), sorted inside each partition,
+numbered locally and written once to the cluster's checkpoint folder; a tiny
+table of per-partition counts (one row per partition and split) gives each
+partition its offset.  Range bounds are sampled anew by every exchange, so
+rows and counts must come from the same one: both read the written table,
+and so does every later evaluation of the result.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from prioritext.session import scratch_path
+
 _PID_SHIFT = 33  # monotonically_increasing_id keeps the partition id above bit 33
 
 
@@ -27,31 +32,34 @@ def dense_index(
     """Add ``out_col`` = 0-based position of the row within ``group_col`` by ``order_col``.
 
     ``order_col`` must be unique within a group for the numbering to be
-    deterministic.
+    deterministic.  Rows with a null group are a group of their own.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (
+    path = scratch_path(spark, f"dense-index-{uuid.uuid4().hex}")
+    (
         df.repartitionByRange(n, F.col(group_col), F.col(order_col))
         .sortWithinPartitions(group_col, order_col)
         .withColumn("_pos", F.monotonically_increasing_id())
         .withColumn("_pid", F.shiftright(F.col("_pos"), _PID_SHIFT))
+        .write.parquet(path)
     )
+    ranged = spark.read.parquet(path)
     per_part = ranged.groupBy(group_col, "_pid").agg(
         F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_first")
     )
     w = Window.partitionBy(group_col).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_part.select(
-        group_col,
-        "_pid",
-        "_first",
-        F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_offset"),
+        F.col(group_col).alias("_og"),
+        F.col("_pid").alias("_op"),
+        (F.coalesce(F.sum("_cnt").over(w), F.lit(0)) - F.col("_first")).alias("_offset"),
     )
     # one row per (group, partition): bounded by the partition count
+    same = F.col(group_col).eqNullSafe(F.col("_og")) & (F.col("_pid") == F.col("_op"))
     return (
-        ranged.join(F.broadcast(offsets), [group_col, "_pid"], "inner")
-        .withColumn(out_col, (F.col("_offset") + F.col("_pos") - F.col("_first")).cast("bigint"))
-        .drop("_pos", "_pid", "_first", "_offset")
+        ranged.join(F.broadcast(offsets), same, "inner")
+        .withColumn(out_col, (F.col("_offset") + F.col("_pos")).cast("bigint"))
+        .drop("_pos", "_pid", "_og", "_op", "_offset")
     )
 
 

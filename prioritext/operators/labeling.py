@@ -64,7 +64,7 @@ def collect_thresholds(thresholds: DataFrame) -> tuple[float, float]:
     """Bring the two cut points to the driver; empty input is an error."""
     row = thresholds.first()
     if row is None or row["low"] is None or row["high"] is None:
-        raise EngineError("cannot fit urgency thresholds on an empty score list")
+        raise EngineError("the list of train scores is empty: the two cut points are undefined")
     return float(row["low"]), float(row["high"])
 
 
@@ -138,22 +138,29 @@ def label_documents(
     is_train = F.col(split_col) == F.lit(train_value)
     row = written.agg(
         F.count_if(F.col("condition_name").isNull()).alias("_n_bad"),
+        F.count_if(F.col("urgency_score").isNull() | F.isnan("urgency_score")).alias("_n_unscored"),
         F.percentile(F.when(is_train, F.col("urgency_score")), F.array(F.lit(q_low), F.lit(q_high))).alias("_q"),
     ).first()
     if check_unmatched and row["_n_bad"] > 0:
-        bad = (
+        keys = (
             written.filter(F.col("condition_name").isNull())
-            .select(F.col(key_col).cast("string").alias("_bad"))
-            .distinct()
-            .orderBy(F.col("_bad").asc_nulls_first())
-            .limit(50)
-            .collect()
+            .groupBy(F.col(key_col).cast("string").alias("key"))
+            .agg(F.count(F.lit(1)).alias("n_rows"))
         )
-        raise EngineError(f"{key_col} value(s) {[r['_bad'] for r in bad]} are absent from the category dimension")
+        full = scratch_path(spark, f"unmatched-keys-{uuid.uuid4().hex}")
+        keys.write.parquet(full)
+        listed = spark.read.parquet(full)
+        shown = [r["key"] for r in listed.orderBy(F.col("key").asc_nulls_first()).limit(50).collect()]
+        raise EngineError(
+            f"{key_col}: {listed.count()} key(s) in {row['_n_bad']} row(s) have no category, "
+            f"such as {shown}; all of them are in {full}"
+        )
+    if row["_n_unscored"] > 0:
+        raise EngineError(f"{row['_n_unscored']} row(s) have no score ({text_col} is null); they cannot be labelled")
     if thresholds is None:
         q = row["_q"]
         if q is None or q[0] is None or q[1] is None:
-            raise EngineError("cannot fit urgency thresholds on an empty score list")
+            raise EngineError("the list of train scores is empty: the two cut points are undefined")
         thresholds = (float(q[0]), float(q[1]))
     narrow = dense_ids(written, split_col, order_col, "id")
     low, high = thresholds

@@ -97,8 +97,7 @@ ROWS_PER_TRAIN_PARTITION = 1000
 
 def training_partitions(spark, n_rows: int) -> int:
     """Partitions of the optimiser input: enough for the data, no more."""
-    cap = max(1, spark.sparkContext.defaultParallelism)
-    return max(1, min(cap * 4, math.ceil(n_rows / ROWS_PER_TRAIN_PARTITION)))
+    return max(1, math.ceil(n_rows / ROWS_PER_TRAIN_PARTITION))
 
 
 def train(df: DataFrame, cfg: TrainConfig | None = None) -> TrainedModel:

@@ -1,7 +1,7 @@
 """Seeded, partition-independent sampling and splitting.
 
 Every draw is a hash of ``(seed, key)``, never ``rand()``: the same seed and
-data give the same result for any partitioning.  ``hash32`` is the first
+data give the same result for any partitioning.  ``hash60`` is the first
 32 bits of an MD5 digest, which DuckDB reproduces exactly.
 """
 
@@ -17,15 +17,15 @@ from prioritext.constants import DEFAULT_SEED, TEST_SIZE, VALID_LABELS
 from prioritext.operators.common import EngineError
 from prioritext.operators.ids import dense_index
 
-# Bits of the 32-bit hash kept by the split's bucket (the rest rank inside).
-_BUCKET_SHIFT = 12
+# Bits of the 60-bit hash kept by the split's bucket (the rest rank inside).
+_BUCKET_SHIFT = 40
 
 
-def hash32(seed: int, key: F.Column | str) -> F.Column:
-    """Unsigned 32-bit hash of ``'{seed}-{key}'`` as BIGINT."""
+def hash60(seed: int, key: F.Column | str) -> F.Column:
+    """Unsigned 60-bit hash of ``'{seed}-{key}'`` as BIGINT."""
     k = F.col(key) if isinstance(key, str) else key
     digest = F.md5(F.concat(F.lit(f"{seed}-"), k.cast("string")))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
 
 
 def largest_remainder_quotas(counts: dict[str, int], n_take: int) -> dict[str, int]:
@@ -57,12 +57,12 @@ def stratified_split(
     proportions kept by largest remainder, the quota of smallest hashes per class.
 
     At scale a class is never ranked in one task: rows are counted per
-    ``(class, hash >> 12)`` bucket, cumulative counts over that small table
+    ``(class, hash >> 40)`` bucket, cumulative counts over that small table
     give each class a boundary bucket, lower buckets are test outright,
     higher buckets train, and only the boundary bucket is ranked.
     """
     if label_col not in df.columns:
-        raise EngineError(f"stratified_split: DataFrame has no {label_col!r} column to stratify on")
+        raise EngineError(f"stratified_split: no column {label_col!r} to stratify by among {df.columns}")
     rows = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n")).collect()  # one row per class
     counts = {r[label_col]: int(r["n"]) for r in rows}
     small = sorted(k for k, c in counts.items() if c < 2)
@@ -72,7 +72,7 @@ def stratified_split(
     n_test = math.ceil(test_size * n)
     quotas = largest_remainder_quotas(counts, n_test)
 
-    h = df.withColumn("_h", hash32(seed, F.col(id_col))).withColumn("_bk", F.shiftright("_h", _BUCKET_SHIFT))
+    h = df.withColumn("_h", hash60(seed, F.col(id_col))).withColumn("_bk", F.shiftright("_h", _BUCKET_SHIFT))
     buckets = h.groupBy(label_col, "_bk").agg(F.count(F.lit(1)).alias("_c"))
     quota_map = F.create_map(*[x for k, q in quotas.items() for x in (F.lit(k), F.lit(q))])
     wc = Window.partitionBy(label_col).orderBy("_bk").rowsBetween(Window.unboundedPreceding, 0)
@@ -113,14 +113,14 @@ def sample_with_replacement(
     if pool_n == 0:
         raise EngineError("cannot sample from an empty pool")
     indexed = dense_index(pool.withColumn("_g", F.lit(0)), "_g", order_col, "_idx").drop("_g")
-    slots = spark.range(n).withColumnRenamed("id", "slot").withColumn("_idx", hash32(seed, F.col("slot")) % F.lit(pool_n))
+    slots = spark.range(n).withColumnRenamed("id", "slot").withColumn("_idx", hash60(seed, F.col("slot")) % F.lit(pool_n))
     return slots.join(indexed.select("_idx", *keep), "_idx", "inner").drop("_idx")
 
 
 def sample_without_replacement(df: DataFrame, n: int, seed: int = DEFAULT_SEED, id_col: str = "doc_id") -> DataFrame:
     """``n`` distinct rows with the smallest seeded hashes (TakeOrdered, no full sort)."""
     return (
-        df.withColumn("_h", hash32(seed, F.col(id_col)))
+        df.withColumn("_h", hash60(seed, F.col(id_col)))
         .orderBy("_h", id_col)
         .limit(n)
         .drop("_h")
@@ -150,16 +150,15 @@ def balanced_mix(
     passes through the driver except the per-class counts.
     """
     if n <= 0:
-        raise ValueError(f"n must be positive, got {n}")
+        raise ValueError(f"balanced_mix: a mix of {n} rows cannot be drawn, ask for one at least")
     spark = df.sparkSession
     classes = sorted(labels)
     rows = df.filter(F.col(label_col).isin(classes)).groupBy(label_col).agg(F.count(F.lit(1)).alias("n")).collect()
     counts = {r[label_col]: int(r["n"]) for r in rows}
     present = [c for c in classes if counts.get(c, 0) > 0]
     if not present:
-        raise ValueError("dataset has no rows for any of the known labels")
-    per_class = n // len(classes)
-    take = per_class if per_class > 0 else 1
+        raise ValueError(f"balanced_mix: none of {classes} occurs in {label_col!r}")
+    take = max(1, n // len(classes))
     base_len = take * len(present)
 
     pool = dense_index(df.filter(F.col(label_col).isin(present)), label_col, id_col, "_idx")
@@ -172,7 +171,7 @@ def balanced_mix(
         .withColumn("_j", F.col("pos") % take)
         .withColumn(
             "_idx",
-            hash32(seed, F.concat(F.col(label_col), F.lit("-"), F.col("_j").cast("string"))) % cnt_map[F.col(label_col)],
+            hash60(seed, F.concat(F.col(label_col), F.lit("-"), F.col("_j").cast("string"))) % cnt_map[F.col(label_col)],
         )
         .join(pool.select(label_col, "_idx", id_col), [label_col, "_idx"], "inner")
         .select("pos", label_col, id_col)
@@ -182,8 +181,8 @@ def balanced_mix(
         top = (
             spark.range(base_len, n)
             .withColumnRenamed("id", "pos")
-            .withColumn("_src", hash32(seed, F.concat(F.lit("top-"), F.col("pos").cast("string"))) % F.lit(base_len))
+            .withColumn("_src", hash60(seed, F.concat(F.lit("top-"), F.col("pos").cast("string"))) % F.lit(base_len))
         )
         src = base.select(F.col("pos").alias("_src"), label_col, id_col)
         picks = picks.unionByName(top.join(src, "_src", "inner").select("pos", label_col, id_col))
-    return picks.withColumn("order_key", hash32(seed, F.concat(F.lit("mix-"), F.col("pos").cast("string"))))
+    return picks.withColumn("order_key", hash60(seed, F.concat(F.lit("mix-"), F.col("pos").cast("string"))))

@@ -45,8 +45,8 @@ def _in_list(values) -> str:
     return "(" + ", ".join(sql_str(v) for v in values) + ")"
 
 
-def hash32_sql(seed: int, key: str) -> str:
-    return f"CAST(('0x' || substr(md5('{seed}-' || CAST({key} AS VARCHAR)), 1, 8)) AS BIGINT)"
+def hash60_sql(seed: int, key: str) -> str:
+    return f"CAST(('0x' || substr(md5('{seed}-' || CAST({key} AS VARCHAR)), 1, 15)) AS BIGINT)"
 
 
 # Twin of the token rule: maximal runs (>= 2) of letters, digits, underscore,
@@ -365,7 +365,7 @@ _SWR = f"""pool AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS id
 pn AS (SELECT count(*) AS n FROM documents),
 slots AS (SELECT range AS slot FROM range({_N_DRAWS})),
 draws AS (
-  SELECT s.slot, p.doc_id FROM slots s, pn JOIN pool p ON p.idx = {hash32_sql(DEFAULT_SEED, 's.slot')} % pn.n
+  SELECT s.slot, p.doc_id FROM slots s, pn JOIN pool p ON p.idx = {hash60_sql(DEFAULT_SEED, 's.slot')} % pn.n
 )"""
 
 SQL["sample_with_replacement"] = f"""WITH {_SWR}
@@ -375,7 +375,7 @@ SQL["warmup_split"] = f"""WITH {_SWR}
 SELECT slot, doc_id, CASE WHEN slot < {DEFAULT_WARMUP} THEN 'warmup' ELSE 'measured' END AS phase FROM draws"""
 
 SQL["sample_without_replacement"] = f"""SELECT doc_id, lang FROM documents
-ORDER BY {hash32_sql(DEFAULT_SEED, 'doc_id')}, doc_id LIMIT {DEFAULT_SAMPLES}"""
+ORDER BY {hash60_sql(DEFAULT_SEED, 'doc_id')}, doc_id LIMIT {DEFAULT_SAMPLES}"""
 
 SQL["stratified_split"] = f"""WITH {labelled_ctes()},
 cnt AS (SELECT label, count(*) AS n_c FROM labelled GROUP BY label),
@@ -389,7 +389,7 @@ q AS (
   FROM q0
 ),
 ranked AS (
-  SELECT l.id, l.label, row_number() OVER (PARTITION BY l.label ORDER BY {hash32_sql(DEFAULT_SEED, 'l.id')}, l.id) AS rn
+  SELECT l.id, l.label, row_number() OVER (PARTITION BY l.label ORDER BY {hash60_sql(DEFAULT_SEED, 'l.id')}, l.id) AS rn
   FROM labelled l
 )
 SELECT r.id, r.label, CASE WHEN r.rn <= q.quota THEN 'test' ELSE 'train' END AS fold
@@ -409,11 +409,11 @@ base AS (
 basep AS (
   SELECT b.pos, b.label, p.id
   FROM base b JOIN pool p ON p.label = b.label
-   AND p.idx = {hash32_sql(DEFAULT_SEED, "b.label || '-' || CAST(b.j AS VARCHAR)")} % b.n_c
+   AND p.idx = {hash60_sql(DEFAULT_SEED, "b.label || '-' || CAST(b.j AS VARCHAR)")} % b.n_c
 ),
 bl AS (SELECT count(*) AS n FROM basep),
 top AS (
-  SELECT r.range AS pos, {hash32_sql(DEFAULT_SEED, "'top-' || CAST(r.range AS VARCHAR)")} % bl.n AS src
+  SELECT r.range AS pos, {hash60_sql(DEFAULT_SEED, "'top-' || CAST(r.range AS VARCHAR)")} % bl.n AS src
   FROM bl, range((SELECT n FROM bl), greatest({MIX_SIZE}, (SELECT n FROM bl))) r
 ),
 picks AS (
@@ -421,7 +421,7 @@ picks AS (
   UNION ALL
   SELECT t.pos, b.label, b.id FROM top t JOIN basep b ON b.pos = t.src
 )
-SELECT pos, label, id, {hash32_sql(DEFAULT_SEED, "'mix-' || CAST(pos AS VARCHAR)")} AS order_key FROM picks"""
+SELECT pos, label, id, {hash60_sql(DEFAULT_SEED, "'mix-' || CAST(pos AS VARCHAR)")} AS order_key FROM picks"""
 
 # ------------------------------------------------------------ text functions
 SQL["lexicon_hits"] = f"""SELECT doc_id, {hits_sql('text', STANDIN_RAISING)} AS raising_hits,

@@ -52,8 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as it is.  Only when it is unset (local tests) a fresh scratch folder is
-    made, so lineage cuts still work there.
+    as it is.  Only when it is unset in local mode (tests) a fresh scratch
+    folder is made; anywhere else a folder of one machine would not do.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
@@ -62,6 +62,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(current)
         return current
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(
+            f"spark.checkpoint.dir is not set on {master}: name a folder that the driver and all executors share"
+        )
     local = tempfile.mkdtemp(prefix="prioritext-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

@@ -53,15 +53,18 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, required: Seq
     """Scan CSV with an explicit schema; ``multiLine`` keeps quoted newlines.
 
     ``multiLine`` makes each file one task, so land to Parquet once (``land``)
-    and scan Parquet afterwards.  The column contract is checked on the
-    header (required subset, extra columns fine).
+    and scan Parquet afterwards.  Columns are found by their names in the
+    header, whatever their order; columns beyond the schema are left out, and
+    those missing (of ``required``, else of the schema) raise.
     """
-    if required:
-        header = spark.read.options(**CSV_OPTIONS).csv(path).columns
-        missing = sorted(set(required) - set(header))
-        if missing:
-            raise EngineError(f"{path}: missing column(s) {missing}")
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    header = spark.read.options(**CSV_OPTIONS).csv(path).columns
+    missing = sorted(set(required or schema.names) - set(header))
+    if missing:
+        raise EngineError(f"{path}: missing column(s) {missing}")
+    typed = {f.name: f for f in schema}
+    found = T.StructType([typed.get(c, T.StructField(c, T.StringType())) for c in header])
+    scan = spark.read.schema(found).options(**CSV_OPTIONS).option("enforceSchema", "false").csv(path)
+    return scan.select(*(F.col(c) if c in header else F.lit(None).cast(typed[c].dataType).alias(c) for c in schema.names))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

@@ -67,3 +67,24 @@ def test_thresholds_record_defaults(spark):
     spark.createDataFrame([(1.0, 2.0)], "low DOUBLE, high DOUBLE").write.mode("overwrite").json(path)
     r = fs.load_thresholds(spark, path).first()
     assert (r["low"], r["high"], r["q_low"], r["q_high"], r["seed"]) == (1.0, 2.0, 0.35, 0.75, None)
+
+
+def test_csv_columns_are_found_by_header(spark, tmp_path):
+    path = str(tmp_path / "shuffled")
+    df = spark.createDataFrame([(3, "a", "x", 9)], "n_chars BIGINT, extra STRING, text STRING, doc_id BIGINT")
+    fs.write_csv(df, path)
+    schema = df.select("doc_id", "text", "n_chars").schema
+    assert [tuple(r) for r in fs.read_csv(spark, path, schema).collect()] == [(9, "x", 3)]
+
+
+def test_scratch_needs_a_shared_folder_off_local(monkeypatch):
+    from types import SimpleNamespace
+
+    from prioritext.session import ensure_checkpoint_dir
+
+    fake = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda *a: None),
+        sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077"),
+    )
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        ensure_checkpoint_dir(fake)

@@ -93,3 +93,9 @@ def test_relative_reduction(spark):
     zero = spark.createDataFrame([("base", 0.0), ("new", 0.1)], "backend STRING, p50 DOUBLE")
     z = ev.relative_reduction(zero, "base", "new").first()
     assert z["reduction_pct"] is None and z["met"] is False
+
+
+def test_equivalence_fails_on_unpaired_rows(spark):
+    a = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "doc_id INT, label STRING")
+    r = ev.equivalence(a, a.filter("doc_id = 1")).first()
+    assert (r["n"], r["unpaired"], r["agreement_pct"], r["passed"]) == (1, 2, 100.0, False)

@@ -65,3 +65,50 @@ def test_deterministic_rebuild(spark, sf001):
     a, _ = lb.label_documents(docs, tb.category_dimension(spark), tb.STANDIN_RAISING, tb.STANDIN_LOWERING)
     b, _ = lb.label_documents(docs.repartition(5), tb.category_dimension(spark), tb.STANDIN_RAISING, tb.STANDIN_LOWERING)
     assert table_fingerprint(a).first() == table_fingerprint(b).first()
+
+
+def _wide(spark, n):
+    """Rows with carried columns, enough that range sampling is a real sample."""
+    return spark.range(0, n, 1, 12).select(
+        F.xxhash64("id").alias("doc_id"),
+        F.when(F.col("id") % 5 == 0, "test").otherwise("train").alias("split"),
+        F.md5(F.col("id").cast("string")).alias("carried"),
+        (F.col("id") % 7).alias("condition_label"),
+    )
+
+
+@pytest.mark.parametrize("parts", [1, 7, 50])
+def test_dense_ids_are_dense_on_two_million_rows_with_carried_columns(spark, parts):
+    n = 2_000_000
+    ids = dense_ids(_wide(spark, n), "split", "doc_id", "id", num_partitions=parts)
+    number = F.split("id", "-")[1].cast("bigint")
+    got = ids.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("d"), F.min(number).alias("lo"), F.max(number).alias("hi")
+    )
+    assert {r["split"]: (r["n"], r["d"], r["lo"], r["hi"]) for r in got.collect()} == {
+        "test": (n // 5, n // 5, 0, n // 5 - 1),
+        "train": (n - n // 5, n - n // 5, 0, n - n // 5 - 1),
+    }
+    digest = ids.agg(F.bit_xor(F.xxhash64("doc_id", "id", "carried")))
+    assert digest.first() == digest.first()
+
+
+def test_dense_index_keeps_a_null_group(spark):
+    from prioritext.operators.ids import dense_index
+
+    df = spark.createDataFrame([(None, 2), ("a", 5), (None, 1)], "g STRING, k INT")
+    assert {(r["g"], r["k"], r["i"]) for r in dense_index(df, "g", "k", "i").collect()} == {(None, 1, 0), (None, 2, 1), ("a", 5, 0)}
+
+
+def test_all_unmatched_keys_are_reported(spark):
+    docs = spark.range(80).select(F.col("id").alias("doc_id"), F.lit("the").alias("text"), F.concat(F.lit("k"), "id").alias("condition_label"), F.lit("train").alias("split"))
+    with pytest.raises(EngineError, match=r"80 key\(s\) in 80 row\(s\)") as e:
+        lb.label_documents(docs, tb.category_dimension(spark), tb.STANDIN_RAISING, tb.STANDIN_LOWERING)
+    path = str(e.value).rsplit(" ", 1)[1]
+    assert spark.read.parquet(path).count() == 80
+
+
+def test_null_text_cannot_be_labelled(spark):
+    docs = spark.createDataFrame([(1, None, "en", "train"), (2, "the", "en", "train")], "doc_id BIGINT, text STRING, condition_label STRING, split STRING")
+    with pytest.raises(EngineError, match="1 row"):
+        lb.label_documents(docs, tb.category_dimension(spark), tb.STANDIN_RAISING, tb.STANDIN_LOWERING)

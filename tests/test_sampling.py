@@ -85,3 +85,13 @@ def test_warmup_split(spark):
     df = spark.range(5).withColumnRenamed("id", "slot")
     got = [r["phase"] for r in sp.warmup_split(df, 2).orderBy("slot").collect()]
     assert got == ["warmup", "warmup", "measured", "measured", "measured"]
+
+
+def test_draws_with_replacement_are_right_when_written_from_a_large_pool(spark, tmp_path):
+    pool = spark.range(0, 1_500_000, 1, 12).select(F.col("id").alias("doc_id"), F.md5(F.col("id").cast("string")).alias("carried"))
+    path = str(tmp_path / "draws")
+    sp.sample_with_replacement(pool, 20_000, keep=["doc_id", "carried"]).write.parquet(path)
+    got = spark.read.parquet(path)
+    want = spark.range(20_000).select(F.col("id").alias("slot"), (sp.hash60(sp.DEFAULT_SEED, "id") % 1_500_000).alias("doc_id"))
+    assert got.count() == 20_000
+    assert got.join(want, ["slot", "doc_id"]).count() == 20_000

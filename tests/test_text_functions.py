@@ -101,3 +101,13 @@ def test_presence_counts_distinct_terms(spark):
     ).first()
     assert (r["u"], r["n"]) == (2, 1)
     assert df.select(tx.lexicon_hits(F.col("text"), URGENT_TERMS).alias("h")).first()["h"] == 3
+
+
+def test_null_score_has_no_band(spark):
+    df = spark.createDataFrame([(None,), (float("nan"),), (1.0,)], "s DOUBLE")
+    assert [r["b"] for r in df.select(tx.map_band("s", 0.0, 0.2).alias("b")).collect()] == [None, None, "urgente"]
+
+
+def test_decomposed_and_vietnamese_accents_are_stripped(spark):
+    df = spark.createDataFrame([("été tiếng",)], "t STRING")
+    assert df.select(tx.normalize_text("t").alias("n")).first()["n"] == "ete tieng"
