@@ -15,8 +15,8 @@ its words start at two places or more.
 3. A minimiser that very many texts hold in different surroundings (found on
    a sample, which steers the layout only) gets its windows sent one by one
    under their own hash.
-4. Under each key repeated edges are marked and neighbouring ones compacted to
-   spans; a join by source coordinate brings the spans of a text together,
+4. Under each key repeated edges are marked, in parts of bounded size, and
+   neighbouring ones compacted to spans; a join by source coordinate brings the spans of a text together,
    where spans that touch or overlap merge.
 
 Windows are compared by a 64-bit key and a further independent 48-bit hash.
@@ -46,9 +46,12 @@ from prioritext.llm.words import cover, mix, slices, sliding_min, split_words, w
 
 WINDOW = 35
 GRAM = 8
-# Texts looked at to find frequent minimisers, and the share of them that
-# makes one frequent.  Any choice gives the same result.
+# Texts looked at to find frequent minimisers (one in ``SAMPLE_EVERY`` where
+# that is more), and the share of ``SAMPLE_ROWS`` that makes one frequent: a
+# minimiser below it is held by some 200,000 texts, however many there are.
+# Any choice gives the same result.
 SAMPLE_ROWS = 20_000
+SAMPLE_EVERY = 5_000
 FREQUENT = 0.002
 # Texts of this size are worked on together: the reach of step 2.
 REACH_BYTES = 4_000_000
@@ -80,11 +83,11 @@ def _keyed_windows(texts: pa.Array, k: int, gram: int):
 def frequent_minimisers(docs: DataFrame, k: int, gram: int) -> np.ndarray:
     """Minimisers that at least ``FREQUENT`` of the sampled texts hold (sorted).
 
-    Their number is bounded: the sample holds at most ``SAMPLE_ROWS`` texts (on
-    average), each with its own distinct minimisers.
+    They are few: each takes 40 texts of the sample, beyond 100 million texts
+    at least 200,000 of all.
     """
     n = docs.count()
-    share = max(1, n // SAMPLE_ROWS)
+    share = max(1, min(n // SAMPLE_ROWS, SAMPLE_EVERY))
     sample = docs.filter(F.pmod(F.xxhash64("text", "doc_id"), F.lit(share)) == 0).select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,24 +192,57 @@ def _repeated_runs(rows: pa.Table) -> pa.RecordBatch:
     )
 
 
+def _one_each(rows: pa.Table) -> pa.Table:
+    """The first place of every window under one key, a row each."""
+    sent = rows.filter(rows.column("hashes").is_valid())
+    raw = np.frombuffer(b"".join(sent.column("hashes").to_pylist()), dtype="V%d" % HASH_BYTES)
+    n = sent.column("n").to_numpy()
+    row = np.repeat(np.arange(len(n)), n)
+    within = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    wide = np.zeros((len(raw), 8), dtype=np.uint8)
+    wide[:, :HASH_BYTES] = raw.view(np.uint8).reshape(-1, HASH_BYTES)
+    first = np.unique(wide.view(np.uint64).ravel(), return_index=True)[1]
+    at = row[first]
+    return pa.table(
+        {
+            "key": sent.column("key").take(at),
+            "doc_id": sent.column("doc_id").take(at),
+            "crc": sent.column("crc").take(at),
+            "start": pa.array((sent.column("start").to_numpy()[at] + within[first]).astype(np.int32)),
+            "n": pa.array(np.ones(len(at), dtype=np.int32)),
+            "hashes": pa.array([h.tobytes() for h in raw[first]], type=pa.binary()),
+        },
+        schema=rows.schema,
+    )
+
+
 def _by_key(batches: Iterator[pa.RecordBatch], at_least: int = 100_000) -> Iterator[pa.Table]:
-    """Sorted batches joined to tables that never cut through a key."""
+    """Sorted batches joined to tables that do not cut through a key.
+
+    A key that fills a table by itself is given out in parts, each beginning
+    with one row per window seen under the key before, so that a repeat meets
+    its partner and memory follows the distinct windows, not the rows.
+    """
     held: list[pa.RecordBatch] = []
-    rows = 0
+    rows, limit = 0, at_least
     for batch in batches:
         if not batch.num_rows:
             continue
         held.append(batch)
         rows += batch.num_rows
-        if rows < at_least:
+        if rows < limit:
             continue
         joined = pa.Table.from_batches(held)
         keys = joined.column("key").to_numpy()
         cut = int(np.searchsorted(keys, keys[-1]))
         if cut:
             yield joined.slice(0, cut)
-            held = joined.slice(cut).combine_chunks().to_batches()
-            rows -= cut
+            rest = joined.slice(cut)
+        else:
+            yield joined
+            rest = _one_each(joined)
+        held, rows = rest.combine_chunks().to_batches(), rest.num_rows
+        limit = max(at_least, 2 * rows)
     if held:
         yield pa.Table.from_batches(held)
 

@@ -102,6 +102,30 @@ def test_substrings_with_frequent_passages_in_changing_context(spark, monkeypatc
     assert sorted(map(tuple, substrings.removals(docs).collect()), key=str) == _brute_removed(rows, 35)
 
 
+def test_a_key_in_parts_marks_what_a_whole_key_does():
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(600):
+        key = 5 if 100 <= i < 550 else i // 100
+        n = int(rng.integers(1, 5))
+        blob = None if i % 50 == 7 else b"".join(int(x).to_bytes(6, "little") for x in rng.integers(0, 90 if key == 5 else 700, n))
+        rows.append({"key": key, "doc_id": None if i == 9 else i, "crc": i, "start": 10 * i, "n": n, "hashes": blob})
+    rows.sort(key=lambda r: r["key"])
+    schema = pa.schema(
+        [("key", pa.int64()), ("doc_id", pa.int64()), ("crc", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("hashes", pa.binary())]
+    )
+    batches = [pa.RecordBatch.from_pylist(rows[i : i + 37], schema) for i in range(0, 600, 37)]
+
+    def marked(at_least):
+        parts = list(substrings._by_key(iter(batches), at_least))
+        spans = [s for p in parts for s in substrings._repeated_runs(p).to_pylist()]
+        return len(parts), {(s["doc_id"], s["crc"], s["start"] + j) for s in spans for j in range(s["n"])}
+
+    whole, parts = marked(10_000), marked(60)
+    assert whole[0] == 1 and parts[0] > 4
+    assert whole[1] == parts[1] and whole[1]
+
+
 def test_super_min_hash_estimates_similarity():
     rng = np.random.default_rng(5)
     base = rng.integers(0, 2**63, 4_000, dtype=np.uint64)
