@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 
 from prioritext.llm.tables import table
 
-BLOCK_SECONDS = 86_400
+# Short blocks spread a URL that very many records share; others hold a block or two anyway.
+BLOCK_SECONDS = 900
 # Headers that a not-modified answer may update: fixed by the HTTP standard.
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
 
