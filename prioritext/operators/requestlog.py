@@ -272,6 +272,115 @@ def sliding_histogram_quantile(
     return out.select(fmt_ts(F.col("_h")).alias("window_end_hour"), "q", "value")
 
 
+# -------------------------------------------- trailing windows of any size and step
+
+
+def _seconds(ts: str | F.Column) -> F.Column:
+    """Whole seconds since the epoch by the wall clock of ``ts``."""
+    c = F.col(ts) if isinstance(ts, str) else ts
+    return F.timestamp_diff("SECOND", F.lit(EPOCH).cast("timestamp_ntz"), c.cast("timestamp_ntz"))
+
+
+def step_of(ts: str | F.Column, step: int) -> F.Column:
+    """Number of the ``step``-second interval that ``ts`` lies in."""
+    return F.floor(_seconds(ts) / step)
+
+
+def step_end(number: F.Column, step: int) -> F.Column:
+    """End of a step as text."""
+    secs = (number + 1) * step
+    at = F.make_dt_interval(F.floor(secs / 86_400).cast("int"), F.lit(0), F.lit(0), F.pmod(secs, F.lit(86_400)).cast("int"))
+    return fmt_ts(F.lit(EPOCH).cast("timestamp_ntz") + at)
+
+
+def trailing_sums(steps: DataFrame, keys: Sequence[str], values: Sequence[str], size: int, step: int) -> DataFrame:
+    """Sums of ``values`` over the trailing ``size`` seconds at the end of every step.
+
+    ``steps`` holds ``(keys, step, values)``, one row per key and step with
+    events.  Each key's steps run from its first to its last one; steps
+    without events come in between as zeros, so a window that holds no event
+    still has its row.  Both windows run over at most one row per key and step.
+    """
+    if step <= 0 or size <= 0 or size % step:
+        raise ValueError(f"window of {size} s is no multiple of its step of {step} s")
+    keys = list(keys)
+    order = Window.partitionBy(*keys).orderBy("step")
+    until = F.coalesce(F.lead("step").over(order) - 1, F.col("step"))
+    filled = steps.withColumn("_until", until).withColumn("_at", F.explode(F.sequence("step", "_until")))
+    filled = filled.select(
+        *keys,
+        F.col("_at").alias("step"),
+        *[F.when(F.col("_at") == F.col("step"), F.col(v)).otherwise(F.lit(0)).alias(v) for v in values],
+    )
+    trailing = order.rowsBetween(-(size // step - 1), 0)
+    return filled.select(*keys, "step", *[F.sum(v).over(trailing).cast("bigint").alias(v) for v in values])
+
+
+def trailing_rate(log: DataFrame, keys: Sequence[str], ts_col: str = "ts", size: int = 300, step: int = 60) -> DataFrame:
+    """Events per second over the trailing ``size`` seconds, per key at every step (0 without events)."""
+    keys = list(keys)
+    steps = log.groupBy(*keys, step_of(ts_col, step).alias("step")).agg(F.count(F.lit(1)).alias("n"))
+    return trailing_sums(steps, keys, ["n"], size, step).select(
+        *keys, step_end(F.col("step"), step).alias("window_end"), "n", (F.col("n") / size).alias("rate_per_s")
+    )
+
+
+def _bound_columns(bounds: Sequence[float]) -> list[str]:
+    return [f"le_{i}" for i in range(len(bounds))]
+
+
+def request_steps(
+    log: DataFrame,
+    step: int,
+    bounds: Sequence[float] = REQUEST_DURATION_BUCKETS,
+    value_col: str = "duration_s",
+    ts_col: str = "ts",
+) -> DataFrame:
+    """``(step, requests, errors, le_0, ...)`` over all labels, from the raw log."""
+    return log.groupBy(step_of(ts_col, step).alias("step")).agg(
+        F.count(F.lit(1)).alias("requests"),
+        F.count_if(F.col("status") >= 400).alias("errors"),
+        *[F.count_if(F.col(value_col) <= float(b)).alias(c) for c, b in zip(_bound_columns(bounds), bounds, strict=True)],
+    )
+
+
+def steps_of_windows(windows: DataFrame, step: int, bounds: Sequence[float] = REQUEST_DURATION_BUCKETS) -> DataFrame:
+    """The same rows from tumbling window counts of at most ``step`` seconds (the metrics stream's sink)."""
+    return windows.groupBy(step_of("window_start", step).alias("step")).agg(
+        *[F.sum(c).alias(c) for c in ("requests", "errors", *_bound_columns(bounds))]
+    )
+
+
+def trailing_error_ratio(steps: DataFrame, size: int = 300, step: int = 60) -> DataFrame:
+    """Errors / requests over the trailing ``size`` seconds at every step; null without requests."""
+    return trailing_sums(steps, [], ["errors", "requests"], size, step).select(
+        step_end(F.col("step"), step).alias("window_end"),
+        "errors",
+        "requests",
+        (F.col("errors") / F.when(F.col("requests") > 0, F.col("requests"))).alias("error_ratio"),
+    )
+
+
+def trailing_quantiles(
+    steps: DataFrame,
+    qs: Sequence[float] = (0.5, 0.95),
+    bounds: Sequence[float] = REQUEST_DURATION_BUCKETS,
+    size: int = 300,
+    step: int = 60,
+) -> DataFrame:
+    """Quantiles from buckets over the trailing ``size`` seconds at every step; null without requests."""
+    cols = [*_bound_columns(bounds), "requests"]
+    wide = trailing_sums(steps, [], cols, size, step)
+    buckets = F.array(
+        *[
+            F.struct(F.lit(i).alias("idx"), F.lit(float(b)).alias("le_bound"), F.col(c).alias("cumulative"))
+            for i, (c, b) in enumerate(zip(cols, [*bounds, float("inf")], strict=True))
+        ]
+    )
+    hist = wide.select("step", F.inline(buckets))
+    return histogram_quantiles(hist, qs, ["step"]).select(step_end(F.col("step"), step).alias("window_end"), "q", "value")
+
+
 def counter_samples(log: DataFrame, series: Sequence[str], ts_col: str = "ts", tiebreak: str = "event_id") -> DataFrame:
     """Sampled counter table: each request is a sample of its series' counter,
     which restarts at every day (process restart); value = count since the restart.

@@ -323,6 +323,30 @@ def q_error_ratio(spark: SparkSession, sf: str) -> DataFrame:
     return er.select("window_end_hour", "errors", "requests", r6("error_ratio").alias("error_ratio"))
 
 
+# dashboard windows: (size, step) in seconds
+RATE_WINDOW = (3_600, 300)
+SHORT_WINDOW = (300, 60)
+
+
+@register("trailing_rate")
+def q_trailing_rate(spark: SparkSession, sf: str) -> DataFrame:
+    rate = rl.trailing_rate(tb.request_log(spark, sf), ["endpoint"], "ts", *RATE_WINDOW)
+    return rate.withColumn("rate_per_s", r6("rate_per_s"))
+
+
+@register("trailing_error_ratio")
+def q_trailing_error_ratio(spark: SparkSession, sf: str) -> DataFrame:
+    steps = rl.request_steps(tb.request_log(spark, sf), SHORT_WINDOW[1])
+    return rl.trailing_error_ratio(steps, *SHORT_WINDOW).withColumn("error_ratio", r6("error_ratio"))
+
+
+@register("trailing_quantiles")
+def q_trailing_quantiles(spark: SparkSession, sf: str) -> DataFrame:
+    steps = rl.request_steps(tb.request_log(spark, sf), SHORT_WINDOW[1])
+    out = rl.trailing_quantiles(steps, (0.5, 0.95), REQUEST_DURATION_BUCKETS, *SHORT_WINDOW)
+    return out.withColumn("value", r6("value"))
+
+
 # ---------------------------------------------------------- sampling / sorts
 
 

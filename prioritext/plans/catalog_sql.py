@@ -23,7 +23,7 @@ from prioritext.constants import (
 )
 from prioritext.functions.text import TOKEN_PATTERN  # noqa: F401  (documented twin below)
 from prioritext.operators.requestlog import le_label
-from prioritext.plans.catalog import MIX_SIZE
+from prioritext.plans.catalog import MIX_SIZE, RATE_WINDOW, SHORT_WINDOW
 from prioritext.plans.oracle_sql import (
     LATIN_FOLD,
     band_sql,
@@ -359,6 +359,80 @@ SELECT strftime(hb, '%Y-%m-%d %H:%M:%S') AS window_end_hour, CAST(errors AS BIGI
        CAST(requests AS BIGINT) AS requests, round(errors / nullif(requests, 0), 6) AS error_ratio
 FROM w"""
 
+# Trailing windows on a grid of steps: empty steps between the first and the last count as zeros.
+_LES = ", ".join(
+    f"count(*) FILTER (WHERE duration_s <= CAST({b!r} AS DOUBLE)) AS le_{i}" for i, b in enumerate(REQUEST_DURATION_BUCKETS)
+)
+_LE_COLUMNS = [f"le_{i}" for i in range(len(REQUEST_DURATION_BUCKETS))]
+
+
+def _step_end_sql(step: int) -> str:
+    return f"strftime(TIMESTAMP '1970-01-01' + to_seconds((i + 1) * {step}), '%Y-%m-%d %H:%M:%S')"
+
+
+def _trailing_ctes(size: int, step: int, rows: str = "log") -> str:
+    """CTE ``t(i, requests, errors, le_*)``: trailing sums at every step over all labels."""
+    frame = f"(ORDER BY i ROWS BETWEEN {size // step - 1} PRECEDING AND CURRENT ROW)"
+    sums = ", ".join(
+        f"CAST(sum(coalesce({c}, 0)) OVER {frame} AS BIGINT) AS {c}" for c in ("requests", "errors", *_LE_COLUMNS)
+    )
+    return f"""s AS (
+  SELECT CAST(floor(epoch(ts) / {step}) AS BIGINT) AS i, count(*) AS requests,
+         count(*) FILTER (WHERE status >= 400) AS errors, {_LES}
+  FROM {rows} GROUP BY 1
+),
+g AS (SELECT unnest(range((SELECT min(i) FROM s), (SELECT max(i) + 1 FROM s))) AS i),
+t AS (SELECT i, {sums} FROM g LEFT JOIN s USING (i))"""
+
+
+def _quantile_sql(q: float) -> str:
+    """The quantile of a row of ``t``, bucket by bucket."""
+    rank = f"CAST({q} AS DOUBLE) * requests"
+    cases, below, low = [], "0", "CAST(0 AS DOUBLE)"
+    for c, b in zip(_LE_COLUMNS, REQUEST_DURATION_BUCKETS, strict=True):
+        inside = f"{low} + (CAST({b!r} AS DOUBLE) - {low}) * (({rank} - {below}) / ({c} - {below}))"
+        cases.append(f"WHEN {c} >= {rank} THEN {inside}")
+        below, low = c, f"CAST({b!r} AS DOUBLE)"
+    return f"CASE WHEN requests = 0 THEN NULL {' '.join(cases)} ELSE {low} END"
+
+
+_rate_size, _rate_step = RATE_WINDOW
+SQL["trailing_rate"] = f"""{_LAT},
+s AS (SELECT endpoint, CAST(floor(epoch(ts) / {_rate_step}) AS BIGINT) AS i, count(*) AS c FROM log GROUP BY ALL),
+g AS (SELECT endpoint, unnest(range(a, b + 1)) AS i FROM (SELECT endpoint, min(i) AS a, max(i) AS b FROM s GROUP BY 1)),
+t AS (
+  SELECT endpoint, i, CAST(sum(coalesce(c, 0)) OVER (PARTITION BY endpoint ORDER BY i
+         ROWS BETWEEN {_rate_size // _rate_step - 1} PRECEDING AND CURRENT ROW) AS BIGINT) AS n
+  FROM g LEFT JOIN s USING (endpoint, i)
+)
+SELECT endpoint, {_step_end_sql(_rate_step)} AS window_end, n, round(CAST(n AS DOUBLE) / {_rate_size}, 6) AS rate_per_s FROM t"""
+
+SQL["trailing_error_ratio"] = f"""{_LAT},
+{_trailing_ctes(*SHORT_WINDOW)}
+SELECT {_step_end_sql(SHORT_WINDOW[1])} AS window_end, errors, requests,
+       round(CAST(errors AS DOUBLE) / nullif(requests, 0), 6) AS error_ratio FROM t"""
+
+SQL["trailing_quantiles"] = " UNION ALL ".join(
+    f"""SELECT * FROM ({_LAT},
+{_trailing_ctes(*SHORT_WINDOW)}
+SELECT {_step_end_sql(SHORT_WINDOW[1])} AS window_end, CAST({q} AS DOUBLE) AS q, round({_quantile_sql(q)}, 6) AS value FROM t)"""
+    for q in (0.5, 0.95)
+)
+
+# Only windows that the watermark (ten minutes behind the latest event) has closed are in the sink.
+_stream_size, _stream_step = RATE_WINDOW
+SQL["stream_rates"] = f"""{_LAT},
+closed AS (
+  SELECT * FROM log WHERE time_bucket(INTERVAL '{_stream_step} seconds', ts) + INTERVAL '{_stream_step} seconds'
+                          <= (SELECT max(ts) FROM events) - INTERVAL '10 minutes'
+),
+{_trailing_ctes(_stream_size, _stream_step, "closed")}
+SELECT {_step_end_sql(_stream_step)} AS window_end, requests, errors,
+       round(CAST(requests AS DOUBLE) / {_stream_size}, 6) AS rate_per_s,
+       round(CAST(errors AS DOUBLE) / nullif(requests, 0), 6) AS error_ratio,
+       round({_quantile_sql(0.5)}, 6) AS p50, round({_quantile_sql(0.95)}, 6) AS p95
+FROM t"""
+
 # ------------------------------------------------------------ sampling
 _N_DRAWS = DEFAULT_SAMPLES + DEFAULT_WARMUP
 _SWR = f"""pool AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS idx FROM documents),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prioritext.plans.catalog import register
+from prioritext.plans.catalog import RATE_WINDOW, register
 from prioritext.plans.model_queries import trained
 from prioritext.session import scratch_path
 from prioritext.sources import files as fs
@@ -62,6 +62,18 @@ def q_stream_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return metrics_view(spark.read.parquet(f"{base}/out"))
 
 
+@register("stream_rates")
+def q_stream_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """Sliding rate, error ratio, p50 and p95 from the sink of a five-minute metrics stream."""
+    base = scratch_path(spark, f"stream-rates-{uuid.uuid4().hex}")
+    src = jobs.read_stream_parquet(spark, tb.table_path(sf, "events"), EVENTS_SCHEMA)
+    log = tb.request_log_of(jobs.as_event_time(src))
+    size, step = RATE_WINDOW
+    _run(jobs.stream_metrics(log, f"{base}/out", f"{base}/ckpt", size=f"{step} seconds", available_now=True))
+    out = jobs.sliding_metrics(spark.read.parquet(f"{base}/out"), size, step)
+    return out.withColumns({c: F.round(c, 6) for c in ("rate_per_s", "error_ratio", "p50", "p95")})
+
+
 def metrics_view(out: DataFrame) -> DataFrame:
     """The metrics sink as compared with its SQL twin: window bounds as text,
     the duration sum rounded to 6 decimals, counts as they are."""

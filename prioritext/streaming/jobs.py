@@ -8,8 +8,9 @@ request metrics.
   idempotently per batch id (a replayed batch overwrites its own folder).
 * ``stream_metrics`` — event-time windows with a watermark; the state is one
   row per (window, endpoint) holding counters and cumulative bucket counts,
-  never raw values.  Quantiles and sliding rates are computed from the sink
-  table by the batch operators (``histogram_quantile``, ``sliding_hours``).
+  never raw values.
+* ``sliding_metrics`` — sliding rates, error ratio and quantiles of any window
+  and step from that sink's closed windows.
 
 Late-data rule (ours): rows older than the watermark are dropped by Spark and
 reported in ``StreamingQueryProgress.stateOperators[].numRowsDroppedByWatermark``.
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from prioritext.constants import REQUEST_DURATION_BUCKETS
+from prioritext.operators import requestlog as rl
 from prioritext.operators.contracts import admission
 from prioritext.operators.model import TrainedModel, score_batch
 from prioritext.operators.requestlog import error_type, le_label
@@ -135,6 +137,31 @@ def stream_metrics(
     return _start(writer, available_now)
 
 
+def sliding_metrics(
+    windows: DataFrame,
+    size: int = 3_600,
+    step: int = 300,
+    bounds: Sequence[float] = REQUEST_DURATION_BUCKETS,
+) -> DataFrame:
+    """Rate, error ratio, p50 and p95 over the trailing ``size`` seconds at every step.
+
+    ``windows`` is the sink of :func:`stream_metrics` with windows of ``step``
+    seconds or a divisor of it: the stream keeps no state for long windows,
+    and any sliding window is made from its closed short ones.
+    """
+    steps = rl.steps_of_windows(windows, step, bounds)
+    at = F.col("window_end")
+    ratio = rl.trailing_error_ratio(steps, size, step)
+    quantiles = rl.trailing_quantiles(steps, (0.5, 0.95), bounds, size, step)
+    wide = quantiles.groupBy(at.alias("window_end")).agg(
+        F.max(F.when(F.col("q") == 0.5, F.col("value"))).alias("p50"),
+        F.max(F.when(F.col("q") == 0.95, F.col("value"))).alias("p95"),
+    )
+    return ratio.join(wide, "window_end").select(
+        "window_end", "requests", "errors", (F.col("requests") / size).alias("rate_per_s"), "error_ratio", "p50", "p95"
+    )
+
+
 def as_event_time(log: DataFrame, ts_col: str = "ts") -> DataFrame:
     """Watermarks need TIMESTAMP (not TIMESTAMP_NTZ): cast in the session time zone."""
     return log.withColumn(ts_col, F.col(ts_col).cast("timestamp"))

@@ -133,3 +133,42 @@ def test_exact_quantiles_distributed_equal_percentile(spark):
         assert g["n"] == r["n"]
         for i, _ in enumerate(qs):
             assert g[f"q_{i}"] == pytest.approx(r["p"][i], abs=1e-12)
+
+
+def test_trailing_windows_vs_brute_force(spark):
+    rng = random.Random(8)
+    start = dt.datetime(2024, 3, 1, 23, 50)
+    rows = []
+    for i in range(300):
+        gap = 0 if i < 150 else 1_500  # a stretch without events
+        rows.append((start + dt.timedelta(seconds=rng.uniform(0, 900) + gap), rng.choice(["/a", None]), rng.choice([200, 500]), rng.uniform(0, 3)))
+    log = spark.createDataFrame(rows, "ts TIMESTAMP_NTZ, endpoint STRING, status INT, duration_s DOUBLE")
+    size, step, bounds = 300, 60, (0.5, 1.0, 2.0)
+    epoch = dt.datetime(1970, 1, 1)
+    number = [int((r[0] - epoch).total_seconds() // step) for r in rows]
+    end = lambda i: (epoch + dt.timedelta(seconds=(i + 1) * step)).strftime("%Y-%m-%d %H:%M:%S")
+    inside = lambda i, key=...: [r for n, r in zip(number, rows, strict=True) if i - 5 < n <= i and key in (..., r[1])]
+
+    want = {}
+    for key in ("/a", None):
+        mine = [n for n, r in zip(number, rows, strict=True) if r[1] == key]
+        want |= {(key, end(i)): len(inside(i, key)) for i in range(min(mine), max(mine) + 1)}
+    got = rl.trailing_rate(log, ["endpoint"], "ts", size, step).collect()
+    assert {(r.endpoint, r.window_end): r.n for r in got} == want and len(got) == len(want)
+    assert 0 in want.values() and all(r.rate_per_s == r.n / size for r in got)
+
+    steps = rl.request_steps(log, step, bounds)
+    ratio = {r.window_end: r.error_ratio for r in rl.trailing_error_ratio(steps, size, step).collect()}
+    quantile = {(r.window_end, r.q): r.value for r in rl.trailing_quantiles(steps, (0.5, 0.95), bounds, size, step).collect()}
+    for i in range(min(number), max(number) + 1):
+        now = inside(i)
+        assert ratio[end(i)] == (sum(r[2] >= 400 for r in now) / len(now) if now else None)
+        cum = [sum(r[3] <= b for r in now) for b in bounds] + [len(now)]
+        for q in (0.5, 0.95):
+            assert quantile[end(i), q] == pytest.approx(_prom_quantile(q, bounds, cum))
+
+
+def test_trailing_window_must_be_a_multiple_of_its_step(spark):
+    log = spark.createDataFrame([(dt.datetime(2024, 1, 1),)], "ts TIMESTAMP_NTZ")
+    with pytest.raises(ValueError, match="multiple"):
+        rl.trailing_rate(log, [], "ts", 300, 70)
