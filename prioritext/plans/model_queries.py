@@ -144,14 +144,16 @@ def q_model_tables(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("missing_artifacts")
 def q_missing_artifacts(spark: SparkSession, sf: str) -> DataFrame:
+    """A published model against a list that asks for one artefact more: that one is missing."""
     tm, _, test_df, _ = trained(spark, sf)
     conf, _, summary = evaluation(tm, test_df)
     gate = ev.quality_gate(summary)
     metrics = metrics_record(tm, summary, gate, tm.pipeline.stages[-1].summary.totalIterations)
     base = scratch_path(spark, f"publish-{uuid.uuid4().hex}")
     publish(spark, tm, conf, metrics, base)
-    expected = spark.createDataFrame([(a,) for a in ARTIFACTS], "artifact STRING")
-    return fs.missing_artifacts(expected, fs.artifact_manifest(spark, base, ARTIFACTS))
+    wanted = (*ARTIFACTS, "calibration")
+    expected = spark.createDataFrame([(a,) for a in wanted], "artifact STRING")
+    return fs.missing_artifacts(expected, fs.artifact_manifest(spark, base, wanted))
 
 
 @register("quantized_equivalence")
@@ -213,9 +215,10 @@ def linear_coef(spark: SparkSession) -> DataFrame:
 
 @register("end_to_end_job")
 def q_end_to_end_job(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole job (land -> build -> train -> gate -> publish); its run manifest."""
+    """The whole job (land -> build -> train -> gate -> publish); its run manifest without paths."""
     from prioritext.plans.job import JobConfig, run_job
 
     base = scratch_path(spark, f"job-{uuid.uuid4().hex}")
     cfg = JobConfig(base, tb.STANDIN_RAISING, tb.STANDIN_LOWERING)
-    return run_job(spark, tb.labelled_text_input(spark, sf), tb.category_dimension(spark), cfg)
+    manifest = run_job(spark, tb.labelled_text_input(spark, sf), tb.category_dimension(spark), cfg)
+    return manifest.select("stage", "status", "rows")

@@ -49,6 +49,11 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).options(**CSV_OPTIONS).option("quoteAll", "true").csv(path)
 
 
+def csv_header(spark: SparkSession, path: str) -> DataFrame:
+    """CSV files by their header alone: every column is text."""
+    return spark.read.options(**CSV_OPTIONS).csv(path)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, required: Sequence[str] | None = None) -> DataFrame:
     """Scan CSV with an explicit schema; ``multiLine`` keeps quoted newlines.
 
@@ -57,7 +62,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, required: Seq
     header, whatever their order; columns beyond the schema are left out, and
     those missing (of ``required``, else of the schema) raise.
     """
-    header = spark.read.options(**CSV_OPTIONS).csv(path).columns
+    header = csv_header(spark, path).columns
     missing = sorted(set(required or schema.names) - set(header))
     if missing:
         raise EngineError(f"{path}: missing column(s) {missing}")
