@@ -381,21 +381,28 @@ def trailing_quantiles(
     return histogram_quantiles(hist, qs, ["step"]).select(step_end(F.col("step"), step).alias("window_end"), "q", "value")
 
 
+def _joined_null_safe(rows: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` with the other columns of ``table``, whose keys are unique; a null key meets a null key."""
+    named = table.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)], *[c for c in table.columns if c not in keys])
+    same = [rows[k].eqNullSafe(named[f"_key_{i}"]) for i, k in enumerate(keys)]
+    return rows.join(named, same, "inner").drop(*[f"_key_{i}" for i in range(len(keys))])
+
+
 def counter_samples(log: DataFrame, series: Sequence[str], ts_col: str = "ts", tiebreak: str = "event_id") -> DataFrame:
     """Sampled counter table: each request is a sample of its series' counter,
     which restarts at every day (process restart); value = count since the restart.
 
-    Distributed by (series, hour): per-(series, hour) counts (one row each)
-    give every hour its offset inside the day, and the running count runs
-    inside (series, hour) partitions only.
+    Distributed by (series, slot) with slots of a minute: per-slot counts (one
+    row each) give every slot its offset inside the day, and the running count
+    runs inside a slot only, so a busy series spreads over its minutes.
     """
     series = list(series)
-    s = log.withColumn("_day", F.date_trunc("day", F.col(ts_col))).withColumn("_h", hour_bucket(ts_col))
-    per_hour = s.groupBy(*series, "_day", "_h").agg(F.count(F.lit(1)).alias("_n"))
-    wo = Window.partitionBy(*series, "_day").orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_hour.select(*series, "_h", F.coalesce(F.sum("_n").over(wo), F.lit(0)).alias("_off"))
-    w = Window.partitionBy(*series, "_h").orderBy(ts_col, tiebreak).rowsBetween(Window.unboundedPreceding, 0)
-    return s.join(offsets, series + ["_h"], "inner").select(
+    s = log.withColumn("_day", F.date_trunc("day", F.col(ts_col))).withColumn("_slot", F.date_trunc("minute", F.col(ts_col)))
+    per_slot = s.groupBy(*series, "_day", "_slot").agg(F.count(F.lit(1)).alias("_n"))
+    wo = Window.partitionBy(*series, "_day").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_slot.select(*series, "_slot", F.coalesce(F.sum("_n").over(wo), F.lit(0)).alias("_off"))
+    w = Window.partitionBy(*series, "_slot").orderBy(ts_col, tiebreak).rowsBetween(Window.unboundedPreceding, 0)
+    return _joined_null_safe(s, offsets, [*series, "_slot"]).select(
         *series, ts_col, tiebreak, (F.col("_off") + F.count(F.lit(1)).over(w)).cast("double").alias("value")
     )
 
@@ -405,25 +412,25 @@ def counter_increase(
 ) -> DataFrame:
     """Increase per series and hour with reset handling (``d < 0`` -> use ``v``).
 
-    Distributed by (series, hour): the first sample of an hour compares with
-    the last sample of the series' previous non-empty hour, taken from a
-    per-(series, hour) table (one row each), not from raw rows.
+    Distributed by (series, slot) with slots of a minute: the first sample of a
+    slot compares with the last sample of the series' previous non-empty slot,
+    taken from a per-slot table (one row each), not from raw rows.
     """
     series = list(series)
-    s = samples.withColumn("_h", hour_bucket(ts_col))
-    last = s.groupBy(*series, "_h").agg(
+    s = samples.withColumn("_slot", F.date_trunc("minute", F.col(ts_col)))
+    last = s.groupBy(*series, "_slot").agg(
         F.max_by(F.col("value"), F.struct(F.col(ts_col), F.col(tiebreak))).alias("_last")
     )
-    wl = Window.partitionBy(*series).orderBy("_h")
-    prev = last.select(*series, "_h", F.lag("_last").over(wl).alias("_prev_last"))
-    w = Window.partitionBy(*series, "_h").orderBy(ts_col, tiebreak)
-    joined = s.join(prev, series + ["_h"], "inner")
+    wl = Window.partitionBy(*series).orderBy("_slot")
+    prev = last.select(*series, "_slot", F.lag("_last").over(wl).alias("_prev_last"))
+    w = Window.partitionBy(*series, "_slot").orderBy(ts_col, tiebreak)
+    joined = _joined_null_safe(s, prev, [*series, "_slot"])
     before = F.coalesce(F.lag("value").over(w), F.col("_prev_last"))
     d = F.col("value") - before
     delta = F.when(before.isNull(), F.col("value")).when(d < 0, F.col("value")).otherwise(d)
     return (
         joined.withColumn("_d", delta)
-        .groupBy(*series, "_h")
+        .groupBy(*series, hour_bucket(ts_col).alias("_h"))
         .agg(F.sum("_d").alias("increase"))
         .select(*series, fmt_ts(F.col("_h")).alias("bucket"), "increase")
     )

@@ -172,3 +172,15 @@ def test_trailing_window_must_be_a_multiple_of_its_step(spark):
     log = spark.createDataFrame([(dt.datetime(2024, 1, 1),)], "ts TIMESTAMP_NTZ")
     with pytest.raises(ValueError, match="multiple"):
         rl.trailing_rate(log, [], "ts", 300, 70)
+
+
+def test_counter_of_a_null_series_within_one_hour(spark):
+    start = dt.datetime(2024, 5, 1, 10)
+    rows = [(i, start + dt.timedelta(seconds=11 * i), None if i % 3 else "/a") for i in range(300)]
+    log = spark.createDataFrame(rows, "event_id LONG, ts TIMESTAMP_NTZ, endpoint STRING")
+    samples = rl.counter_samples(log, ["endpoint"]).collect()
+    for key, n in ((None, 200), ("/a", 100)):
+        mine = sorted((r.ts, r.value) for r in samples if r.endpoint == key)
+        assert [v for _, v in mine] == [float(i + 1) for i in range(n)]
+    increase = {r.endpoint: r.increase for r in rl.counter_increase(rl.counter_samples(log, ["endpoint"]), ["endpoint"]).collect()}
+    assert increase == {None: 200.0, "/a": 100.0}
