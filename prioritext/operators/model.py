@@ -263,6 +263,7 @@ def score_text(
     text_col: str = "text",
     backend: str = "tables",
     num_partitions: int | None = None,
+    scales: Sequence[float] | None = None,
 ) -> DataFrame:
     """Path 2 fused from text: in-vocabulary counts -> two per-document sums.
 
@@ -271,10 +272,12 @@ def score_text(
     document gives every logit and the norm together; no weights table, no
     window.  The vocabulary and coefficients travel as one broadcast table
     (bounded by ``max_features``), and every aggregate reuses the id
-    partitioning of the documents.
+    partitioning of the documents.  ``scales``: those of an int8 ``coef``,
+    applied once to each class sum.
     """
     classes = [c for c, _ in intercept_rows]
     k = len(classes)
+    scales = scales or [1.0] * k
     parted = partition_docs(docs, id_col, text_col, num_partitions)
     # occurrences -> vocabulary index (broadcast lookup before aggregating),
     # then counts keyed by the integer (id, idx) only; idf and coefficients
@@ -293,24 +296,24 @@ def score_text(
     )
     base = parted.select(id_col).join(sums, id_col, "left")
     logits = [
-        F.coalesce(F.col(f"_s{i}") / F.sqrt(F.col("_ss")), F.lit(0.0)) + F.lit(float(b))
+        F.coalesce(F.col(f"_s{i}") * F.lit(scales[i]) / F.sqrt(F.col("_ss")), F.lit(0.0)) + F.lit(float(b))
         for i, (_, b) in enumerate(intercept_rows)
     ]
     label, scores = softmax_label(logits, classes)
     return base.select(id_col, label.alias("label"), scores.alias("scores"), F.lit(backend).alias("backend"))
 
 
-def quantize_tables(coef: DataFrame) -> DataFrame:
-    """Int8 coefficient table per class: ``q = round(w / s)``, ``s = max|w| / 127``;
-    returns dequantised weights ``q * s`` in the same layout.
+def quantize_tables(coef: DataFrame) -> tuple[DataFrame, list[float]]:
+    """Int8 coefficient table ``(idx, weights ARRAY<TINYINT>)`` and the scale of each class.
 
-    The per-class scales are one aggregate over the (bounded) table.
+    ``q = round(w / s)`` with ``s = max|w| / 127``: an eighth of the bytes of the
+    doubles.  The scales are one aggregate over the (bounded) table.
     """
     k = coef.select(F.size("weights").alias("k")).first()["k"]
     scales = coef.agg(*[(F.max(F.abs(F.col("weights")[i])) / 127.0).alias(f"_s{i}") for i in range(k)]).first()
     s = [float(scales[f"_s{i}"]) or 1.0 for i in range(k)]
-    deq = [F.round(F.col("weights")[i] / F.lit(s[i])) * F.lit(s[i]) for i in range(k)]
-    return coef.select("idx", F.array(*deq).alias("weights"))
+    small = [F.round(F.col("weights")[i] / F.lit(s[i])).cast("tinyint") for i in range(k)]
+    return coef.select("idx", F.array(*small).alias("weights")), s
 
 
 def keep_if_better(equiv: DataFrame, base_p50: float | None, new_p50: float | None, min_samples: int = 20, n_samples: int = 0) -> DataFrame:

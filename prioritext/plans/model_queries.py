@@ -91,10 +91,16 @@ def q_score_batch(spark: SparkSession, sf: str) -> DataFrame:
     return M.score_batch(tm, docs, "doc_id", "text")
 
 
-def _tables_scores(tm: M.TrainedModel, docs: DataFrame, coef: DataFrame | None = None, backend: str = "tables") -> DataFrame:
+def _tables_scores(
+    tm: M.TrainedModel,
+    docs: DataFrame,
+    coef: DataFrame | None = None,
+    backend: str = "tables",
+    scales: list[float] | None = None,
+) -> DataFrame:
     tabs = M.export_tables(tm)
     c = coef if coef is not None else tabs["coef"]
-    return M.score_text(docs, tabs["vocab"], c, M.intercept_list(tabs["intercept"]), "id", "text", backend)
+    return M.score_text(docs, tabs["vocab"], c, M.intercept_list(tabs["intercept"]), "id", "text", backend, scales=scales)
 
 
 @register("score_tables")
@@ -163,16 +169,17 @@ def q_quantized_equivalence(spark: SparkSession, sf: str) -> DataFrame:
     tm, _, test_df, _ = trained(spark, sf)
     tabs = M.export_tables(tm)
     coef = tabs["coef"].cache()
-    q8 = M.quantize_tables(coef).cache()
+    q8, scales = M.quantize_tables(coef)
+    q8 = q8.cache()
     full = _tables_scores(tm, test_df, coef, "tables").cache()
-    small = _tables_scores(tm, test_df, q8, "tables_int8").cache()
+    small = _tables_scores(tm, test_df, q8, "tables_int8", scales).cache()
     full.count()
     small.count()
     times: dict[str, list[float]] = {"tables": [], "tables_int8": []}
     for _ in range(3):
-        for name, c in (("tables", coef), ("tables_int8", q8)):
+        for name, c, by in (("tables", coef, None), ("tables_int8", q8, scales)):
             t0 = time.perf_counter()
-            _tables_scores(tm, test_df, c, name).write.format("noop").mode("overwrite").save()
+            _tables_scores(tm, test_df, c, name, by).write.format("noop").mode("overwrite").save()
             times[name].append(time.perf_counter() - t0)
     med = {k: sorted(v)[len(v) // 2] for k, v in times.items()}
     equiv = ev.equivalence(full, small, "id", "label")

@@ -72,9 +72,10 @@ def test_empty_batch_gives_empty_result(spark, fitted):
 def test_quantized_tables_stay_close(spark, fitted):
     tm, lab = fitted
     tabs = M.export_tables(tm)
-    q = M.quantize_tables(tabs["coef"])
+    q, scales = M.quantize_tables(tabs["coef"])
+    assert q.schema["weights"].dataType.elementType.simpleString() == "tinyint"
     diff = tabs["coef"].join(q.withColumnRenamed("weights", "q"), "idx").select(
-        F.max(F.abs(F.col("weights")[0] - F.col("q")[0])).alias("d")
+        F.max(F.abs(F.col("weights")[0] - F.col("q")[0] * F.lit(scales[0]))).alias("d")
     ).first()["d"]
     scale = tabs["coef"].select(F.max(F.abs(F.col("weights")[0])).alias("m")).first()["m"] / 127
     assert diff <= scale / 2 + 1e-12

@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as E
 
 HEAVY = {"train_eval", "score_batch", "score_tables", "backend_equivalence", "model_tables", "missing_artifacts",
-         "quantized_equivalence", "stream_score", "stream_quarantine", "stream_metrics", "end_to_end_job",
+         "quantized_equivalence", "stream_score", "stream_quarantine", "stream_metrics", "stream_rates", "end_to_end_job",
          "scan_documents", "land_documents", "fit_thresholds"}
 
 
