@@ -9,7 +9,7 @@
 2. Equal sets are one class (a partial aggregation, so copies in thousands
    cost one row per task); only class representatives go on.
 3. Bands of the signature make buckets.  In a bucket a breadth-first walk
-   joins representatives whose signatures agree in ``SIFT`` of the slots; it
+   joins representatives whose signatures agree in enough of the slots; it
    compares with unvisited members only and gives a forest, never all pairs.
    Large buckets are cut into blocks, each pair of blocks being one unit.
 4. The forests' components are candidate groups.  Each member's full set is
@@ -17,9 +17,11 @@
    by exact intersection and union sizes; large groups are cut likewise.
 5. Components of the confirmed links, the smallest id naming each.
 
-A pair at the threshold itself misses all 25 bands with probability 4e-7 and
-step 3's test with about 1e-6; one missed link matters only if no other path
-joins the two.
+Bands and the agreement that step 3 asks for follow the threshold
+(:func:`layout`): a pair at the threshold itself misses all bands, and step 3's
+test, with a probability of at most 1e-6 each (binomial bounds: 4.3e-7 and
+5.1e-7 at 0.85, 8.0e-8 and 6.4e-7 at 0.80); one missed link matters only if no
+other path joins the two.
 
 Defined results
   null or empty text: no shingles, linked with nothing;
@@ -32,7 +34,10 @@ Defined results
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import pairwise
+from math import ceil, comb, log
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -44,9 +49,10 @@ from prioritext.llm.tables import parallelism, table, written
 from prioritext.llm.words import mix, slices, split_words, window_hashes
 
 SHINGLE = 5
-BANDS, ROWS = 25, 5
-SLOTS = BANDS * ROWS
-SIFT = 0.68
+# Slots of a signature; thresholds that need more bands of one row get more.
+SLOTS = 125
+# Probability with which bands or sift may miss a pair at the threshold.
+MISS = 1e-6
 # Members of a bucket and shingles of a group that one unit of work holds.
 BLOCK_ROWS = 2_048
 BLOCK_SHINGLES = 1_500_000
@@ -55,6 +61,32 @@ _SHIFT = np.uint64(48)
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
+class Layout(NamedTuple):
+    bands: int
+    rows: int
+    slots: int
+    least: int  # equal slots of a candidate pair
+
+
+@lru_cache
+def layout(percent: int) -> Layout:
+    """Bands of as many rows, and as many equal slots, as ``MISS`` allows at a similarity of ``percent``."""
+    if not 1 <= percent <= 100:
+        raise ValueError(f"similarity of {percent} per cent is outside 1..100")
+    p = percent / 100
+    fit = [r for r in range(1, SLOTS + 1) if (1 - p**r) ** (SLOTS // r) <= MISS]
+    rows = max(fit, default=1)
+    bands = SLOTS // rows if fit else ceil(log(MISS) / log(1 - p))
+    slots = max(SLOTS, bands * rows)
+    least, below = 0, 0.0
+    while least < slots:
+        below += comb(slots, least) * p**least * (1 - p) ** (slots - least)
+        if below > MISS:
+            break
+        least += 1
+    return Layout(bands, rows, slots, least)
+
+
 def shingle_sets(texts: pa.Array, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the distinct shingles of each text (sorted), and the bounds of the texts."""
     words = split_words(texts, lower=True)
@@ -134,18 +166,19 @@ def _fingerprints(elements: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray,
     return _sums(mix(elements), bounds), _sums(mix(elements ^ np.uint64(0xE7037ED1A0B428DB)), bounds)
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, percent: int) -> DataFrame:
     """``(doc_id, n_shingles, fp1, fp2, sig, bands)`` of every row of ``docs(doc_id, text)``."""
+    n_bands, n_rows, slots, _ = layout(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 elements, bounds = shingle_sets(part.column("text"))
-                full = super_min_hash(elements, bounds)
+                full = super_min_hash(elements, bounds, slots)
                 fp1, fp2 = _fingerprints(elements, bounds)
-                wide = full.reshape(len(full), BANDS, ROWS)
-                bands = np.arange(BANDS, dtype=np.uint64)[None, :].repeat(len(full), 0)
-                for r in range(ROWS):
+                wide = full[:, : n_bands * n_rows].reshape(len(full), n_bands, n_rows)
+                bands = np.arange(n_bands, dtype=np.uint64)[None, :].repeat(len(full), 0)
+                for r in range(n_rows):
                     bands = mix(bands + wide[:, :, r])
                 small = mix(full.ravel()).astype(np.uint8).reshape(full.shape)
                 yield pa.RecordBatch.from_arrays(
@@ -156,7 +189,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                         pa.array(fp2),
                         pa.array([s.tobytes() for s in small], type=pa.binary()),
                         pa.ListArray.from_arrays(
-                            pa.array(np.arange(0, bands.size + 1, BANDS, dtype=np.int32)),
+                            pa.array(np.arange(0, bands.size + 1, n_bands, dtype=np.int32)),
                             pa.array(bands.view(np.int64).ravel()),
                         ),
                     ],
@@ -223,18 +256,18 @@ def _edges(nodes: np.ndarray, left: list[int], right: list[int]) -> pa.RecordBat
     return pa.RecordBatch.from_pydict({"a": pa.array(nodes[left]), "b": pa.array(nodes[right])})
 
 
-def _candidate_links(classes: DataFrame) -> DataFrame:
-    """Forests, per bucket, of representatives whose signatures agree in ``SIFT`` of the slots."""
+def _candidate_links(classes: DataFrame, percent: int) -> DataFrame:
+    """Forests, per bucket, of representatives whose signatures agree in enough slots for ``percent``."""
     n = parallelism(classes.sparkSession)
     rows = classes.select(F.col("rep").alias("node"), F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = rows.join(shared, "bucket").withColumn("blocks", F.ceil(F.col("size") / BLOCK_ROWS)).drop("size")
     members = members.join(classes.select(F.col("rep").alias("node"), "sig"), "node")
-    least = int(np.ceil(SIFT * SLOTS))
+    _, _, slots, least = layout(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for unit in _units(batches, "bucket"):
-            sig = np.frombuffer(b"".join(unit.column("sig").to_pylist()), dtype=np.uint8).reshape(-1, SLOTS)
+            sig = np.frombuffer(b"".join(unit.column("sig").to_pylist()), dtype=np.uint8).reshape(-1, slots)
             left, right = _forest(len(sig), lambda a, rest: (sig[rest] == sig[a]).sum(axis=1) >= least)
             if left:
                 yield _edges(unit.column("node").to_numpy(), left, right)
@@ -312,7 +345,7 @@ def near_duplicate_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
     shingle sets; ``component_id`` is the smallest id reachable over links.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = written(signatures(docs), "signatures")
+    signed = written(signatures(docs, percent), "signatures")
     linked = signed.filter("n_shingles > 0 and doc_id is not null")
     first = F.min(F.struct("doc_id", "n_shingles", "sig", "bands")).alias("first")
     classes = written(
@@ -321,7 +354,7 @@ def near_duplicate_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
         ),
         "classes",
     )
-    candidates = components(_candidate_links(classes), "candidates")
+    candidates = components(_candidate_links(classes, percent), "candidates")
     groups = candidates.join(
         classes.select(F.col("rep").alias("node"), "fp1", "fp2", "n_shingles"), "node"
     )

@@ -175,6 +175,45 @@ def test_near_duplicates_with_a_large_group_equal_brute_force(spark, monkeypatch
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_sift_and_bands_follow_the_threshold():
+    from math import comb
+
+    assert near_duplicates.layout(85) == (25, 5, 125, 85)
+    for percent in (1, 10, 50, 70, 80, 82, 85, 95, 99, 100):
+        bands, rows, slots, least = near_duplicates.layout(percent)
+        p = percent / 100
+        assert bands * rows <= slots and 0 <= least <= slots
+        assert (1 - p**rows) ** bands <= 1e-6
+        assert sum(comb(slots, k) * p**k * (1 - p) ** (slots - k) for k in range(least)) <= 1e-6
+    for percent in (0, 101):
+        with pytest.raises(ValueError):
+            near_duplicates.layout(percent)
+
+
+def _pairs_at(percent, numbers, n):
+    """Texts 2i and 2i + 1 whose shingle sets are just above ``percent`` similar, other pairs disjoint."""
+    both = -(-2 * percent * n // (100 + percent))
+    rows = []
+    for i in numbers:
+        common = [f"c{i}x{j}" for j in range(both + 4)]
+        rows += [(2 * i + s, " ".join(common + [f"{'ab'[s]}{i}x{j}" for j in range(n - both)])) for s in (0, 1)]
+    return rows
+
+
+def test_pairs_at_a_threshold_of_70_are_all_linked(spark):
+    rows = _pairs_at(70, range(60), 900)
+    got = near_duplicates.near_duplicate_groups(spark.createDataFrame(rows, SCHEMA), percent=70).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i - i % 2 for i, _ in rows}
+
+
+def test_a_pair_at_80_with_few_equal_slots_is_linked(spark):
+    rows = _pairs_at(80, (4962, 4963), 400)
+    sig = near_duplicates.super_min_hash(*near_duplicates.shingle_sets(pa.array([t for _, t in rows])))
+    assert (sig[2] == sig[3]).sum() < 85  # a sift fitted to 0.85 loses this pair
+    got = near_duplicates.near_duplicate_groups(spark.createDataFrame(rows, SCHEMA), percent=80).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i - i % 2 for i, _ in rows}
+
+
 def test_near_duplicates_on_odd_rows(spark, odd):
     got = near_duplicates.near_duplicate_groups(odd, percent=85).collect()
     assert len(got) == len(ODD)
