@@ -277,7 +277,8 @@ def repeated_spans(docs: DataFrame, k: int = WINDOW, gram: int = GRAM) -> DataFr
 def _with_spans(docs: DataFrame, k: int, gram: int) -> DataFrame:
     """``docs`` with ``starts`` and ``lengths`` of the repeated spans of each row, null where there are none."""
     spans = repeated_spans(docs, k, gram).groupBy("doc_id", "crc").agg(
-        F.collect_list(F.struct("start", "n")).alias("spans")  # bounded by the length of one text
+        # a set: rows equal in id and text send the same spans; bounded by the length of one text
+        F.collect_set(F.struct("start", "n")).alias("spans")
     )
     spans = spans.select(F.col("doc_id").alias("_span_id"), F.col("crc").alias("_span_crc"), "spans")
     crc = F.crc32(F.coalesce(docs["text"], F.lit("")))

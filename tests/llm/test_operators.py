@@ -93,6 +93,15 @@ def test_substrings_on_odd_rows_equal_brute_force(spark, odd):
     assert sorted(map(tuple, got.collect()), key=str) == _brute_removed(ODD, 35)
 
 
+def test_equal_rows_leave_one_set_of_spans(spark):
+    rows = [(i, t) for i in (None, 7) for t in (LONG, LONG + " tail") for _ in range(50)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    for r in substrings._with_spans(docs, 35, 8).collect():
+        assert 0 < len(r._starts) <= len(_words(r.text))
+        assert len(set(zip(r._starts, r._lengths, strict=True))) == len(r._starts)
+    assert sorted(map(tuple, substrings.removals(docs).collect()), key=str) == _brute_removed(rows, 35)
+
+
 def test_substrings_with_frequent_passages_in_changing_context(spark, monkeypatch):
     monkeypatch.setattr(substrings, "FREQUENT", 0.0)
     line = " ".join(f"p{i}" for i in range(40))
