@@ -110,10 +110,16 @@ def accent_table() -> tuple[str, str]:
 COMBINING_MARKS = "".join(map(chr, range(0x0300, 0x0370)))
 
 
+def translation() -> tuple[str, str]:
+    """The whole (from, to) pair of every path that normalises: accented letters, then marks to delete."""
+    src, dst = accent_table()
+    return src + COMBINING_MARKS, dst
+
+
 def normalize_text(text: str | Column) -> Column:
     """Lower-case, then strip accents of Latin letters (native ``translate``)."""
-    src, dst = accent_table()
-    return F.translate(F.lower(_col(text)), src + COMBINING_MARKS, dst)
+    src, dst = translation()
+    return F.translate(F.lower(_col(text)), src, dst)
 
 
 def tokens(normalized: str | Column) -> Column:

@@ -33,7 +33,7 @@ from prioritext.constants import (
     MAX_ITER,
     MIN_DF,
 )
-from prioritext.functions.text import BIGRAM_PATTERN, TOKEN_PATTERN, accent_table
+from prioritext.functions.text import BIGRAM_PATTERN, TOKEN_PATTERN, translation
 from prioritext.operators.common import EngineError, spread
 from prioritext.operators.features import doc_term_counts, exploded_grams, fit_vocabulary, partition_docs, tfidf_for
 
@@ -71,7 +71,7 @@ def _sql_literal(s: str) -> str:
 
 def grams_sql(text_col: str = "text", out_col: str = "grams") -> str:
     """The n-gram expression as a SQL statement (for a savable ``SQLTransformer``)."""
-    src, dst = accent_table()
+    src, dst = translation()
     norm = f"translate(lower({text_col}), {_sql_literal(src)}, {_sql_literal(dst)})"
     toks = f"regexp_extract_all({norm}, {_sql_literal(TOKEN_PATTERN)}, 0)"
     bigrams = f"regexp_extract_all(array_join(_t, ' '), {_sql_literal(BIGRAM_PATTERN)}, 1)"

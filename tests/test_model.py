@@ -49,6 +49,28 @@ def test_probabilities_sum_to_one_and_paths_agree(spark, fitted):
     assert r["unpaired"] == 0 and r["agreement_pct"] >= 99.0
 
 
+def test_paths_agree_on_decomposed_text(spark):
+    import unicodedata
+
+    rows = [(i, f"maçã café número{i % 3} été", "a") for i in range(6)] + [(i, f"ação língua número{i % 3}", "b") for i in range(6, 12)]
+    rows = [(i, unicodedata.normalize("NFD", t), c) for i, t, c in rows]
+    docs = spark.createDataFrame(rows, "id LONG, text STRING, label STRING")
+    tm = M.train(docs, M.TrainConfig(id_col="id", max_iter=20, min_df=1))
+    terms = {r["term"] for r in tm.vocab.collect()}
+    assert {"maca", "cafe", "ete", "acao", "lingua", "maca cafe"} <= terms
+    tabs = M.export_tables(tm)
+    w = M.weights_for(docs, tabs["vocab"], "id", "text")
+    b = {r["id"]: r for r in M.score_tables(docs, w, tabs["coef"], M.intercept_list(tabs["intercept"]), "id").collect()}
+    a = {r["id"]: r for r in M.score_batch(tm, docs, "id", "text").collect()}
+    assert len(a) == len(b) == 12
+    for i, _, label in rows:
+        assert a[i]["label"] == b[i]["label"] == label
+        for c in tm.classes:
+            assert a[i]["scores"][c] == pytest.approx(b[i]["scores"][c], abs=1e-9)
+    grams = tm.pipeline.stages[0].transform(docs).select("grams").collect()
+    assert {g for r in grams for g in r["grams"]} == terms
+
+
 def test_zero_vector_document_survives_table_path(spark, fitted):
     tm, _ = fitted
     docs = spark.createDataFrame([("z1", "qqqqzzzz xxxxyyyy"), ("z2", "")], "id STRING, text STRING")
