@@ -55,9 +55,9 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 4096 ids, piece by piece."""
-    packed = packing.pack_documents(docs, packing.word_bpe_path(), digest=True)
-    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    """Sequences of at most 4096 ids, piece by piece; ``packing.widened(ids, length)`` reads a piece's ids."""
+    packed = packing.pack_documents(docs, packing.word_bpe_path(), digest=True, keep_ids=True)
+    return packed.select("doc_id", "start", "length", "ids", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

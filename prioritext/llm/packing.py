@@ -268,11 +268,13 @@ def pack_cell(lengths: np.ndarray, plan: list[tuple[tuple[int, ...], float]], sh
     return out
 
 
-def pack(cut: DataFrame, window: int = WINDOW, unit: int = UNIT, digest: bool = False) -> DataFrame:
+def pack(
+    cut: DataFrame, window: int = WINDOW, unit: int = UNIT, digest: bool = False, keep_ids: bool = False
+) -> DataFrame:
     """Each piece's ``sequence_id`` and ``offset`` beside its own columns.
 
     ``cut`` is a written table of pieces (see :func:`pieces`), so that row numbers stand.
-    With ``digest`` a CRC-32 of a piece's 32-bit ids stands in place of the ids.
+    With ``digest`` a CRC-32 of a piece's 32-bit ids stands in place of the ids, with ``keep_ids`` beside them.
     """
     bins = window // unit
     counted = cut.groupBy(F.ceil(F.col("length") / unit).alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()
@@ -298,25 +300,32 @@ def pack(cut: DataFrame, window: int = WINDOW, unit: int = UNIT, digest: bool =
             pairs = zip(table_.column("ids").to_pylist(), lengths.tolist(), strict=True)
             ids = {"ids_crc32": pa.array([zlib.crc32(widened(i, n).tobytes()) for i, n in pairs], pa.int64())}
         else:
-            ids = {"ids": table_.column("ids")}
+            ids = {}
+        if keep_ids or not digest:
+            ids["ids"] = table_.column("ids")
         return pa.table(
             {c: table_.column(c) for c in ("doc_id", "start", "length", "doc_tokens")}
             | ids
             | {"sequence_id": sequence, "offset": offset}
         )
 
-    content = "ids_crc32 long" if digest else "ids binary"
+    content = "ids_crc32 long" + ", ids binary" * keep_ids if digest else "ids binary"
     return cells.groupBy("cell").applyInArrow(
         run, f"doc_id long, start long, length long, doc_tokens long, {content}, sequence_id long, offset long"
     )
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int = END_ID, digest: bool = False
+    docs: DataFrame,
+    tokenizer_path: str,
+    window: int = WINDOW,
+    end_id: int = END_ID,
+    digest: bool = False,
+    keep_ids: bool = False,
 ) -> DataFrame:
-    """Every piece of every document with its ids (16- or 32-bit) or their digest, sequence and offset."""
+    """Every piece of every document with its ids (16- or 32-bit), their digest or both, sequence and offset."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return pack(written(pieces(docs, tokenizer_path, window, end_id), "pieces"), window, digest=digest)
+    return pack(written(pieces(docs, tokenizer_path, window, end_id), "pieces"), window, digest=digest, keep_ids=keep_ids)
 
 
 def word_bpe_path() -> str:

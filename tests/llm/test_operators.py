@@ -248,6 +248,25 @@ def test_packing_on_odd_rows(spark, odd):
     assert max(fill.values()) <= packing.WINDOW
 
 
+def test_the_pipeline_returns_token_ids(spark, odd):
+    import corpus_pipeline as cp
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(packing.word_bpe_path())
+    long = [(20, " ".join(f"n{i}" for i in range(3_000))), (21, "É 日本 z")]
+    docs = odd.select("doc_id", "text").filter("doc_id not in (5)").union(spark.createDataFrame(long, SCHEMA))
+    want = Counter((r.doc_id, tuple([*plain.encode(r.text or "", add_special_tokens=False).ids, 2])) for r in docs.collect())
+    got = cp.packing_stage(spark, docs, "").collect()
+    assert sum(r.length for r in got) == sum(len(ids) * n for (_, ids), n in want.items())
+    whole = {i: [] for i, _ in want if i is not None}
+    for r in sorted(got, key=lambda r: r.start):
+        ids = packing.widened(r.ids, r.length)
+        assert len(ids) == r.length and zlib.crc32(ids.tobytes()) == r.ids_crc32
+        if r.doc_id is not None:
+            whole[r.doc_id] += ids.tolist()
+    assert {(i, tuple(ids)) for i, ids in whole.items()} == {k for k in want if k[0] is not None}
+
+
 def test_nnls_and_cells():
     rng = np.random.default_rng(2)
     a, x = rng.random((8, 5)), np.array([0, 2.0, 0, 1.0, 3.0])
