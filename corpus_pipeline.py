@@ -5,8 +5,9 @@ stage before it kept; its result is written as Parquet and read again as the
 next one's input.  All but the last return the columns of ``documents``.
 
 Defined results: those of the operators.  A row without an id is linked with
-nothing and stays; rows of one id that are near-duplicates' smallest stay as
-one; a text that loses all its words stays as an empty text.
+nothing and stays; rows of one id are one document to the near-duplicates, so
+all of them stay or go, and of repeats of one text under an id one row stays; a
+text that loses all its words stays as an empty text.
 """
 
 from __future__ import annotations
@@ -43,7 +44,10 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     groups = near_duplicates.near_duplicate_groups(docs, percent=80)
     kept = groups.filter("kept and doc_id is not null").select(F.col("doc_id").alias("kept_id")).distinct()
     named = docs.filter(F.col("doc_id").isNotNull()).join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi")
-    return named.dropDuplicates(["doc_id"]).union(docs.filter(F.col("doc_id").isNull()))
+    # repeats of an id and its text are one row, the smallest by the other columns; another text is another row
+    rest = [c for c in COLUMNS if c not in ("doc_id", "text")]
+    once = named.groupBy("doc_id", "text").agg(F.min(F.struct(*rest)).alias("rest")).select("doc_id", "text", "rest.*")
+    return once.select(*COLUMNS).union(docs.filter(F.col("doc_id").isNull()))
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -77,5 +81,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-# Neither the classifier chain nor the packing can be put in SQL; tests hold the stages to brute force.
+# Neither the classifier chain nor the packing can be put in SQL; tests hold the near-duplicates and the ids of
+# the packing to brute force, the toxicity stage to column names and counts only.
 ORACLE_SQL = None

@@ -231,6 +231,24 @@ def test_near_duplicates_on_odd_rows(spark, odd):
     assert all(r.kept and r.component_id is None for r in got if r.doc_id is None)
 
 
+def test_near_duplicate_stage_equals_brute_force(spark):
+    import corpus_pipeline as cp
+
+    rows = [(i, t) for i, t in _pairs_at(80, range(3), 60)] + [(i + 100, t) for i, t in _pairs_at(78, range(3, 6), 60)]
+    # an id with two quite different texts, one of them repeated with other columns; rows without an id
+    rows += [(50, LONG), (50, "another text altogether " + "q " * 20), (50, LONG), (None, LONG), (None, LONG), (51, None)]
+    docs = spark.createDataFrame([(i, t, "en", f"s{n}", n) for n, (i, t) in enumerate(rows)], SCHEMA + ", lang STRING, source STRING, n_chars LONG")
+    roots = _brute_components([r for r in rows if r[0] not in (None, 50)], 80) | {50: 50}
+    assert sum(i != r for i, r in roots.items()) == 3
+    want = {}
+    for n, (i, t) in enumerate(rows):
+        if i is None or roots[i] == i:
+            want.setdefault((i, t, n if i is None else None), (i, t, "en", f"s{n}", n))
+    for parts in (1, 5):
+        got = cp.near_duplicate_stage(spark, docs.repartition(parts), "").collect()
+        assert sorted(map(tuple, got), key=str) == sorted(want.values(), key=str)
+
+
 def test_packing_on_odd_rows(spark, odd):
     got = packing.pack_documents(odd, packing.word_bpe_path()).collect()
     from tokenizers import Tokenizer
