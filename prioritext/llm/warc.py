@@ -35,8 +35,11 @@ PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "la
 
 
 def canonical_url(url: F.Column) -> F.Column:
-    """Host without ``www``, default port and case; path without final slash; sorted query without trackers."""
-    bare = F.regexp_replace(url, "#.*$", "")
+    """Host without ``www``, default port and case; path without final slash; sorted query without trackers.
+
+    Angle brackets around a URL are dropped; what is no ``scheme://...`` stays as it is, without its fragment.
+    """
+    bare = F.regexp_replace(F.regexp_replace(url, r"^\s*<(.*)>\s*$", "$1"), "#.*$", "")
     whole = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)([^?]*)\??(.*)$"
     host = F.lower(F.regexp_extract(bare, whole, 1))
     host = F.regexp_replace(F.regexp_replace(host, r":(80|443)$", ""), r"^www[0-9]*\.", "")
@@ -45,7 +48,8 @@ def canonical_url(url: F.Column) -> F.Column:
         F.split(F.regexp_extract(bare, whole, 3), "&"), lambda p: (p != "") & ~p.startswith("utm_")
     )
     joined = F.array_join(F.array_sort(query), "&")
-    return F.concat(host, path, F.when(joined != "", F.concat(F.lit("?"), joined)).otherwise(F.lit("")))
+    built = F.concat(host, path, F.when(joined != "", F.concat(F.lit("?"), joined)).otherwise(F.lit("")))
+    return F.when(bare.rlike(whole), built).otherwise(bare)
 
 
 def _latest_response(records: DataFrame, block_seconds: int) -> DataFrame:

@@ -368,6 +368,19 @@ def test_warc_cases(spark):
     assert next(r.headers for r in got if r.record_id == 4) == {"etag": "x", "server": "s", "date": "d"}
 
 
+def test_urls_without_a_scheme_do_not_share_a_key(spark):
+    schema = "record_id LONG, kind STRING, url STRING, ts LONG, headers MAP<STRING, STRING>, body STRING"
+    urls = ["dns:a.example", "dns:b.example", "c.example/x", "<http://d.example/>", "<https://e.example/?q=1>", "", "urn:f"]
+    rows = [(i, "response", u, 10 + i, {"etag": str(i)}, f"body{i}") for i, u in enumerate(urls)]
+    rows += [(100 + i, "revisit", u, 50 + i, {"etag": str(i)}, None) for i, u in enumerate(urls)]
+    rows.append((200, "revisit", "http://www.d.example", 90, {"etag": "3"}, None))
+    rows.append((201, "revisit", "dns:unseen", 90, {"etag": "6"}, None))
+    got = warc.resolve_revisits(spark.createDataFrame(rows, schema)).collect()
+    want = [(100 + i, "resolved", i, f"body{i}") for i in range(len(urls))]
+    want += [(200, "resolved", 3, "body3"), (201, "no_response", None, None)]
+    assert sorted((r.record_id, r.status, r.response_id, r.body) for r in got) == want
+
+
 def test_transducer_equals_the_library_and_round_trips(spark, odd, sf001):
     import sentencepiece
 
