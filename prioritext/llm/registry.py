@@ -1,4 +1,4 @@
-"""The queries of this subpackage and their DuckDB twins."""
+"""The queries of this subpackage and their DuckDB twins; the entry script adds the pipeline, which is a script too."""
 
 from __future__ import annotations
 
@@ -6,18 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-import corpus_pipeline
 from prioritext.llm import (
+    alignment,
     chat,
     near_duplicates,
     packing,
     piecewise,
     quality,
+    secret_scan,
     sharding,
     substrings,
     topk,
     toxicity,
     warc,
+    whitening,
 )
 from prioritext.llm.tables import ship_code
 
@@ -36,11 +38,16 @@ def queries() -> dict[str, Query]:
         warc.op8_revisits,
         chat.op9_snapshot_collapse,
         packing.op10_nnls_packing,
+        whitening.op11_jacobi_davidson,
+        secret_scan.op12_secret_scan,
+        alignment.op13_token_alignment,
     )
-    return {f.__name__: _shipping(f) for f in found} | {"pipeline": _shipping(corpus_pipeline.run)}
+    return {f.__name__: shipping(f) for f in found}
 
 
-def _shipping(query: Query) -> Query:
+def shipping(query: Query) -> Query:
+    """The query, which sends this package to the executors first."""
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_code(spark)
         return query(spark, sf_dir)
