@@ -200,7 +200,7 @@ class Aligned:
         for place, ids, owner, last in ((place_a, self.a, g_a, ord("|")), (place_b, self.b, g_b, ord(";"))):
             out[place, :width] = digits[ids]
             mark = np.full(len(ids), ord(","), dtype=np.uint8)
-            mark[np.flatnonzero(np.concatenate((owner[1:] != owner[:-1], [True])))] = last
+            mark[np.flatnonzero(np.diff(owner, append=-1))] = last
             out[place, width] = mark
         used = out != 0
         ends = np.cumsum(used.sum(axis=1))[np.cumsum(n_a + n_b) - 1]
