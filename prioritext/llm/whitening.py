@@ -1,7 +1,7 @@
 """Whitening of embeddings by a block Jacobi-Davidson method on distributed products.
 
 The covariance is never formed.  The vectors that take part are written once,
-as integers; every step needs products ``V u`` for a few directions ``u``, and
+as integer matrices of some thousand rows; every step needs products ``V u`` for a few directions ``u``, and
 one pass over the table gives them for all of a step's directions: a task
 centres its rows, multiplies them by the directions and back, and a Spark
 aggregate adds the tasks' sums.
@@ -76,41 +76,61 @@ def rows_of(column: pa.Array, dim: int) -> np.ndarray:
     return out
 
 
+def packed(x: DataFrame, dim: int) -> DataFrame:
+    """``(ids, rows)``: matrices of at most ``SUB_ROWS`` vectors, 8 bytes an entry, and their ids."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, SUB_ROWS):
+                some = batch.slice(low, SUB_ROWS)
+                ids = pa.ListArray.from_arrays(pa.array([0, some.num_rows], pa.int32()), some.column("vec_id"))
+                rows = pa.array([rows_of(some.column("x"), dim).astype("<i8").tobytes()], pa.binary())
+                yield pa.RecordBatch.from_arrays([ids, rows], names=["ids", "rows"])
+
+    return x.select("vec_id", "x").mapInArrow(run, "ids array<long>, rows binary")
+
+
+def matrices(batches: Iterator[pa.RecordBatch], dim: int) -> Iterator[np.ndarray]:
+    for batch in batches:
+        for rows in batch.column("rows"):
+            yield np.frombuffer(rows.as_buffer(), dtype="<i8").reshape(-1, dim)
+
+
 class Fit:
-    """A written table of integer vectors with its size, sums and covariance products."""
+    """Integer vectors, written as matrices, with their number, sums and covariance products."""
 
     def __init__(self, x: DataFrame):
-        self.x = x
-        totals = x.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("x")).alias("dim")).first()
-        self.n, self.dim = totals["n"], totals["dim"] or 0
-        self.sums = [0] * self.dim
-        self.passes = 0
-        if self.dim:
-            # a sum per dimension, of what differs from the shift: missing components add nothing
-            each = x.select(F.posexplode(F.transform("x", lambda v: v - SHIFT)).alias("i", "v"))
-            for row in each.groupBy("i").agg(F.sum(F.col("v").cast("decimal(20,0)")).alias("s")).collect():
-                self.sums[row["i"]] = int(row["s"]) + SHIFT * self.n
-        # S / n to full precision, split so that x - mean loses nothing
+        self.dim = x.agg(F.max(F.size("x"))).first()[0] or 0
+        self.n, self.sums, self.passes = 0, [0] * self.dim, 0
+        if not self.dim:
+            return
+        self.x = written(packed(x, self.dim), "whitening")
+        self.n = self.x.agg(F.sum(F.size("ids"))).first()[0]
+        dim = self.dim
+
+        def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rows in matrices(batches, dim):  # an entry is below 2**32, so that a matrix's sum is a long
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(dim)), pa.array(rows.sum(axis=0))], names=["i", "s"])
+
+        sums = self.x.select("rows").mapInArrow(total, "i long, s long").groupBy("i")
+        for row in sums.agg(F.sum(F.col("s").cast("decimal(20,0)")).alias("s")).collect():
+            self.sums[row["i"]] = int(row["s"])
+        # S / n in a whole and a fractional part, so that x - mean loses nothing
         self.whole = np.array([s // self.n for s in self.sums], dtype=np.int64)
         self.part = np.array([(s % self.n) / self.n for s in self.sums])
 
-    def centred(self, column: pa.Array) -> np.ndarray:
-        return (rows_of(column, self.dim) - self.whole) - self.part
-
     def summed(self, per_rows, width: int) -> np.ndarray:
         """The sum over all rows of ``per_rows(centred rows)``, an array of ``width`` numbers."""
         dim, whole, part = self.dim, self.whole, self.part
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros(width)
-            for batch in batches:
-                for low in range(0, batch.num_rows, SUB_ROWS):
-                    rows = rows_of(batch.column("x").slice(low, SUB_ROWS), dim)
-                    total += per_rows((rows - whole) - part).ravel()
+            for rows in matrices(batches, dim):
+                total += per_rows((rows - whole) - part).ravel()
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(width)), pa.array(total)], names=["i", "y"])
 
         self.passes += 1
-        sums = self.x.select("x").mapInArrow(run, "i long, y double").groupBy("i").agg(F.sum("y").alias("y"))
+        sums = self.x.select("rows").mapInArrow(run, "i long, y double").groupBy("i").agg(F.sum("y").alias("y"))
         out = np.zeros(width)
         found = sums.toArrow()
         out[found.column("i").to_numpy()] = found.column("y").to_numpy()
@@ -284,10 +304,7 @@ def whiten(vectors: DataFrame, components: int = COMPONENTS, id_col: str = "vec_
     schema = (
         "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double"
     )
-    x = written(quantised(vectors, id_col, vec_col), "whitening")
-    if x.isEmpty():
-        return spark.createDataFrame([], schema)
-    fit = Fit(x)
+    fit = Fit(quantised(vectors, id_col, vec_col))
     trace = fit.trace() if fit.dim else 0.0
     if not trace:
         return spark.createDataFrame([], schema)
@@ -307,17 +324,16 @@ def whiten(vectors: DataFrame, components: int = COMPONENTS, id_col: str = "vec_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, SUB_ROWS):
-                some = batch.slice(low, SUB_ROWS)
-                rows = rows_of(some.column("x"), dim)
-                size = len(rows)
+            for ids, rows in zip(batch.column("ids"), matrices([batch], dim), strict=True):
                 whitened = ((rows - whole) - part) @ weights
+                size = len(rows)
+                each = pa.array(np.repeat(np.arange(size), k))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        some.column("vec_id").take(pa.array(np.repeat(np.arange(size), k))),
+                        ids.values.take(each),
                         pa.array(np.tile(np.arange(1, k + 1, dtype=np.int32), size)),
                         pa.array(np.full(size * k, n)),
-                        deviations(rows, n, sums).take(pa.array(np.repeat(np.arange(size), k))),
+                        deviations(rows, n, sums).take(each),
                         pa.array(whitened.ravel()),
                         pa.array(np.tile(explained, size)),
                         pa.array(np.full(size * k, identity_error)),
@@ -325,7 +341,7 @@ def whiten(vectors: DataFrame, components: int = COMPONENTS, id_col: str = "vec_
                     names=["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
                 )
 
-    return x.mapInArrow(run, schema)
+    return fit.x.mapInArrow(run, schema)
 
 
 def deviations(rows: np.ndarray, n: int, sums: list[int]) -> pa.Array:
