@@ -35,27 +35,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prioritext.llm.tables import table, written
-from prioritext.llm.words import slices
+from prioritext.llm.words import SEPARATOR, slices, split_words
 
 WINDOW = 4_096
 UNIT = 16
 END_ID = 2
 # Pieces that one cell (one task's unit of packing) takes, on average.
 CELL_PIECES = 4_096
-# Distinct words whose ids a worker remembers, and words tokenised in one call.
-CACHE_WORDS = 250_000  # twice at most
+# Bytes of words and ids that a worker remembers (twice at most); a word beyond so many bytes never.
+CACHE_BYTES = 16_000_000
+LONGEST_REMEMBERED = 64
+# Longer words go to the library, whose merges are queued.
+LONGEST_PLAIN = 512
+_ENTRY = 150  # bytes that a remembered word takes besides its own
+# Words tokenised in one call of either library, and bytes of text whose words are numbered together.
 CALL_WORDS = 512
+CALL_PLAIN = 50_000
+SLICE_BYTES = 6_000_000
 
 _workers: dict[str, "WordIds"] = {}
 
 
 class WordIds:
-    """Ids of ASCII-white-space-separated words by a ``tokenizers`` file, remembered per worker.
+    """Ids of ASCII-white-space-separated words by a ``tokenizers`` file.
 
-    For a tokenizer that lowers case and splits at white space and between
-    letters and marks, the ids of a text are the ids of its words one after
-    the other, those of an ASCII word are the ids of its lower-case form, and
-    a full stop or comma behind a letter is a token of its own.
+    For a tokenizer that composes and lowers letters and splits at white space
+    and between letters and other characters, the ids of a text are the ids of
+    its words one after the other.  Words of Latin letters, with a full stop or
+    comma behind them or not, go through :class:`Merges`; all others go to the
+    library as they are, and a worker remembers them.
     """
 
     def __init__(self, path: str):
@@ -66,10 +74,10 @@ class WordIds:
         # two generations: a word used lately survives when the cache is full
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
+        self.room = CACHE_BYTES
         vocabulary = self.tokenizer.get_vocab()
-        self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.marks = {m: self._slow([m])[0] for m in (b".", b",")}
+        self.merges = Merges(vocabulary)
+        self.kind = "<u2" if max(vocabulary.values()) < 1 << 16 else "<u4"
 
     @classmethod
     def of_worker(cls, path: str) -> WordIds:
@@ -77,61 +85,23 @@ class WordIds:
             _workers[path] = cls(path)
         return _workers[path]
 
-    @staticmethod
-    def _core(word: bytes) -> tuple[bytes, bytes]:
-        """The word without a final full stop or comma behind a letter, lowered if it is ASCII; and that mark."""
-        mark = b""
-        if word[-1:] in (b".", b",") and len(word) > 1:
-            before = word[-2]
-            letter = chr(before).isalpha() if before < 128 else word[:-1].decode()[-1].isalpha()
-            if letter:
-                word, mark = word[:-1], word[-1:]
-        return (word.lower() if word.isascii() else word), mark
-
-    def _lookup(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """The ids of each of the words; unseen cores are tokenised together."""
-        out, open_, new = {}, [], []
-        fresh: set[bytes] = set()
-        for word in words:
-            core, mark = self._core(word)
-            ids = self.known.get(core)
-            if ids is None:
-                ids = self.older.get(core)
-                if ids is not None:
-                    self.known[core] = ids
-            if ids is None:
-                open_.append((word, core, mark))
-                if core not in fresh:
-                    fresh.add(core)
-                    new.append(core)
-            else:
-                out[word] = ids + self.marks[mark] if mark else ids
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known, self.older = {}, self.known
-        for i in range(0, len(new), CALL_WORDS):
-            some = new[i : i + CALL_WORDS]
-            self.known.update(zip(some, self._ids(some), strict=True))
-        for word, core, mark in open_:
-            ids = self.known[core]
-            out[word] = ids + self.marks[mark] if mark else ids
-        return out
-
-    def _ids(self, words: list[bytes]) -> list[bytes]:
-        plain = [w for w in words if w.decode().isalpha()]
-        joined = b" ".join(plain).decode()
-        ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
-        ends = (np.flatnonzero(self.closes[ids]) + 1).tolist()
-        if len(ends) != len(plain):  # not one token run a word: take the ids by their places in the text
-            return self._slow(words)
-        raw = ids.tobytes()
-        found = {w: raw[4 * low : 4 * high] for w, low, high in zip(plain, [0, *ends], ends, strict=False)}
-        others = [w for w in words if w not in found]
-        found.update(zip(others, self._slow(others), strict=True))
-        return [found[w] for w in words]
-
-    def _slow(self, words: list[bytes]) -> list[bytes]:
-        if not words:
-            return []
+    def _others(self, words: list[bytes]) -> list[bytes]:
+        """The ids of words that aren't plain; unseen ones are tokenised together."""
+        found = [self.known.get(w) or self.older.get(w) for w in words]
+        new = [i for i, ids in enumerate(found) if ids is None]
+        for low in range(0, len(new), CALL_WORDS):
+            some = new[low : low + CALL_WORDS]
+            for i, ids in zip(some, self._by_library([words[i] for i in some]), strict=True):
+                found[i] = ids
+        for word, ids in zip(words, found, strict=True):
+            if len(word) <= LONGEST_REMEMBERED and word not in self.known:
+                if self.room < 0:
+                    self.known, self.older, self.room = {}, self.known, CACHE_BYTES
+                self.known[word] = ids
+                self.room -= len(word) + len(ids) + _ENTRY
+        return found
+
+    def _by_library(self, words: list[bytes]) -> list[bytes]:
         texts = [w.decode() for w in words]
         found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
         begin = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
@@ -139,11 +109,128 @@ class WordIds:
         at = np.searchsorted([o[0] for o in found.offsets], begin).tolist() if raw else [0] * len(begin)
         return [raw[4 * low : 4 * high] for low, high in zip(at[:-1], at[1:], strict=True)]
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text, as little-endian unsigned 32-bit integers."""
-        split = [t.split() for t in texts]
-        known = self._lookup(set().union(*split))
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+    def _distinct(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(ids, begin, size)`` of the words ``data[start:end]``: word i has ``ids[begin[i]:begin[i] + size[i]]``."""
+        begin, size = np.zeros(len(starts), dtype=np.int64), np.zeros(len(starts), dtype=np.int64)
+        parts, held = [], 0
+        plain, coded = self.merges.plain(data, starts, ends)
+        at = np.flatnonzero(plain)
+        for low in range(0, len(at), CALL_PLAIN):
+            some = at[low : low + CALL_PLAIN]
+            ids, begin_, size_ = self.merges.ids(coded, starts[some], ends[some])
+            begin[some], size[some] = held + begin_, size_
+            parts.append(ids)
+            held += len(ids)
+        at = np.flatnonzero(~plain)
+        found = self._others([data[low:high].tobytes() for low, high in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
+        size[at] = [len(f) // 4 for f in found]
+        begin[at] = held + np.cumsum(size[at]) - size[at]
+        parts.append(np.frombuffer(b"".join(found), dtype="<u4"))
+        return np.concatenate(parts), begin, size
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text, as little-endian unsigned 32-bit integers.
+
+        One dictionary numbers the words, each distinct one is looked up once, and the ids are gathered by number.
+        """
+        words = split_words(texts)
+        n = len(words.starts)
+        if not n:
+            return [b""] * len(texts)
+        # a word with the white space behind it, up to the next word
+        bounds = pa.py_buffer(np.append(words.starts, len(words.data)))
+        listed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, bounds, pa.py_buffer(words.data)])
+        listed = listed.dictionary_encode()
+        starts = np.frombuffer(listed.dictionary.buffers()[1], dtype=np.int64)[: len(listed.dictionary) + 1]
+        data = np.frombuffer(listed.dictionary.buffers()[2], dtype=np.uint8)
+        inside = np.concatenate(([0], np.cumsum(~SEPARATOR[data[: starts[-1]]])))
+        starts, length = starts[:-1], np.diff(inside[starts])
+        ids, begin, size = self._distinct(data, starts, starts + length)
+        number = listed.indices.to_numpy()
+        each = size[number]
+        ends = np.cumsum(each)
+        flat = ids[np.arange(ends[-1]) + np.repeat(begin[number] - (ends - each), each)]
+        raw, cuts = flat.tobytes(), (4 * np.concatenate(([0], ends))[words.first]).tolist()
+        return [raw[low:high] for low, high in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+class Merges:
+    """Merges of words of Latin letters under a vocabulary with word ends, very many words a call.
+
+    A word's last byte stands for its symbol with a word end, so it has a code
+    of its own.  The 26 letters, the trailing bytes of the accented ones in
+    lower case and their leading byte need 119 codes, which are characters of
+    one byte; two marks and what stands between words have one each.
+    """
+
+    def __init__(self, vocabulary: dict[str, int], end: str = "</w>"):
+        import tiktoken
+
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [i for i in range(256) if i not in shown]
+        byte_of = {chr(i): i for i in shown} | {chr(256 + n): i for n, i in enumerate(hidden)}
+        last = [*range(97, 123), *range(0x9F, 0xC0)]
+        inner = [*last, 0xC3]
+        self.between = 127
+        self.inner = np.array([inner.index(i) if i in inner else 255 for i in range(256)], dtype=np.uint8)
+        self.last = np.array([len(inner) + last.index(i) if i in last else 255 for i in range(256)], dtype=np.uint8)
+        marks = {46: 120, 44: 121}
+        for mark, code in marks.items():
+            self.last[mark] = self.inner[mark] = code
+        ranks: dict[bytes, int] = {}
+        for token, i in vocabulary.items():
+            ended = token.endswith(end)
+            raw = [byte_of.get(c) for c in (token.removesuffix(end) if ended else token)]
+            if raw and all(c in inner for c in raw[: len(raw) - ended]) and (not ended or raw[-1] in last):
+                code = self.inner[raw]
+                if ended:
+                    code[-1] = self.last[raw[-1]]
+                ranks[code.tobytes()] = i
+        ranks |= {bytes([code]): vocabulary[chr(mark) + end] for mark, code in marks.items() if chr(mark) + end in vocabulary}
+        codes = [*range(len(inner) + len(last)), *marks.values()]
+        self.fits = all(bytes([c]) in ranks for c in codes)
+        if self.fits:
+            self.end_id = max(vocabulary.values()) + 1
+            ranks[bytes([self.between])] = self.end_id
+            # a word's letters, a mark, or what stands between words
+            words = f"[\\x00-\\x{len(inner) + len(last) - 1:02x}]+|[\\x78\\x79\\x7f]"
+            self.library = tiktoken.Encoding("merges", pat_str=words, mergeable_ranks=ranks, special_tokens={})
+
+    def plain(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which words are letters of the range and a mark behind them or none; and all bytes, lowered and coded."""
+        if not self.fits or not len(starts):
+            return np.zeros(len(starts), dtype=bool), data
+        lowered = _LOWER[data]
+        lead = data == 0xC3
+        after = np.concatenate(([False], lead[:-1]))
+        accent = after & (data >= 0x80) & (data <= 0xBF) & (data != 0x97) & (data != 0xB7)
+        lowered[accent & (data < 0x9F)] += 0x20
+        letter = accent | ((lowered >= 97) & (lowered <= 122))
+        letter[:-1] |= lead[:-1] & accent[1:]
+        good = np.concatenate(([0], np.cumsum(letter)))
+        final = data[ends - 1]
+        mark = ((final == 46) | (final == 44)) & (ends - starts > 1)
+        core_end = ends - mark
+        plain = (good[core_end] - good[starts] == core_end - starts) & (ends - starts <= LONGEST_PLAIN)
+        coded = self.inner[lowered]
+        coded[core_end - 1] = self.last[lowered[core_end - 1]]
+        return plain, coded
+
+    def ids(self, coded: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(ids, begin, size)`` of plain words."""
+        length = ends - starts
+        before = np.cumsum(length) - length
+        out = np.full(int(length.sum()) + len(starts), self.between, dtype=np.uint8)
+        place = np.arange(int(length.sum()))
+        out[place + np.repeat(np.arange(len(starts)), length)] = coded[place + np.repeat(starts - before, length)]
+        ids = np.array(self.library.encode_ordinary(out.tobytes().decode("ascii")), dtype="<u4")
+        stop = np.flatnonzero(ids == self.end_id)
+        begin = np.concatenate(([0], stop[:-1] + 1))
+        return ids, begin, stop - begin
+
+
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
@@ -153,12 +240,11 @@ def pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, task, row = WordIds.of_worker(tokenizer_path), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for part in slices(batch, "text"):
-                raw = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in part.column("text")]
+            for part in slices(batch, "text", SLICE_BYTES):
                 ids = part.column("doc_id").to_pylist()
                 out = [
-                    (i, s // 4, len(e[s : s + 4 * window]) // 4, len(e) // 4, _narrow(e[s : s + 4 * window]))
-                    for i, e in zip(ids, (e + end for e in words.encode(raw)), strict=True)
+                    (i, s // 4, len(e[s : s + 4 * window]) // 4, len(e) // 4, _narrow(e[s : s + 4 * window], words.kind))
+                    for i, e in zip(ids, (e + end for e in words.encode(part.column("text"))), strict=True)
                     for s in range(0, len(e), 4 * window)
                 ]
                 cols = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), _PIECE_TYPES, strict=True)]
@@ -174,13 +260,12 @@ def pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: i
 _PIECE_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
 
 
-def _narrow(ids: bytes) -> bytes:
-    """16-bit ids where all of a piece fit, else 32-bit ones (told apart by the piece's length)."""
-    wide = np.frombuffer(ids, dtype="<u4")
-    return wide.astype("<u2").tobytes() if wide.max() < 1 << 16 else ids
+def _narrow(ids: bytes, kind: str) -> bytes:
+    return ids if kind == "<u4" else np.frombuffer(ids, dtype="<u4").astype(kind).tobytes()
 
 
 def widened(ids: bytes, length: int) -> np.ndarray:
+    """The ids of a piece of ``length``; 16-bit ones under a vocabulary that they hold, else 32-bit ones."""
     return np.frombuffer(ids, dtype="<u4" if len(ids) == 4 * length else "<u2").astype("<u4")
 
 
@@ -323,7 +408,7 @@ def pack_documents(
     digest: bool = False,
     keep_ids: bool = False,
 ) -> DataFrame:
-    """Every piece of every document with its ids (16- or 32-bit), their digest or both, sequence and offset."""
+    """Every piece of every document with its ids (of one width, which the vocabulary gives), their digest or both."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return pack(written(pieces(docs, tokenizer_path, window, end_id), "pieces"), window, digest=digest, keep_ids=keep_ids)
 

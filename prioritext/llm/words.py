@@ -19,12 +19,13 @@ import pyarrow.compute as pc
 # which bounds the temporary arrays of a task whatever the batch size.
 SLICE_BYTES = 2_000_000
 
-_SEPARATOR = np.zeros(256, dtype=bool)
-_SEPARATOR[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+SEPARATOR = np.zeros(256, dtype=bool)
+SEPARATOR[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _ROLL = 0xD1342543DE82EF95  # odd, so it has an inverse modulo 2**64
+SECOND_ROLL = 0x9FB21C651E98DF25
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -96,7 +97,7 @@ def split_words(texts: pa.Array, lower: bool = False) -> Words:
     data, offsets = _buffers(texts)
     if lower:
         data = _LOWER[data]
-    inside = ~_SEPARATOR[data]
+    inside = ~SEPARATOR[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[offsets] = True
     starts = inside.copy()
@@ -107,20 +108,20 @@ def split_words(texts: pa.Array, lower: bool = False) -> Words:
     return Words(data, offsets, at, np.flatnonzero(ends) + 1, np.searchsorted(at, offsets))
 
 
-def window_hashes(words: np.ndarray, k: int) -> np.ndarray:
-    """Hash of ``words[i:i+k]`` for every i with k words left (text bounds are the caller's)."""
+def window_hashes(words: np.ndarray, k: int, roll: int = _ROLL) -> np.ndarray:
+    """Hash of ``words[i:i+k]`` for every i with k words left (text bounds are the caller's); ``roll`` is odd."""
     n = len(words) - k + 1
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
     if k <= 8:
         total = words[:n].copy()
         for j in range(1, k):
-            total *= np.uint64(_ROLL)
+            total *= np.uint64(roll)
             total += words[j : j + n]
         return mix(total)
-    power = np.cumprod(np.full(len(words), _ROLL, dtype=np.uint64))
+    power = np.cumprod(np.full(len(words), roll, dtype=np.uint64))
     summed = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(words * power)))
-    inverse = np.cumprod(np.full(n, pow(_ROLL, -1, 1 << 64), dtype=np.uint64))
+    inverse = np.cumprod(np.full(n, pow(roll, -1, 1 << 64), dtype=np.uint64))
     return mix((summed[k : k + n] - summed[:n]) * inverse)
 
 
