@@ -1,18 +1,19 @@
 """Two-pass external shuffle into shards, in DataFrame operations only.
 
-Pass 1 scatters the records over memory-sized buckets by a seeded hash of id
-and text; pass 2 collects each bucket, puts it into a Fisher-Yates order
+Pass 1 scatters the records over memory-sized buckets by a seeded hash of id,
+text and place in the input, and writes them with their buckets; pass 2 brings each
+bucket to a partition of its own, collects it, puts it into a Fisher-Yates order
 (Spark's ``shuffle`` of an array) and deals it to the shards.  A bucket's
 place in the whole is the number of records in the buckets before it, so
 record p of the whole goes to slot ``p // shards`` of shard ``p % shards``:
 the law ``rows``, counts at most one apart.
 
-Equal texts of different documents scatter independently.  The bucket count
+Equal records scatter independently, however many there are.  The bucket count
 follows the input's bytes.
 
 Defined results
   null text: size 1 and the CRC-32 of no bytes; null id: hashed as such;
-  repeated rows: each takes a slot of its own (rows equal in id and text share a bucket);
+  repeated rows: each takes a slot of its own;
   empty or very long text: one record like any other; empty table: no rows;
   extra columns travel inside the record and may have any name and any type that sorts.
 """
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from prioritext.llm.tables import table
+from prioritext.llm.tables import table, written
 
 BUCKET_BYTES = 32 << 20
 SHARDS = 8
@@ -48,17 +49,19 @@ def external_shuffle(
     )
     total = rows.agg(F.sum("size")).first()[0] or 0
     n = max(1, -(-total // bucket_bytes))
-    spot = F.pmod(F.xxhash64(F.lit(seed), F.col("r.id").isNull(), "r.id", "r.crc"), F.lit(n))
-    scattered = rows.select(spot.alias("bucket"), F.struct("r", "size").alias("row")).repartition(n, "bucket")
+    # the place makes equal records differ; it is written, so that every later reading sees the same bucket
+    place = F.monotonically_increasing_id()
+    spot = F.pmod(F.xxhash64(F.lit(seed), F.col("r.id").isNull(), "r.id", "r.crc", place), F.lit(n)).cast("int")
+    scattered = written(rows.select(spot.alias("bucket"), F.struct("r", "size").alias("row")), "scattered")
     buckets = (
-        scattered.groupBy("bucket")
+        scattered.repartitionById(n, F.col("bucket"))
+        .groupBy("bucket")
         .agg(F.sort_array(F.collect_list("row")).alias("rows"))
-        .sortWithinPartitions("bucket")
         .select("bucket", F.posexplode(F.shuffle("rows", seed)).alias("place", "row"))
     )
     # one row per bucket
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    counts = rows.select(spot.alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    counts = scattered.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     offsets = counts.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     at = F.col("offset") + F.col("place")
     return buckets.join(offsets, "bucket").select(
