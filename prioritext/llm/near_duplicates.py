@@ -359,13 +359,16 @@ def near_duplicate_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
         classes.select(F.col("rep").alias("node"), "fp1", "fp2", "n_shingles"), "node"
     )
     confirmed = components(_confirmed_links(docs, groups, percent), "confirmed")
-    # rows of one id with different sets are one document: a link between their classes
-    doubled = linked.select("doc_id", "fp1", "fp2").distinct().join(
-        classes.select("fp1", "fp2", "rep"), ["fp1", "fp2"]
-    ).groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("a")).filter("a <> b").select("a", "b")
-    if doubled.isEmpty():
+    # rows of one id with different sets are one document: each of their classes is linked to the smallest
+    of_set = F.struct("fp1", "fp2")
+    several = linked.groupBy("doc_id").agg(F.min(of_set).alias("low"), F.max(of_set).alias("high")).filter("low <> high")
+    if several.isEmpty():
         final = confirmed
     else:
+        owned = linked.join(several.select("doc_id"), "doc_id", "left_semi").select("doc_id", "fp1", "fp2").distinct()
+        owned = written(owned.join(classes.select("fp1", "fp2", "rep"), ["fp1", "fp2"]).select("doc_id", "rep"), "owned")
+        least = owned.groupBy("doc_id").agg(F.min("rep").alias("b"))
+        doubled = owned.join(least, "doc_id").filter("rep <> b").select(F.col("rep").alias("a"), "b")
         final = components(confirmed.select(F.col("node").alias("a"), F.col("component").alias("b")).union(doubled), "ids")
     named = classes.select("fp1", "fp2", F.col("rep").alias("node")).join(final, "node", "left").select(
         "fp1", "fp2", F.coalesce("component", "node").alias("root")
