@@ -19,7 +19,11 @@ its words start at two places or more.
    neighbouring ones compacted to spans; a join by source coordinate brings the spans of a text together,
    where spans that touch or overlap merge.
 
-Windows are compared by a 64-bit key and a further independent 48-bit hash.
+Windows are compared by two hashes, each made from the words by a polynomial
+and a finaliser of its own: a 64-bit one (or the minimiser's, which equal
+windows share) and the second one, 64 bits inside a slice and 48 between
+slices.  A word leaves only where both agree; the words themselves aren't
+compared again.
 
 Defined results
   null or empty text, or fewer than k words: nothing is removed;
@@ -42,7 +46,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prioritext.llm.tables import parallelism, table
-from prioritext.llm.words import cover, mix, slices, sliding_min, split_words, window_hashes
+from prioritext.llm.words import SECOND_ROLL, cover, mix, slices, sliding_min, split_words, window_hashes
 
 WINDOW = 35
 GRAM = 8
@@ -56,6 +60,7 @@ FREQUENT = 0.002
 # Texts of this size are worked on together: the reach of step 2.
 REACH_BYTES = 4_000_000
 HASH_BYTES = 6
+_OTHER = np.uint64(0xA0761D6478BD642F)
 
 _KEYS = "doc_id long, crc long, "
 
@@ -67,17 +72,18 @@ def _coordinates(part: pa.RecordBatch) -> tuple[list, np.ndarray]:
 
 
 def _keyed_windows(texts: pa.Array, k: int, gram: int):
-    """Of all windows: text, place in it, hash, minimiser."""
+    """Of all windows: text, place in it, hash, second hash, minimiser."""
     words = split_words(texts)
     hashes = words.hashes()
     if len(hashes) < k:
         none = np.zeros(0, dtype=np.int64)
-        return none, none, none.astype(np.uint64), none.astype(np.uint64)
+        return none, none, *[none.astype(np.uint64)] * 3
     valid = words.windows(k)[: len(hashes) - k + 1]
     low = sliding_min(window_hashes(hashes, gram), k - gram + 1)[valid]
     text = words.text_of_word()[: len(valid)][valid]
     place = np.flatnonzero(valid) - words.first[text]
-    return text, place, window_hashes(hashes, k)[valid], low
+    second = window_hashes(mix(hashes ^ _OTHER), k, SECOND_ROLL)
+    return text, place, window_hashes(hashes, k)[valid], second[valid], low
 
 
 def frequent_minimisers(docs: DataFrame, k: int, gram: int) -> np.ndarray:
@@ -93,7 +99,7 @@ def frequent_minimisers(docs: DataFrame, k: int, gram: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                text, _, _, low = _keyed_windows(part.column("text"), k, gram)
+                text, _, _, _, low = _keyed_windows(part.column("text"), k, gram)
                 if len(low):
                     # one per text
                     order = np.lexsort((low, text))
@@ -109,20 +115,23 @@ def frequent_minimisers(docs: DataFrame, k: int, gram: int) -> np.ndarray:
 
 
 def _tail_bytes(hashes: np.ndarray) -> np.ndarray:
-    """The second hash of each window, ``HASH_BYTES`` bytes each."""
-    second = mix(hashes ^ np.uint64(0xA0761D6478BD642F))
-    return second.view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES]
+    """``HASH_BYTES`` bytes of each second hash."""
+    return hashes.view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES]
 
 
 def _paths(part: pa.RecordBatch, k: int, gram: int, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Rows ``(key, doc_id, crc, start, n, hashes)``; without hashes: a span already known to repeat."""
-    text, place, hashes, low = _keyed_windows(part.column("text"), k, gram)
+    text, place, hashes, second, low = _keyed_windows(part.column("text"), k, gram)
     if not len(hashes):
         return
     ids, crc = _coordinates(part)
     order = np.argsort(hashes, kind="stable")
-    sorted_ = hashes[order]
+    sorted_, other = hashes[order], second[order]
     again = np.concatenate(([False], sorted_[1:] == sorted_[:-1]))
+    if (again[1:] & (other[1:] != other[:-1])).any():  # unequal windows under one hash: order by both
+        order = np.lexsort((second, hashes))
+        sorted_, other = hashes[order], second[order]
+        again = np.concatenate(([False], (sorted_[1:] == sorted_[:-1]) & (other[1:] == other[:-1])))
     repeated = np.zeros(len(hashes), dtype=bool)
     repeated[order[again]] = True  # not the first of its kind
     later = repeated.copy()
@@ -139,7 +148,7 @@ def _paths(part: pa.RecordBatch, k: int, gram: int, frequent: np.ndarray) -> Ite
     alone = np.isin(low, frequent) if len(frequent) else np.zeros(len(low), dtype=bool)
     changed = np.concatenate(([True], low[1:] != low[:-1])) | alone
     first, last = runs(~later, ~follows | changed)
-    tail = _tail_bytes(hashes).tobytes()
+    tail = _tail_bytes(second).tobytes()
     key = np.where(alone, hashes, low)[first]
     blobs = [None] * known + [tail[a * HASH_BYTES : b * HASH_BYTES] for a, b in zip(first, last, strict=True)]
     begin, end = np.concatenate((begin, first)), np.concatenate((end, last))
