@@ -147,6 +147,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROW
     """``(doc_id, fold, features, insult, degrading, toxic)`` of at most ``rows`` labelled documents."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     known = known.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    # the bound is on labelled documents: labels of others don't count
+    known = known.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_semi")
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)  # so it is safe to broadcast
     sample = (
         docs.join(F.broadcast(chosen), "doc_id")
