@@ -440,3 +440,68 @@ def test_pipeline_stages(spark, sf001, odd):
         docs = after
     packed = cp.STAGES[-1][1](spark, docs, sf001)
     assert packed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+
+
+def test_word_ids_equal_the_library_on_odd_words():
+    rng = np.random.default_rng(4)
+    bits = [
+        "<|endoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|STARTOFTEXT|>", "İ", "İ.", "ı", ".", ",", "...", " ", "\n", "́",
+        "̇", "e", "É", "ß", "ẞ", "Σ", "ς", "ǅ", "ﬁ", "K", "漢", "가", "ᄀ", "ᅡ", "1", "²", "'s", "don't", "Word", "WÖRT", "-",
+        "🎉", "‍", "\x0b", "\x1c", "\x85", "\x00", "ŉ", "Ŀ", "ſ", "ĳ", "Ÿ", "×", "÷",
+    ]
+    texts = ["".join(rng.choice(bits, rng.integers(1, 12))) for _ in range(20_000)]
+    texts += ["a" * 600, "a" * 600 + ".", "é" * 40, " ".join(rng.choice(bits, 5_000))]
+    words = packing.WordIds.of_worker(packing.word_bpe_path())
+    got = words.encode(pa.array([None, *texts, ""]))
+    want = [e.ids for e in words.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [[], *want, []]
+
+
+def test_every_set_of_an_id_is_linked(spark):
+    rng = np.random.default_rng(8)
+    sets = [" ".join(rng.choice(list("abcdefghijklmnop"), 30)) for _ in range(5)]
+    rows = [(7, s) for s in sets] + [(1, sets[0]), (3, sets[1]), (5, sets[2]), (9, sets[3]), (2, "alone here")]
+    for parts in (1, 4):
+        docs = spark.createDataFrame(rows, SCHEMA).repartition(parts)
+        got = {r.doc_id: (r.component_id, r.kept) for r in near_duplicates.near_duplicate_groups(docs, 85).collect()}
+        assert got == {1: (1, True), 2: (2, True), 3: (1, False), 5: (1, False), 7: (1, False), 9: (1, False)}
+
+
+def test_colliding_window_hashes_remove_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"v{i}" for i in rng.integers(0, 10**6, 200)) for _ in range(40)]
+    passage = " ".join(f"p{i}" for i in range(50))
+    texts += [f"{texts[0][:60]} {passage} end{i}" for i in range(2)]
+    plain = substrings.window_hashes
+
+    def cut(words, k, *roll):
+        full = plain(words, k, *roll)
+        return full if roll else full & np.uint64(0xFFF)  # the first hash and the minimisers collide everywhere
+
+    monkeypatch.setattr(substrings, "window_hashes", cut)
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(42), pa.int64()), "text": pa.array(texts, pa.large_string())})
+    for reach in (1, 42):  # windows of one slice, and of slices that meet under their keys
+        parts = [b for low in range(0, 42, reach) for b in substrings._paths(batch.slice(low, reach), 35, 8, np.zeros(0, np.uint64))]
+        rows = pa.Table.from_batches(parts).sort_by("key").combine_chunks()
+        found = substrings._repeated_runs(rows)
+        assert set(found.column("doc_id").to_pylist()) == {40, 41}
+
+
+def test_labels_of_other_documents_do_not_crowd_out(spark):
+    docs = spark.createDataFrame([(i, f"text number {i}") for i in range(50)], SCHEMA)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)] + [(i, 1) for i in range(1_000, 4_000)], "doc_id LONG, toxic INT")
+    assert toxicity.labelled_sample(docs, labels, rows=60).count() == 50
+    assert toxicity.labelled_sample(docs, labels, rows=20).count() == 20
+
+
+def test_hot_rows_spread_over_buckets_and_shards_are_written(spark, tmp_path):
+    equal = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("same text").alias("text"))
+    docs = equal.union(spark.range(20_000).select(F.col("id"), F.concat(F.lit("text "), "id"))).withColumn("bucket", F.lit("x"))
+    out = sharding.external_shuffle(docs, bucket_bytes=60_000)
+    sharding.write_shards(out, str(tmp_path / "shards"))
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    places = back.groupBy("_shard").agg(F.count("_slot").alias("n"), F.countDistinct("_slot").alias("d"), F.max("_slot").alias("m")).collect()
+    assert [(r.n, r.d, r.m) for r in places] == [(5_000, 5_000, 4_999)] * 8
+    assert back.filter("doc_id is null").count() == 20_000 and back.select("doc_id", "text").distinct().count() == 20_001
+    per_task = out.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.count("*")).first()
+    assert per_task[0] < 8_000
