@@ -32,24 +32,20 @@ def confusion(
     pred_col: str = "y_pred",
     labels: Sequence[str] = LABELS_SORTED,
 ) -> DataFrame:
-    """Long confusion table ``(y_true, y_pred, n)`` over the full label grid.
+    """Long confusion table ``(y_true, y_pred, n)``: the full label grid, and what lies outside it.
 
-    Cells of the grid with no pair are present with ``n = 0``; pairs whose
-    labels lie outside ``labels`` are not counted (as with an explicit
-    label list).
+    Cells of the grid with no pair are present with ``n = 0``.  A label outside
+    ``labels``, or none, is null here; such rows exist only where pairs do, so
+    every pair is counted once.
     """
     spark = df.sparkSession
-    counts = (
-        df.filter(F.col(true_col).isin(list(labels)) & F.col(pred_col).isin(list(labels)))
-        .groupBy(F.col(true_col).alias("y_true"), F.col(pred_col).alias("y_pred"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    grid = spark.createDataFrame([(t, p) for t in labels for p in labels], "y_true STRING, y_pred STRING")
-    return (
-        F.broadcast(grid)
-        .join(counts, ["y_true", "y_pred"], "left")
-        .select("y_true", "y_pred", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"))
-    )
+
+    def known(c: str) -> F.Column:
+        return F.when(F.col(c).isin(list(labels)), F.col(c))
+
+    cells = df.groupBy(known(true_col).alias("y_true"), known(pred_col).alias("y_pred")).agg(F.count(F.lit(1)).alias("n"))
+    grid = spark.createDataFrame([(t, p, 0) for t in labels for p in labels], "y_true STRING, y_pred STRING, n BIGINT")
+    return cells.unionByName(grid).groupBy("y_true", "y_pred").agg(F.sum("n").cast("bigint").alias("n"))
 
 
 def confusion_wide(conf: DataFrame, labels: Sequence[str] = LABELS_SORTED) -> DataFrame:
@@ -58,20 +54,26 @@ def confusion_wide(conf: DataFrame, labels: Sequence[str] = LABELS_SORTED) -> Da
 
 
 def per_class_metrics(conf: DataFrame) -> DataFrame:
-    """``(label, precision, recall, f1, support, predicted, tp)``; zero denominators give 0."""
+    """``(label, precision, recall, f1, support, predicted, tp, total)``; zero denominators give 0.
+
+    Support counts every pair with that true label, whatever was predicted;
+    ``total`` is the number of all pairs, the same in every row.
+    """
     t, p, n = F.col("y_true"), F.col("y_pred"), F.col("n")
+    none = F.lit(0).cast("bigint")
+    conf = conf.withColumn("total", F.sum("n").over(Window.partitionBy()))  # over the cells
     sides = conf.select(
+        "total",
         F.explode(
             F.array(
-                F.struct(t.alias("label"), F.when(t == p, n).otherwise(0).alias("tp"), n.alias("support"), F.lit(0).cast("bigint").alias("predicted")),
-                F.struct(p.alias("label"), F.lit(0).cast("bigint").alias("tp"), F.lit(0).cast("bigint").alias("support"), n.alias("predicted")),
+                F.struct(t.alias("label"), F.when(t == p, n).otherwise(0).alias("tp"), n.alias("support"), none.alias("predicted")),
+                F.struct(p.alias("label"), none.alias("tp"), none.alias("support"), n.alias("predicted")),
             )
-        ).alias("s")
-    ).select("s.*")
-    per = sides.groupBy("label").agg(
-        F.sum("tp").cast("bigint").alias("tp"),
-        F.sum("support").cast("bigint").alias("support"),
-        F.sum("predicted").cast("bigint").alias("predicted"),
+        ).alias("s"),
+    ).select("total", "s.*")
+    per = sides.filter(F.col("label").isNotNull()).groupBy("label").agg(
+        *[F.sum(c).cast("bigint").alias(c) for c in ("tp", "support", "predicted")],
+        F.max("total").cast("bigint").alias("total"),
     )
     return per.select(
         "label",
@@ -81,18 +83,19 @@ def per_class_metrics(conf: DataFrame) -> DataFrame:
         "support",
         "predicted",
         "tp",
+        "total",
     )
 
 
 def eval_summary(per_class: DataFrame, urgent_label: str = URGENT_LABEL) -> DataFrame:
-    """1 row: macro-F1 (unweighted over every label), accuracy, recall of the urgent class, n."""
+    """1 row: macro-F1 (unweighted over every label), accuracy over all pairs, recall of the urgent class, n."""
     return per_class.agg(
         F.avg("f1").alias("macro_f1"),
-        _safe_div(F.sum("tp").cast("double"), F.sum("support")).alias("accuracy"),
+        _safe_div(F.sum("tp").cast("double"), F.max("total")).alias("accuracy"),
         F.coalesce(F.max(F.when(F.col("label") == urgent_label, F.col("recall"))), F.lit(0.0)).alias(
             "recall_urgente"
         ),
-        F.sum("support").cast("bigint").alias("n_samples"),
+        F.max("total").cast("bigint").alias("n_samples"),
     )
 
 

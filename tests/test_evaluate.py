@@ -99,3 +99,18 @@ def test_equivalence_fails_on_unpaired_rows(spark):
     a = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "doc_id INT, label STRING")
     r = ev.equivalence(a, a.filter("doc_id = 1")).first()
     assert (r["n"], r["unpaired"], r["agreement_pct"], r["passed"]) == (1, 2, 100.0, False)
+
+
+def test_pairs_outside_the_labels_count(spark):
+    y_true = ["urgente"] * 10 + ["normal"] * 5 + ["atencao"] * 3 + [None, "x"]
+    y_pred = [None] * 4 + ["urgente"] * 6 + ["normal"] * 5 + ["atencao"] * 2 + ["x"] + ["normal", None]
+    conf, per, s = _eval(spark, y_true, y_pred)
+    assert s["n_samples"] == 20 and s["accuracy"] == 13 / 20 and s["recall_urgente"] == 0.6
+    assert {k: r["support"] for k, r in per.items()} == {"urgente": 10, "normal": 5, "atencao": 3}
+    assert per["normal"]["precision"] == 5 / 6 and per["urgente"]["precision"] == 1.0
+    cells = {(r["y_true"], r["y_pred"]): r["n"] for r in conf.collect()}
+    assert sum(cells.values()) == 20 and cells["urgente", None] == 4 and cells[None, None] == 1 and len(cells) == 9 + 4
+    gate = {r["metric"]: r["passed"] for r in ev.quality_gate(ev.eval_summary(ev.per_class_metrics(conf))).collect()}
+    assert gate["recall_urgente"] is False
+    none = ev.eval_summary(ev.per_class_metrics(ev.confusion(_pairs(spark, [], [])))).first()
+    assert none["n_samples"] == 0 and none["accuracy"] == 0.0
