@@ -21,6 +21,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from prioritext.operators import features as fe  # noqa: E402
 from prioritext.operators import model as M  # noqa: E402
 from prioritext.operators import requestlog as rl  # noqa: E402
+from prioritext.operators.common import spread  # noqa: E402
 from prioritext.plans import catalog  # noqa: E402
 from prioritext.plans.model_queries import split_labelled  # noqa: E402
 from prioritext.session import get_session  # noqa: E402
@@ -66,7 +67,7 @@ def main() -> None:
         return M.score_batch(tm, docs, "doc_id", "text")
 
     def q_score_tables():
-        return M.score_text(docs, vocab, coef, intercepts, "doc_id", "text", "tables")
+        return M.score_text(spread(docs, key="doc_id"), vocab, coef, intercepts, "doc_id", "text", "tables")
 
     def q_hist():
         return rl.cumulative_histogram(tb.request_log(spark, sf), ["endpoint"], "duration_s")

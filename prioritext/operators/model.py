@@ -5,9 +5,9 @@ Path 1 (``score_batch``) is a fitted ``PipelineModel``: SQL n-grams ->
 ``CountVectorizerModel`` (fixed vocabulary) -> ``ElementwiseProduct`` (IDF)
 -> ``Normalizer`` (L2) -> ``LogisticRegressionModel``.  It is map-only.
 
-Path 2 (``score_tables``) is plain DataFrame work: per-document TF-IDF
-weights joined to the broadcast coefficient table, one aggregate per
-document, softmax by column expressions.  Both return the same contract
+Path 2 works on portable tables: ``score_text`` is map-only, a sparse dot
+product per row with the broadcast term table; ``score_tables`` takes weights
+made elsewhere and joins them.  Softmax is column expressions.  Both return the same contract
 ``(id, label, scores, backend)`` and are checked for agreement.
 """
 
@@ -15,9 +15,12 @@ from __future__ import annotations
 
 import datetime as _dt
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, SQLTransformer
@@ -33,9 +36,13 @@ from prioritext.constants import (
     MAX_ITER,
     MIN_DF,
 )
-from prioritext.functions.text import BIGRAM_PATTERN, TOKEN_PATTERN, translation
+from prioritext.functions.text import BIGRAM_PATTERN, TOKEN_PATTERN, normalize_text, tokens, translation
 from prioritext.operators.common import EngineError, spread
-from prioritext.operators.features import doc_term_counts, exploded_grams, fit_vocabulary, partition_docs, tfidf_for
+from prioritext.operators.features import doc_term_counts, fit_vocabulary, tfidf_for
+from prioritext.session import ship_package
+
+# Rows whose words are looked up together.
+SCORED_ROWS = 512
 
 # sklearn's documented lbfgs stopping tolerance (public default).
 LBFGS_TOL = 1e-4
@@ -254,6 +261,55 @@ def weights_for(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_
     return tfidf_for(docs, vocab, id_col, text_col, num_partitions)
 
 
+class TermTable:
+    """A vocabulary of words and word pairs with ``idf`` and class weights, for look-ups of whole Arrow batches.
+
+    Bounded by ``max_features``.  Every word of the vocabulary, alone or in a
+    pair, has a number; a pair of numbers is one integer, found by bisection.
+    """
+
+    def __init__(self, rows: Sequence[tuple[str, float, Sequence[float]]], n_classes: int):
+        parts = sorted({w for term, _, _ in rows for w in term.split(" ")})
+        number = {w: i for i, w in enumerate(parts)}
+        self.words = pa.array(parts, pa.string())
+        self.width = max(1, len(parts))
+        self.idf = np.array([r[1] for r in rows], dtype=float)
+        self.weights = np.array([list(r[2]) for r in rows], dtype=float).reshape(len(rows), n_classes)
+        self.single = np.full(self.width, -1, dtype=np.int64)
+        pairs = []
+        for i, (term, _, _) in enumerate(rows):
+            words = [number[w] for w in term.split(" ")]
+            if len(words) == 1:
+                self.single[words[0]] = i
+            else:
+                pairs.append((words[0] * self.width + words[1], i))
+        pairs.sort()
+        self.codes = np.array([c for c, _ in pairs], dtype=np.int64)
+        self.places = np.array([i for _, i in pairs], dtype=np.int64)
+
+    def sums(self, tokens: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        """Per row: the sum of squared ``c * idf``, and the sums of ``c * idf * weight`` by class."""
+        n = len(tokens)
+        row = np.repeat(np.arange(n), pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False))
+        word = pc.fill_null(pc.index_in(tokens.flatten(), value_set=self.words), -1).to_numpy(zero_copy_only=False)
+        word = word.astype(np.int64)
+        known = word >= 0
+        place = np.where(known, self.single[np.maximum(word, 0)], -1)
+        found_row, found = row[place >= 0], place[place >= 0]
+        if len(self.codes):
+            both = known[:-1] & known[1:] & (row[:-1] == row[1:])
+            code = word[:-1][both] * self.width + word[1:][both]
+            at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+            hit = self.codes[at] == code
+            found_row = np.concatenate((found_row, row[:-1][both][hit]))
+            found = np.concatenate((found, self.places[at[hit]]))
+        key, count = np.unique(found_row * max(1, len(self.idf)) + found, return_counts=True)
+        of, term = np.divmod(key, max(1, len(self.idf)))
+        u = count * self.idf[term]
+        by_class = [np.bincount(of, weights=u * self.weights[term, c], minlength=n) for c in range(self.weights.shape[1])]
+        return np.bincount(of, weights=u * u, minlength=n).astype(float), np.stack(by_class, axis=1).astype(float)
+
+
 def score_text(
     docs: DataFrame,
     vocab: DataFrame,
@@ -262,45 +318,42 @@ def score_text(
     id_col: str = "doc_id",
     text_col: str = "text",
     backend: str = "tables",
-    num_partitions: int | None = None,
     scales: Sequence[float] | None = None,
 ) -> DataFrame:
-    """Path 2 fused from text: in-vocabulary counts -> two per-document sums.
-
-    With ``u_t = c_t * idf_t`` the L2-normalised logit is
-    ``z_c = sum_t u_t * w_tc / sqrt(sum_t u_t^2) + b_c``, so one aggregate per
-    document gives every logit and the norm together; no weights table, no
-    window.  The vocabulary and coefficients travel as one broadcast table
-    (bounded by ``max_features``), and every aggregate reuses the id
-    partitioning of the documents.  ``scales``: those of an int8 ``coef``,
-    applied once to each class sum.
+    """Path 2 from text, map-only: each row's sparse dot product with the coefficient tables.
+
+    Words are cut natively; a task looks a whole batch of them up in the term
+    table (vocabulary, idf and coefficients, at most ``max_features`` rows) and
+    adds up ``u_t = c_t * idf_t`` per row: the L2-normalised logit is
+    ``z_c = sum_t u_t * w_tc / sqrt(sum_t u_t^2) + b_c``.  No row leaves its
+    partition, so ids may be null or repeat; a row without a known term has the
+    intercepts.  ``scales``: those of an int8 ``coef``, applied once to each sum.
     """
     classes = [c for c, _ in intercept_rows]
-    k = len(classes)
-    scales = scales or [1.0] * k
-    parted = partition_docs(docs, id_col, text_col, num_partitions)
-    # occurrences -> vocabulary index (broadcast lookup before aggregating),
-    # then counts keyed by the integer (id, idx) only; idf and coefficients
-    # join the aggregated rows as one broadcast table, bounded by the vocabulary
-    grams = exploded_grams(parted, id_col, text_col, partitioned=True)
-    counts = (
-        grams.join(F.broadcast(vocab.select("term", "idx")), "term", "inner")
-        .groupBy(id_col, "idx")
-        .agg(F.count(F.lit(1)).alias("c"))
-    )
-    per_idx = vocab.select("idx", "idf").join(coef.select("idx", "weights"), "idx", "inner")
-    counts = counts.join(F.broadcast(per_idx), "idx", "inner")
-    u = F.col("c") * F.col("idf")
-    sums = counts.groupBy(id_col).agg(
-        F.sum(u * u).alias("_ss"), *[F.sum(u * F.col("weights")[i]).alias(f"_s{i}") for i in range(k)]
+    rows = vocab.select("term", "idx", "idf").join(coef.select("idx", "weights"), "idx").orderBy("idx")
+    table = TermTable([(r["term"], float(r["idf"]), r["weights"]) for r in rows.collect()], len(classes))  # <= max_features rows
+    scale = np.array(scales or [1.0] * len(classes))
+    bias = np.array([float(b) for _, b in intercept_rows])
+    cut = docs.select(F.col(id_col).alias("_id"), tokens(normalize_text(F.col(text_col))).alias("_tokens"))
+    ship_package(docs.sparkSession)
+    held = docs.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # a slice's words are bounded by its longest text
+            for low in range(0, batch.num_rows, SCORED_ROWS):
+                some = batch.slice(low, SCORED_ROWS)
+                square, sums = held.value.sums(some.column("_tokens"))
+                z = np.divide(sums * scale, np.sqrt(square)[:, None], out=np.zeros_like(sums), where=square[:, None] > 0) + bias
+                lists = pa.ListArray.from_arrays(np.arange(0, z.size + 1, max(1, z.shape[1]), dtype=np.int32), pa.array(z.ravel()))
+                yield pa.RecordBatch.from_arrays([some.column("_id"), lists], names=["_id", "_z"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    scored = cut.mapInArrow(run, f"_id {kind}, _z array<double>")
+    label, scores = softmax_label([F.col("_z")[i] for i in range(len(classes))], classes)
+    return scored.select(
+        F.col("_id").alias(id_col), label.alias("label"), scores.alias("scores"), F.lit(backend).alias("backend")
     )
-    base = parted.select(id_col).join(sums, id_col, "left")
-    logits = [
-        F.coalesce(F.col(f"_s{i}") * F.lit(scales[i]) / F.sqrt(F.col("_ss")), F.lit(0.0)) + F.lit(float(b))
-        for i, (_, b) in enumerate(intercept_rows)
-    ]
-    label, scores = softmax_label(logits, classes)
-    return base.select(id_col, label.alias("label"), scores.alias("scores"), F.lit(backend).alias("backend"))
 
 
 def quantize_tables(coef: DataFrame) -> tuple[DataFrame, list[float]]:

@@ -19,6 +19,7 @@ from prioritext.operators import evaluate as ev
 from prioritext.operators import features as fe
 from prioritext.operators import model as M
 from prioritext.operators import sampling as sp
+from prioritext.operators.common import spread
 from prioritext.operators.stats import merge_one_row
 from prioritext.plans.catalog import labelled, r6, register
 from prioritext.session import scratch_path
@@ -107,7 +108,7 @@ def _tables_scores(
 def q_score_tables(spark: SparkSession, sf: str) -> DataFrame:
     """Path 2 over the whole documents table (one row per text)."""
     tm, _, _, _ = trained(spark, sf)
-    docs = tb.read_table(spark, sf, "documents").select("doc_id", "text")
+    docs = spread(tb.read_table(spark, sf, "documents").select("doc_id", "text"), key="doc_id")
     tabs = M.export_tables(tm)
     return M.score_text(docs, tabs["vocab"], tabs["coef"], M.intercept_list(tabs["intercept"]), "doc_id", "text", "tables")
 

@@ -118,3 +118,45 @@ def test_top_terms_equals_take_ordered(spark, sf001):
     w = sorted((r["term"], r["tf"], r["df"]) for r in want.collect())
     assert g == w
     assert sorted(r["idx"] for r in got.collect()) == list(range(k))
+
+
+def test_map_only_scoring_equals_the_other_paths(spark, fitted, sf001):
+    import unicodedata
+
+    tm, lab = fitted
+    tabs = M.export_tables(tm)
+    inter = M.intercept_list(tabs["intercept"])
+    odd = [("z1", "qqqqzzzz xxxxyyyy"), ("z2", ""), ("z4", "the the\nthe a of the"), ("z5", unicodedata.normalize("NFD", "été über"))]
+    docs = lab.select("id", "text").union(spark.createDataFrame(odd, "id STRING, text STRING"))
+    got = M.score_text(docs, tabs["vocab"], tabs["coef"], inter, "id", "text")
+    raw = M.score_text(spark.read.parquet(f"{sf001}/documents.parquet"), tabs["vocab"], tabs["coef"], inter)
+    assert "Exchange" not in raw._jdf.queryExecution().executedPlan().toString()
+    found = {r["id"]: r for r in got.collect()}
+    for other in (
+        M.score_batch(tm, docs, "id", "text"),
+        M.score_tables(docs, M.weights_for(docs, tabs["vocab"], "id", "text"), tabs["coef"], inter, "id"),
+    ):
+        rows = other.collect()
+        assert len(rows) == len(found)
+        for r in rows:
+            assert r["label"] == found[r["id"]]["label"]
+            for c in tm.classes:
+                assert r["scores"][c] == pytest.approx(found[r["id"]]["scores"][c], abs=1e-9)
+
+
+def test_map_only_scoring_of_null_and_repeated_ids(spark):
+    vocab = spark.createDataFrame([("aa", 0, 1.0), ("aa bb", 1, 2.0), ("bb", 2, 1.5)], "term STRING, idx INT, idf DOUBLE")
+    coef = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 3.0]), (2, [0.5, 0.0])], "idx INT, weights ARRAY<DOUBLE>")
+    rows = [(None, "aa aa"), (None, "aa bb"), (None, None), (1, "bb aa"), (1, "cc"), (1, "bb aa")]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING").coalesce(1)
+    got = M.score_text(docs, vocab, coef, [("x", 0.1), ("y", 0.0)]).collect()
+    z = [(1.1, 0.0), ((1 + 0.75) / 7.25**0.5 + 0.1, 6 / 7.25**0.5), (0.1, 0.0), (1.75 / 3.25**0.5 + 0.1, 0.0), (0.1, 0.0)]
+    import math
+
+    want = [(i, x, y) for (i, _), (x, y) in zip(rows, [*z, z[3]], strict=True)]
+    for r, (i, x, y) in zip(got, want, strict=True):
+        assert r["doc_id"] == i and r["label"] == ("x" if x >= y else "y")
+        assert r["scores"]["x"] == pytest.approx(math.exp(x) / (math.exp(x) + math.exp(y)))
+    assert M.score_text(docs.limit(0), vocab, coef, [("x", 0.1), ("y", 0.0)]).count() == 0
+    bare = M.score_text(docs, vocab.limit(0), coef, [("x", 0.1), ("y", 0.2)])
+    assert {r["label"] for r in bare.collect()} == {"y"}
