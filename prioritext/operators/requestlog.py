@@ -11,6 +11,7 @@ raw rows are involved.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -23,6 +24,7 @@ from prioritext.constants import (
     UNMATCHED_ENDPOINT,
 )
 from prioritext.operators.common import checked_broadcast
+from prioritext.session import scratch_path
 
 EPOCH = "1970-01-01 00:00:00"
 
@@ -293,34 +295,79 @@ def step_end(number: F.Column, step: int) -> F.Column:
     return fmt_ts(F.lit(EPOCH).cast("timestamp_ntz") + at)
 
 
-def trailing_sums(steps: DataFrame, keys: Sequence[str], values: Sequence[str], size: int, step: int) -> DataFrame:
+# Steps that one window task takes at most, besides those carried over.
+CHUNK_STEPS = 1_440
+
+
+def trailing_sums(
+    steps: DataFrame, keys: Sequence[str], values: Sequence[str], size: int, step: int, max_gap: int | None = None
+) -> DataFrame:
     """Sums of ``values`` over the trailing ``size`` seconds at the end of every step.
 
     ``steps`` holds ``(keys, step, values)``, one row per key and step with
     events.  Each key's steps run from its first to its last one; steps
     without events come in between as zeros, so a window that holds no event
-    still has its row.  Both windows run over at most one row per key and step.
+    still has its row.  With ``max_gap`` a stretch without events ends after so
+    many steps, until the next event.
+
+    Time is cut into chunks of steps: a chunk's rows and the last ones before
+    it, which its first windows reach back to, meet under ``(keys, chunk)``, and
+    empty steps are made there.  So a task holds a chunk, however long the log
+    or a stretch without events is, and whether there are keys or not.
     """
     if step <= 0 or size <= 0 or size % step:
         raise ValueError(f"window of {size} s is no multiple of its step of {step} s")
-    keys = list(keys)
-    order = Window.partitionBy(*keys).orderBy("step")
-    until = F.coalesce(F.lead("step").over(order) - 1, F.col("step"))
-    filled = steps.withColumn("_until", until).withColumn("_at", F.explode(F.sequence("step", "_until")))
-    filled = filled.select(
+    keys, spark = list(keys), steps.sparkSession
+    back = max(size // step - 1, max_gap or 0)
+    length = max(CHUNK_STEPS, back)
+    path = scratch_path(spark, f"steps-{uuid.uuid4().hex}")
+    steps.filter(F.col("step").isNotNull()).write.parquet(path)  # read for the chunks and for their extent
+    steps = spark.read.schema(steps.schema).parquet(path)
+    chunk = F.floor(F.col("step") / length)
+    reach = F.when(F.col("step") >= (chunk + 1) * length - back, F.array(chunk, chunk + 1)).otherwise(F.array(chunk))
+    events = steps.select(*keys, "step", *values, F.explode(reach).alias("_chunk"))
+    extent = [F.min("step").alias("_first"), F.max("step").alias("_last")]
+    if keys:
+        extents = steps.groupBy(*keys).agg(*extent)
+        same = [f"_key_{i}" for i in range(len(keys))]
+        whole = extents.select(
+            *keys, "_first", "_last", F.explode(F.sequence(F.floor(F.col("_first") / length), F.floor(F.col("_last") / length))).alias("_chunk")
+        )
+    else:
+        first, last = steps.agg(*extent).first()  # two numbers
+        if first is None:
+            first, last = 0, -1
+        same, whole = [], spark.range(first // length, last // length + 1).select(
+            F.lit(first).alias("_first"), F.lit(last).alias("_last"), F.col("id").alias("_chunk")
+        )
+    if max_gap is not None:  # chunks that an event is in, or reaches
+        held = events.select(*[F.col(k).alias(c) for k, c in zip(keys, same, strict=True)], F.col("_chunk").alias("_held")).distinct()
+        on = [whole["_chunk"] == held["_held"], *[whole[k].eqNullSafe(held[c]) for k, c in zip(keys, same, strict=True)]]
+        whole = whole.join(held, on, "left_semi")
+    low, high = F.greatest(F.col("_chunk") * length, "_first"), F.least((F.col("_chunk") + 1) * length - 1, "_last")
+    empty = whole.filter(low <= high).select(
+        *keys, F.explode(F.sequence(low, high)).alias("step"), *[F.lit(0).cast("bigint").alias(v) for v in values], "_chunk", F.lit(True).alias("_own")
+    )
+    both = events.withColumn("_own", F.lit(False)).unionByName(empty)
+    order = Window.partitionBy(*keys, "_chunk").orderBy("step")
+    trailing = order.rangeBetween(-(size // step - 1), 0)
+    sums = both.select(
         *keys,
-        F.col("_at").alias("step"),
-        *[F.when(F.col("_at") == F.col("step"), F.col(v)).otherwise(F.lit(0)).alias(v) for v in values],
+        "step",
+        "_own",
+        *[F.sum(v).over(trailing).cast("bigint").alias(v) for v in values],
+        *([] if max_gap is None else [F.count_if(~F.col("_own")).over(order.rangeBetween(-max_gap, 0)).alias("_near")]),
     )
-    trailing = order.rowsBetween(-(size // step - 1), 0)
-    return filled.select(*keys, "step", *[F.sum(v).over(trailing).cast("bigint").alias(v) for v in values])
+    return sums.filter(F.col("_own") if max_gap is None else F.col("_own") & (F.col("_near") > 0)).select(*keys, "step", *values)
 
 
-def trailing_rate(log: DataFrame, keys: Sequence[str], ts_col: str = "ts", size: int = 300, step: int = 60) -> DataFrame:
+def trailing_rate(
+    log: DataFrame, keys: Sequence[str], ts_col: str = "ts", size: int = 300, step: int = 60, max_gap: int | None = None
+) -> DataFrame:
     """Events per second over the trailing ``size`` seconds, per key at every step (0 without events)."""
     keys = list(keys)
     steps = log.groupBy(*keys, step_of(ts_col, step).alias("step")).agg(F.count(F.lit(1)).alias("n"))
-    return trailing_sums(steps, keys, ["n"], size, step).select(
+    return trailing_sums(steps, keys, ["n"], size, step, max_gap).select(
         *keys, step_end(F.col("step"), step).alias("window_end"), "n", (F.col("n") / size).alias("rate_per_s")
     )
 

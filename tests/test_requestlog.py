@@ -184,3 +184,40 @@ def test_counter_of_a_null_series_within_one_hour(spark):
         assert [v for _, v in mine] == [float(i + 1) for i in range(n)]
     increase = {r.endpoint: r.increase for r in rl.counter_increase(rl.counter_samples(log, ["endpoint"]), ["endpoint"]).collect()}
     assert increase == {None: 200.0, "/a": 100.0}
+
+
+def _steps(spark, rows):
+    return spark.createDataFrame(rows, "k STRING, step LONG, n LONG")
+
+
+def test_trailing_sums_over_chunks_and_a_stray_step(spark):
+    rng = random.Random(3)
+    numbers = sorted(rng.sample(range(100_000, 108_000), 900))
+    rows = [("a", i, rng.randrange(1, 5)) for i in numbers] + [("a", 400_000, 1), (None, 7, 2), (None, 3, 1)]
+    for w, step in ((5, 60), (2_000, 60)):
+        got = rl.trailing_sums(_steps(spark, rows), ["k"], ["n"], w * step, step)
+        found = {(r.k, r.step): r.n for r in got.collect()}
+        for key in ("a", None):
+            mine = {i: n for k, i, n in rows if k == key}
+            first, last, total = min(mine), max(mine), 0
+            for i in range(first, last + 1):
+                total += mine.get(i, 0) - mine.get(i - w, 0)
+                assert found.pop((key, i)) == total
+        assert not found
+    bare = rl.trailing_sums(_steps(spark, rows[:-2]).drop("k"), [], ["n"], 300, 60)
+    assert "SinglePartition" not in bare._jdf.queryExecution().executedPlan().toString()
+    assert bare.count() == 400_000 - numbers[0] + 1
+    assert rl.trailing_sums(_steps(spark, []).drop("k"), [], ["n"], 300, 60).count() == 0
+
+
+def test_trailing_sums_end_in_a_long_gap(spark):
+    rng = random.Random(4)
+    rows = [("a", i, 1) for i in rng.sample(range(1_000, 4_000), 60)] + [("a", -25_000_000, 1), (None, 1_439, 1), (None, 1_450, 2)]
+    for gap in (0, 3, 300):
+        got = rl.trailing_sums(_steps(spark, rows), ["k"], ["n"], 300, 60, gap).collect()
+        want = {}
+        for key in ("a", None):
+            mine = {i: n for k, i, n in rows if k == key}
+            for i in {j for e in mine for j in range(e, min(e + gap, max(mine)) + 1)}:
+                want[key, i] = sum(n for j, n in mine.items() if i - 5 < j <= i)
+        assert {(r.k, r.step): r.n for r in got} == want and len(got) == len(want)
