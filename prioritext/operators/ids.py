@@ -17,6 +17,7 @@ import uuid
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from prioritext.operators.common import checked_broadcast
 from prioritext.session import scratch_path
 
 _PID_SHIFT = 33  # monotonically_increasing_id keeps the partition id above bit 33
@@ -63,6 +64,41 @@ def dense_index(
     )
 
 
+def file_order_index(scan: DataFrame, out_col: str = "row_idx") -> DataFrame:
+    """Add ``out_col`` = 0-based position of the row in the Parquet files that ``scan`` reads, file after file.
+
+    Map-only: a row's place in its file comes with the scan, and a file's
+    offset from the lengths of the files before it, by path (one row a file,
+    broadcast up to a checked bound).  Nothing is sorted or moved, and the
+    same files give the same numbers whatever the tasks.
+    """
+    placed = scan.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    lengths = scan.select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    lengths = lengths.groupBy("_file").agg((F.max("_row") + 1).alias("_n"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)  # over the files
+    offsets = lengths.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    spark = scan.sparkSession
+    path = scratch_path(spark, f"file-offsets-{uuid.uuid4().hex}")
+    offsets.write.parquet(path)
+    return (
+        placed.join(checked_broadcast(spark.read.parquet(path)), "_file")
+        .withColumn(out_col, (F.col("_offset") + F.col("_row")).cast("bigint"))
+        .drop("_file", "_row", "_offset")
+    )
+
+
+def file_order_ids(splits: dict[str, DataFrame], split_col: str = "split", out_col: str = "id") -> DataFrame:
+    """``"{split}-{i:06d}"`` ids, i the position in the files of the split; ``splits`` are Parquet scans."""
+    parts = [
+        file_order_index(scan, "_idx").withColumn(split_col, F.lit(name)).withColumn(out_col, F.format_string("%s-%06d", F.lit(name), "_idx"))
+        for name, scan in splits.items()
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.drop("_idx")
+
+
 def dense_ids(
     df: DataFrame,
     split_col: str = "split",

@@ -76,6 +76,15 @@ SQL["contract_columns"] = """SELECT r.col AS "column",
        r.col IN (SELECT column_name FROM information_schema.columns WHERE table_name = 'documents') AS present
 FROM (VALUES ('doc_id'), ('text'), ('lang'), ('label')) AS r(col)"""
 
+SQL["scan_documents_ranges"] = "SELECT doc_id, text, lang, source, n_chars FROM documents"
+
+SQL["file_order_ids"] = """WITH s AS (
+  SELECT doc_id, lang, CASE WHEN doc_id % 5 = 0 THEN 'test' ELSE 'train' END AS split,
+         row_number() OVER () AS place FROM documents
+)
+SELECT doc_id, lang, split,
+       printf('%s-%06d', split, CAST(row_number() OVER (PARTITION BY split ORDER BY place) - 1 AS BIGINT)) AS id FROM s"""
+
 SQL["scan_documents"] = "SELECT doc_id, text, lang, source, n_chars FROM documents"
 
 # landing twice keeps the first landing: the landed table is the documents table
@@ -142,18 +151,28 @@ FROM pairs"""
 
 # ------------------------------------------------------------ evaluation
 _grid = ", ".join(f"({sql_str(t)}, {sql_str(p)})" for t in LABELS_SORTED for p in LABELS_SORTED)
-_CONF = f"""conf AS (
+_labels = ", ".join(sql_str(x) for x in LABELS_SORTED)
+_CONF = f"""judged AS (
+  SELECT CASE WHEN doc_id % 50 = 11 THEN 'sem_rotulo' ELSE y_true END AS t,
+         CASE WHEN doc_id % 50 = 7 THEN 'indefinido' WHEN doc_id % 50 <> 3 THEN y_pred END AS p
+  FROM pairs
+),
+cells AS (
+  SELECT CASE WHEN t IN ({_labels}) THEN t END AS y_true, CASE WHEN p IN ({_labels}) THEN p END AS y_pred, count(*) AS n
+  FROM judged GROUP BY ALL
+),
+conf AS (
   SELECT g.y_true, g.y_pred, CAST(coalesce(c.n, 0) AS BIGINT) AS n
   FROM (VALUES {_grid}) AS g(y_true, y_pred)
-  LEFT JOIN (SELECT y_true, y_pred, count(*) AS n FROM pairs GROUP BY ALL) c
-    ON c.y_true = g.y_true AND c.y_pred = g.y_pred
+  LEFT JOIN cells c ON c.y_true = g.y_true AND c.y_pred = g.y_pred
+  UNION ALL SELECT y_true, y_pred, n FROM cells WHERE y_true IS NULL OR y_pred IS NULL
 ),
 per AS (
   SELECT l.label,
          sum(CASE WHEN y_true = l.label AND y_pred = l.label THEN n ELSE 0 END) AS tp,
          sum(CASE WHEN y_true = l.label THEN n ELSE 0 END) AS support,
          sum(CASE WHEN y_pred = l.label THEN n ELSE 0 END) AS predicted
-  FROM conf, (SELECT DISTINCT y_true AS label FROM conf) l GROUP BY l.label
+  FROM conf, (SELECT DISTINCT y_true AS label FROM conf WHERE y_true IS NOT NULL) l GROUP BY l.label
 ),
 pcm AS (
   SELECT label,
@@ -164,9 +183,9 @@ pcm AS (
   FROM per
 ),
 summ AS (
-  SELECT avg(f1) AS macro_f1, coalesce(sum(tp) / nullif(sum(support), 0), 0.0) AS accuracy,
+  SELECT avg(f1) AS macro_f1, coalesce(sum(tp) / nullif((SELECT sum(n) FROM conf), 0), 0.0) AS accuracy,
          coalesce(max(CASE WHEN label = 'urgente' THEN recall END), 0.0) AS recall_urgente,
-         CAST(sum(support) AS BIGINT) AS n_samples
+         CAST((SELECT sum(n) FROM conf) AS BIGINT) AS n_samples
   FROM pcm
 )"""
 
