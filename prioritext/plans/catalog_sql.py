@@ -452,6 +452,44 @@ SELECT {_step_end_sql(_stream_step)} AS window_end, requests, errors,
        round({_quantile_sql(0.5)}, 6) AS p50, round({_quantile_sql(0.95)}, 6) AS p95
 FROM t"""
 
+# Every window that overlaps a step with requests and that the watermark has closed.
+SQL["stream_sliding"] = f"""{_LAT},
+s AS (
+  SELECT CAST(floor(epoch(ts) / {_stream_step}) AS BIGINT) AS j, count(*) AS requests,
+         count(*) FILTER (WHERE status >= 400) AS errors, {_LES}
+  FROM log GROUP BY 1
+),
+t AS (
+  SELECT i, {", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in ("requests", "errors", *_LE_COLUMNS))}
+  FROM (SELECT unnest(range(j, j + {_stream_size // _stream_step})) AS i, s.* FROM s) GROUP BY i
+)
+SELECT strftime(TIMESTAMP '1970-01-01' + to_seconds((i + 1) * {_stream_step} - {_stream_size}), '%Y-%m-%d %H:%M:%S') AS window_start,
+       {_step_end_sql(_stream_step)} AS window_end, requests, errors,
+       round(CAST(requests AS DOUBLE) / {_stream_size}, 6) AS rate_per_s,
+       round(CAST(errors AS DOUBLE) / requests, 6) AS error_ratio,
+       round({_quantile_sql(0.5)}, 6) AS p50, round({_quantile_sql(0.95)}, 6) AS p95
+FROM t
+WHERE TIMESTAMP '1970-01-01' + to_seconds((i + 1) * {_stream_step}) <= (SELECT max(ts) FROM events) - INTERVAL '10 minutes'"""
+
+# The batch counters of the whole log: what a stream that was stopped and started again has to show.
+_BUCKET_ROWS = " UNION ALL ".join(
+    f"SELECT 'request_duration_bucket', 'endpoint=' || endpoint || ',le={le}', "
+    f"count(*) FILTER (WHERE {'duration_s IS NOT NULL' if le == '+Inf' else f'duration_s <= CAST({le} AS DOUBLE)'}) FROM l GROUP BY endpoint"
+    for le in [*(le_label(b) for b in REQUEST_DURATION_BUCKETS), "+Inf"]
+)
+SQL["running_series"] = f"""{_LAT},
+l AS (SELECT * FROM log WHERE endpoint <> '/metrics')
+SELECT metric, series, round(CAST(value AS DOUBLE), 6) AS value FROM (
+SELECT 'requests_total' AS metric, 'endpoint=' || endpoint || ',method=' || coalesce(method, 'null') || ',status=' || coalesce(CAST(status AS VARCHAR), 'null') AS series,
+       CAST(count(*) AS DOUBLE) AS value FROM l GROUP BY endpoint, method, status UNION ALL
+SELECT 'errors_total', 'endpoint=' || endpoint || ',type=' ||
+       CASE WHEN unhandled THEN 'unhandled_exception' WHEN status < 500 THEN 'client_error' ELSE 'server_error' END AS s,
+       count(*) FROM l WHERE status >= 400 GROUP BY s UNION ALL
+SELECT 'predictions_total', 'label=' || coalesce(label, 'null') AS s, count(*) FROM l WHERE endpoint IN ('/predict', '/predict/batch') GROUP BY s UNION ALL
+{_BUCKET_ROWS} UNION ALL
+SELECT 'request_duration_count', 'endpoint=' || endpoint, count(duration_s) FROM l GROUP BY endpoint UNION ALL
+SELECT 'request_duration_sum', 'endpoint=' || endpoint, coalesce(sum(duration_s), 0) FROM l GROUP BY endpoint)"""
+
 # ------------------------------------------------------------ sampling
 _N_DRAWS = DEFAULT_SAMPLES + DEFAULT_WARMUP
 _SWR = f"""pool AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS idx FROM documents),

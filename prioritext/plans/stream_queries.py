@@ -15,7 +15,7 @@ from prioritext.plans.model_queries import trained
 from prioritext.session import scratch_path
 from prioritext.sources import files as fs
 from prioritext.sources import tables as tb
-from prioritext.streaming import jobs
+from prioritext.streaming import jobs, running
 
 EVENTS_SCHEMA = T.StructType(
     [
@@ -74,6 +74,39 @@ def q_stream_rates(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumns({c: F.round(c, 6) for c in ("rate_per_s", "error_ratio", "p50", "p95")})
 
 
+@register("running_series")
+def q_running_series(spark: SparkSession, sf: str) -> DataFrame:
+    """Current value of every series, kept by a stream that stops after half of the
+    log (in several batches) and is started again when the other half has arrived."""
+    base = scratch_path(spark, f"running-series-{uuid.uuid4().hex}")
+    events = tb.read_table(spark, sf, "events")
+    late = F.coalesce(F.col("event_id"), F.lit(0)) % 2 == 1
+    for part in (~late, late):
+        events.filter(part).repartition(2).write.mode("append").parquet(f"{base}/log")
+        src = jobs.read_stream_parquet(spark, f"{base}/log", events.schema, max_files=1)
+        log = tb.request_log_of(jobs.as_event_time(src))
+        _run(running.stream_counters(log, f"{base}/out", f"{base}/ckpt", available_now=True))
+    series = running.current_series(spark, f"{base}/out")
+    return series.withColumn("value", F.round("value", 6))
+
+
+@register("stream_sliding")
+def q_stream_sliding(spark: SparkSession, sf: str) -> DataFrame:
+    """Sliding rate, error ratio, p50 and p95 made on the stream by two chained operators."""
+    base = scratch_path(spark, f"stream-sliding-{uuid.uuid4().hex}")
+    src = jobs.read_stream_parquet(spark, tb.table_path(sf, "events"), EVENTS_SCHEMA)
+    log = tb.request_log_of(jobs.as_event_time(src))
+    size, step = RATE_WINDOW
+    _run(running.stream_sliding(log, f"{base}/out", f"{base}/ckpt", size=size, step=step, available_now=True))
+    out = spark.read.parquet(f"{base}/out")
+    return out.select(
+        *[F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("window_start", "window_end")],
+        "requests",
+        "errors",
+        *[F.round(c, 6).alias(c) for c in ("rate_per_s", "error_ratio", "p50", "p95")],
+    )
+
+
 def metrics_view(out: DataFrame) -> DataFrame:
     """The metrics sink as compared with its SQL twin: window bounds as text,
     the duration sum rounded to 6 decimals, counts as they are."""
