@@ -26,7 +26,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, SQLTransformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prioritext.constants import (
@@ -48,6 +48,9 @@ SCORED_ROWS = 512
 LBFGS_TOL = 1e-4
 
 
+ABOUT = "classes ARRAY<STRING>, n_docs BIGINT, trained_at STRING"
+
+
 @dataclass
 class TrainConfig:
     c: float = INVERSE_REGULARISATION_C
@@ -206,6 +209,24 @@ def export_tables(tm: TrainedModel) -> dict[str, DataFrame]:
     return {"vocab": tm.vocab.select("term", "idx", "idf"), "coef": coef, "intercept": intercept, "metadata": meta}
 
 
+def save_trained(tm: TrainedModel, path: str) -> str:
+    """Pipeline, vocabulary and what is known of the run below ``path``; the last one written is ``about``."""
+    spark = tm.vocab.sparkSession
+    tm.pipeline.write().overwrite().save(f"{path}/pipeline")
+    tm.vocab.write.mode("overwrite").parquet(f"{path}/vocab")
+    about = [(tm.classes, tm.n_docs, tm.trained_at)]
+    spark.createDataFrame(about, ABOUT).write.mode("overwrite").parquet(f"{path}/about")
+    return path
+
+
+def load_trained(spark: SparkSession, path: str, cfg: TrainConfig | None = None) -> TrainedModel:
+    """A model written by :func:`save_trained`, ready for both scoring paths."""
+    about = spark.read.schema(ABOUT).parquet(f"{path}/about").first()  # one row
+    pipeline = PipelineModel.load(f"{path}/pipeline")
+    vocab = spark.read.parquet(f"{path}/vocab")
+    return TrainedModel(pipeline, list(about["classes"]), vocab, about["n_docs"], about["trained_at"], cfg or TrainConfig())
+
+
 def softmax_label(logits: Sequence[F.Column], classes: Sequence[str]) -> tuple[F.Column, F.Column]:
     """(label, scores map) from per-class logit columns; argmax ties -> first class."""
     m = F.greatest(*logits) if len(logits) > 1 else logits[0]

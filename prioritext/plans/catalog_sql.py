@@ -663,6 +663,25 @@ SELECT 'train', 'ok', n - n_test FROM sizes UNION ALL
 SELECT 'evaluate', 'ok', n_test FROM sizes UNION ALL
 SELECT 'publish', 'ok', 7 FROM sizes"""
 
+# three runs over one folder: the first one's gate fails, the second goes on behind training, the third finds all done
+_RUNS = (
+    (1, ("ok", "ok", "ok", "failed", "skipped")),
+    (2, ("kept", "kept", "kept", "ok", "ok")),
+    (3, ("kept", "kept", "kept", "kept", "kept")),
+)
+_STAGE_ROWS = (("land", "n"), ("build", "n"), ("train", "n - n_test"), ("evaluate", "n_test"), ("publish", "7"))
+SQL["job_resume"] = f"WITH {_SIZES}\n" + " UNION ALL ".join(
+    f"SELECT CAST({run} AS INTEGER) AS run, '{stage}' AS stage, '{status}' AS status, "
+    f"CAST({'NULL' if status == 'skipped' else rows} AS BIGINT) AS rows FROM sizes"
+    for run, statuses in _RUNS
+    for (stage, rows), status in zip(_STAGE_ROWS, statuses, strict=True)
+)
+
+SQL["published_versions"] = """
+SELECT 'by_lang' AS artifact, CAST(2 AS INTEGER) AS version, count(*) AS n_rows, 'none' AS problem FROM (SELECT DISTINCT lang FROM documents)
+UNION ALL SELECT 'by_source', 2, count(*), 'none' FROM (SELECT DISTINCT source FROM documents)
+UNION ALL SELECT 'lengths', 2, count(*), 'changed' FROM documents"""
+
 _FINGERPRINTED = {
     c: f"CAST({c} AS DECIMAL(38, 6))" if c == "urgency_score" else c
     for c in ("id", "text", "condition_label", "condition_name", "urgency_score", "label", "split")

@@ -72,11 +72,21 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, required: Seq
     return scan.select(*(F.col(c) if c in header else F.lit(None).cast(typed[c].dataType).alias(c) for c in schema.names))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
+def _located(spark: SparkSession, path: str):
+    """A path and the file system it is on."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _located(spark, path)
+    return fs.exists(p)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder the library has written; nothing happens where there is none."""
+    fs, p = _located(spark, path)
+    fs.delete(p, True)
 
 
 def land(df: DataFrame, dest: str, force: bool = False) -> str:
@@ -139,7 +149,7 @@ def artifact_manifest(spark: SparkSession, base: str, names: Sequence[str]) -> D
     def present(n: str) -> bool:
         root = f"{base.rstrip('/')}/{n}"
         # a table folder carries _SUCCESS; a saved ML pipeline carries metadata/
-        return _exists(spark, f"{root}/_SUCCESS") or _exists(spark, f"{root}/metadata/_SUCCESS")
+        return path_exists(spark, f"{root}/_SUCCESS") or path_exists(spark, f"{root}/metadata/_SUCCESS")
 
     rows = [(n, present(n)) for n in names]
     return spark.createDataFrame(rows, "artifact STRING, present BOOLEAN")
