@@ -2,12 +2,13 @@
 
 Every draw is a hash of ``(seed, key)``, never ``rand()``: the same seed and
 data give the same result for any partitioning.  ``hash60`` is the first
-32 bits of an MD5 digest, which DuckDB reproduces exactly.
+60 bits of an MD5 digest, which DuckDB reproduces exactly.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from prioritext.constants import DEFAULT_SEED, TEST_SIZE, VALID_LABELS
 from prioritext.operators.common import EngineError
 from prioritext.operators.ids import dense_index
+from prioritext.session import scratch_path
 
 # Bits of the 60-bit hash kept by the split's bucket (the rest rank inside).
 _BUCKET_SHIFT = 40
@@ -56,47 +58,59 @@ def stratified_split(
     """Exact stratified split: ``ceil(test_size * n)`` test rows, class
     proportions kept by largest remainder, the quota of smallest hashes per class.
 
-    At scale a class is never ranked in one task: rows are counted per
-    ``(class, hash >> 40)`` bucket, cumulative counts over that small table
-    give each class a boundary bucket, lower buckets are test outright,
-    higher buckets train, and only the boundary bucket is ranked.
+    The input is read once for a narrow table of class, hash and id, written so
+    that counts and cuts come from the same rows.  There, classes are counted per
+    ``hash >> 40`` bucket, the bucket that holds a class's cut is ranked alone
+    (never a whole class), and the last test row of each class reaches the driver
+    (k rows).  Rows are then told apart map-only, against k literals.
+
+    A null label or a null id raises.  Rows of one id and class go to the same
+    side, so repeated ids may make a quota larger by their repeats.
     """
     if label_col not in df.columns:
         raise EngineError(f"stratified_split: no column {label_col!r} to stratify by among {df.columns}")
-    rows = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n")).collect()  # one row per class
-    counts = {r[label_col]: int(r["n"]) for r in rows}
+    spark = df.sparkSession
+    narrow = df.select(F.col(label_col).alias("label"), F.col(id_col).alias("id"), hash60(seed, id_col).alias("h"))
+    path = scratch_path(spark, f"split-{uuid.uuid4().hex}")
+    narrow.write.parquet(path)
+    narrow = spark.read.schema(narrow.schema).parquet(path).withColumn("bucket", F.shiftright("h", _BUCKET_SHIFT))
+
+    per_class = narrow.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("id").isNull()).alias("no_id"))
+    rows = per_class.collect()  # one row per class
+    for what, lost in (("label", sum(r["n"] for r in rows if r["label"] is None)), ("id", sum(r["no_id"] for r in rows))):
+        if lost:
+            raise EngineError(f"stratified_split: {lost} rows have no {what}, give them one or leave them out first")
+    counts = {r["label"]: int(r["n"]) for r in rows}
     small = sorted(k for k, c in counts.items() if c < 2)
     if small:
         raise EngineError(f"stratified_split: classes {small} have fewer than 2 rows")
-    n = sum(counts.values())
-    n_test = math.ceil(test_size * n)
-    quotas = largest_remainder_quotas(counts, n_test)
-
-    h = df.withColumn("_h", hash60(seed, F.col(id_col))).withColumn("_bk", F.shiftright("_h", _BUCKET_SHIFT))
-    buckets = h.groupBy(label_col, "_bk").agg(F.count(F.lit(1)).alias("_c"))
-    quota_map = F.create_map(*[x for k, q in quotas.items() for x in (F.lit(k), F.lit(q))])
-    wc = Window.partitionBy(label_col).orderBy("_bk").rowsBetween(Window.unboundedPreceding, 0)
-    bounds = (
-        buckets.withColumn("_cum", F.sum("_c").over(wc))
-        .withColumn("_q", quota_map[F.col(label_col)])
-        .filter(F.col("_cum") >= F.col("_q"))
-        .groupBy(label_col)
-        .agg(F.min_by(F.struct("_bk", (F.col("_q") - F.col("_cum") + F.col("_c")).alias("_need")), F.col("_bk")).alias("b"))
-        .select(label_col, F.col("b._bk").alias("_bbk"), F.col("b._need").alias("_need"))
-    )
-    # one row per class
-    tagged = h.join(F.broadcast(bounds), label_col, "left")
-    in_boundary = F.col("_bk") == F.col("_bbk")
-    boundary = tagged.filter(in_boundary)
-    wr = Window.partitionBy(label_col, "_bk").orderBy("_h", id_col)
-    ranked = boundary.withColumn("_test", F.row_number().over(wr) <= F.col("_need"))
-    rest = tagged.filter(~in_boundary | F.col("_bbk").isNull()).withColumn(
-        "_test", F.coalesce(F.col("_bk") < F.col("_bbk"), F.lit(False))
-    )
-    out = rest.unionByName(ranked)
-    return out.withColumn(out_col, F.when(F.col("_test"), F.lit("test")).otherwise(F.lit("train"))).drop(
-        "_h", "_bk", "_bbk", "_need", "_test"
+    quotas = largest_remainder_quotas(counts, math.ceil(test_size * sum(counts.values())))
+    quotas = {k: q for k, q in quotas.items() if q > 0}
+    if not quotas:
+        return df.withColumn(out_col, F.lit("train"))
+
+    quota_of = F.create_map(*[x for k, q in quotas.items() for x in (F.lit(k), F.lit(q))])
+    upto = Window.partitionBy("label").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    cuts = (
+        narrow.groupBy("label", "bucket")
+        .agg(F.count(F.lit(1)).alias("c"))
+        .withColumn("cum", F.sum("c").over(upto))
+        .withColumn("need", quota_of[F.col("label")] - F.col("cum") + F.col("c"))
+        .filter((F.col("need") > 0) & (F.col("need") <= F.col("c")))
+        .select("label", "bucket", "need")
     )
+    inside = narrow.join(F.broadcast(cuts), ["label", "bucket"]).groupBy("label", "need", "h", "id").agg(F.count(F.lit(1)).alias("c"))
+    ranked = inside.withColumn("cum", F.sum("c").over(Window.partitionBy("label").orderBy("h", "id")))
+    last = (
+        ranked.filter(F.col("cum") >= F.col("need")).groupBy("label").agg(F.min(F.struct("h", "id")).alias("cut")).collect()
+    )  # one row per class
+
+    h, key = hash60(seed, id_col), F.col(id_col)
+    in_test = F.lit(False)
+    for r in last:
+        before = (h < r["cut"]["h"]) | ((h == r["cut"]["h"]) & (key <= F.lit(r["cut"]["id"])))
+        in_test = in_test | ((F.col(label_col) == F.lit(r["label"])) & before)
+    return df.withColumn(out_col, F.when(in_test, F.lit("test")).otherwise(F.lit("train")))
 
 
 def sample_with_replacement(

@@ -44,6 +44,35 @@ def test_stratified_split_errors(spark):
         sp.stratified_split(df.drop("label"), "label", "id")
 
 
+def test_stratified_split_by_brute_force_and_map_only(spark):
+    import hashlib
+
+    df = _labelled(spark)
+    out = sp.stratified_split(df, "label", "id", 0.2, 42, "fold")
+    drawn = lambda i: int(hashlib.md5(f"42-{i}".encode()).hexdigest()[:15], 16)
+    members = {}
+    for r in df.collect():
+        members.setdefault(r["label"], []).append(r["id"])
+    quotas = sp.largest_remainder_quotas({k: len(v) for k, v in members.items()}, 200)
+    want = {i for k, v in members.items() for i in sorted(v, key=lambda i: (drawn(i), i))[: quotas[k]]}
+    assert {r["id"] for r in out.filter("fold = 'test'").collect()} == want
+    # the rows themselves, texts included, aren't shuffled or joined
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and out.columns == [*df.columns, "fold"]
+
+
+def test_stratified_split_repeats_nulls_and_tiny_quotas(spark):
+    rows = [(i % 40, "a") for i in range(80)] + [(100 + i, "b") for i in range(20)]
+    out = sp.stratified_split(spark.createDataFrame(rows, "id INT, label STRING"), "label", "id", 0.2, 1, "fold")
+    assert out.count() == 100
+    assert out.groupBy("id").agg(F.count_distinct("fold").alias("n")).filter("n > 1").count() == 0
+    for bad, what in (([(1, None)], "no label"), ([(None, "a")], "no id")):
+        with pytest.raises(ValueError, match=what):
+            sp.stratified_split(spark.createDataFrame(rows + bad, "id INT, label STRING"), "label", "id")
+    none = sp.stratified_split(spark.createDataFrame(rows, "id INT, label STRING"), "label", "id", 0.0, 1, "fold")
+    assert none.filter("fold = 'test'").count() == 0
+
+
 def test_sample_with_replacement(spark):
     pool = spark.range(5).withColumnRenamed("id", "doc_id")
     a = sp.sample_with_replacement(pool, 12, 42)
