@@ -5,13 +5,19 @@ Plan shape: documents are hash-partitioned by id once; the per-document
 steps (explode, ``(doc, term)`` counts, per-document norms) then reuse that
 partitioning, so the only other shuffle is the map-side-combined
 ``groupBy(term)`` of the vocabulary fit.  The vocabulary (at most
-``max_features`` rows) is the only broadcast side.
+``max_features`` rows) is the only broadcast side.  Where every row is a
+document (training), ``term_statistics`` counts inside the rows and no text is
+shuffled at all.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +27,10 @@ from prioritext.operators.ids import dense_index
 from prioritext.session import scratch_path
 
 
+# Rows whose n-grams are counted together.
+COUNTED_ROWS = 512
+
+
 def with_grams(df: DataFrame, text_col: str = "text", out_col: str = "grams") -> DataFrame:
     """Add the 1- and 2-gram array of the normalised text."""
     return df.withColumn(out_col, ngrams(tokens(normalize_text(F.col(text_col)))))
@@ -122,10 +132,58 @@ def fit_vocabulary(
     index window runs over those k rows only.
     """
     stats = doc_terms.groupBy("term").agg(F.sum("c").alias("tf"), F.count(F.lit(1)).alias("df"))
+    return vocabulary_of(stats, n_docs, min_df, max_features)
+
+
+def _row_terms(words: pa.ListArray) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """Single words, then pairs: ``(terms, occurrences, rows that hold the term)`` of some rows."""
+    n = len(words)
+    row = np.repeat(np.arange(n), pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False))
+    coded = words.flatten().dictionary_encode()
+    word, known = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+    width = max(1, len(known))
+
+    def counted(rows: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        distinct, at, tf = np.unique(codes, return_inverse=True, return_counts=True)
+        once = np.unique(at * max(1, n) + rows)
+        return distinct, tf, np.bincount(once // max(1, n), minlength=len(distinct))
+
+    single, tf, df = counted(row, word)
+    yield known.take(pa.array(single)), tf, df
+    both = row[:-1] == row[1:]
+    pair, tf, df = counted(row[:-1][both], word[:-1][both] * width + word[1:][both])
+    left, right = known.take(pa.array(pair // width)), known.take(pa.array(pair % width))
+    yield pc.binary_join_element_wise(left, right, " "), tf, df
+
+
+def term_statistics(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """``(term, tf, df)`` of the n-grams of ``df``, every row a document of its own.
+
+    Words are cut natively; a task counts the n-grams of a batch of rows in
+    Arrow arrays, so texts stay where they are and only counts per term are
+    shuffled (added up in the task first).
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, COUNTED_ROWS):
+                for terms, tf, held in _row_terms(batch.slice(low, COUNTED_ROWS).column("_words")):
+                    yield pa.RecordBatch.from_arrays(
+                        [terms.cast(pa.string()), pa.array(tf.astype(np.int64)), pa.array(held.astype(np.int64))],
+                        names=["term", "tf", "df"],
+                    )
+
+    words = df.select(tokens(normalize_text(F.col(text_col))).alias("_words"))
+    parts = words.mapInArrow(run, "term string, tf long, df long")
+    return parts.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+
+
+def vocabulary_of(stats: DataFrame, n_docs: int, min_df: int = MIN_DF, max_features: int = MAX_FEATURES) -> DataFrame:
+    """The vocabulary of :func:`fit_vocabulary` from ``stats(term, tf, df)``."""
     # the eligible terms are written once (checkpoint folder): the rank reads
     # its range exchange from two branches, which must see the same rows in
     # the same order, and a shuffled aggregate does not guarantee that
-    spark = doc_terms.sparkSession
+    spark = stats.sparkSession
     path = scratch_path(spark, f"vocab-terms-{uuid.uuid4().hex}")
     stats.filter(F.col("df") >= min_df).write.mode("overwrite").parquet(path)
     top = top_terms(spark.read.parquet(path), max_features)

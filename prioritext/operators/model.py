@@ -15,13 +15,14 @@ from __future__ import annotations
 
 import datetime as _dt
 import math
+import uuid
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, SQLTransformer
 from pyspark.ml.functions import vector_to_array
@@ -37,9 +38,9 @@ from prioritext.constants import (
     MIN_DF,
 )
 from prioritext.functions.text import BIGRAM_PATTERN, TOKEN_PATTERN, normalize_text, tokens, translation
+from prioritext.operators import features as fe
 from prioritext.operators.common import EngineError, spread
-from prioritext.operators.features import doc_term_counts, fit_vocabulary, tfidf_for
-from prioritext.session import ship_package
+from prioritext.session import scratch_path, ship_package
 
 # Rows whose words are looked up together.
 SCORED_ROWS = 512
@@ -73,6 +74,7 @@ class TrainedModel:
     n_docs: int
     trained_at: str
     config: TrainConfig = field(default_factory=TrainConfig)
+    counts: dict[str, int] | None = None
 
 
 def _sql_literal(s: str) -> str:
@@ -110,58 +112,101 @@ def training_partitions(spark, n_rows: int) -> int:
     return max(1, math.ceil(n_rows / ROWS_PER_TRAIN_PARTITION))
 
 
-def train(df: DataFrame, cfg: TrainConfig | None = None) -> TrainedModel:
-    """Fit vocabulary, IDF and the classifier on ``df`` (text + label).
+@dataclass
+class Prepared:
+    """Everything a fit needs whatever its ``C``: features written once, below the checkpoint folder."""
 
-    Balanced class weights ``n / (k n_c)``; L2 penalty ``regParam = 1 / (C * n)``
-    (sum of balanced weights = n), ``standardization=False`` and an
-    unpenalised intercept reproduce the C-parameterised objective.
+    stages: list
+    features: DataFrame
+    classes: list[str]
+    counts: dict[str, int]
+    vocab: DataFrame
+    n_docs: int
+    config: TrainConfig
+
+
+def balanced_weights(counts: dict[str, int]) -> dict[str, float]:
+    """``n / (k n_c)`` of each class."""
+    n, k = sum(counts.values()), len(counts)
+    return {c: n / (k * m) for c, m in counts.items()}
+
+
+def prepare(df: DataFrame, cfg: TrainConfig | None = None) -> Prepared:
+    """Fit vocabulary and IDF on ``df`` (text + label, a row a document) and write its features once.
+
+    No text is shuffled: n-grams are counted inside the rows, features are made
+    map-only, and only they are spread for the optimiser.
     Only bounded values reach the driver: class counts (k rows) and the
     vocabulary (at most ``max_features`` rows).
     """
     cfg = cfg or TrainConfig()
+    spark = df.sparkSession
     class_rows = df.groupBy(cfg.label_col).agg(F.count(F.lit(1)).alias("n")).collect()  # k rows
     counts = {str(r[cfg.label_col]): int(r["n"]) for r in class_rows if r[cfg.label_col] is not None}
     if len(counts) < 2:
         raise EngineError("training needs at least two classes")
     classes = sorted(counts)
     n = sum(counts.values())
-    k = len(classes)
 
-    doc_terms = doc_term_counts(df, cfg.id_col, cfg.text_col, cfg.num_partitions)
-    vocab = fit_vocabulary(doc_terms, n, cfg.id_col, cfg.min_df, cfg.max_features).cache()
+    stats = fe.term_statistics(df.filter(F.col(cfg.label_col).isNotNull()), cfg.text_col)
+    vocab = fe.vocabulary_of(stats, n, cfg.min_df, cfg.max_features).cache()
     vrows = vocab.orderBy("idx").select("term", "idf").collect()  # <= max_features rows
     if not vrows:
         raise EngineError("empty vocabulary: no term reaches min_df")
-    terms = [r["term"] for r in vrows]
-    idf = [float(r["idf"]) for r in vrows]
+    stages = _feature_stages([r["term"] for r in vrows], [float(r["idf"]) for r in vrows], cfg.text_col)
 
+    weights = balanced_weights(counts)
     idx_map = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(c), F.lit(float(i)))])
-    w_map = F.create_map(*[x for c in classes for x in (F.lit(c), F.lit(n / (k * counts[c])))])
+    w_map = F.create_map(*[x for c in classes for x in (F.lit(c), F.lit(weights[c]))])
     lab = F.col(cfg.label_col).cast("string")
     prepared = df.select(
         cfg.id_col, cfg.text_col, idx_map[lab].alias("_label_idx"), w_map[lab].alias("_weight")
     ).filter(F.col("_label_idx").isNotNull())
+    made = PipelineModel(stages).transform(prepared).select(cfg.id_col, "_label_idx", "_weight", "features")
+    path = scratch_path(spark, f"train-features-{uuid.uuid4().hex}")
+    made.write.parquet(path)
+    parts = cfg.num_partitions or training_partitions(spark, n)
+    features = spark.read.schema(made.schema).parquet(path).repartition(parts, F.col(cfg.id_col))
+    return Prepared(stages, features.sortWithinPartitions(cfg.id_col), classes, counts, vocab, n, cfg)
+
 
+def fit(prepared: Prepared, c: float | None = None) -> TrainedModel:
+    """The classifier on prepared features, with the inverse regularisation ``c`` (else that of the settings).
+
+    Balanced class weights ``n / (k n_c)``; L2 penalty ``regParam = 1 / (C * n)``
+    (sum of balanced weights = n), ``standardization=False`` and an
+    unpenalised intercept reproduce the C-parameterised objective.
+    """
+    cfg = prepared.config if c is None else replace(prepared.config, c=c)
     lr = LogisticRegression(
         featuresCol="features",
         labelCol="_label_idx",
         weightCol="_weight",
         family="multinomial",
         elasticNetParam=0.0,
-        regParam=1.0 / (cfg.c * n),
+        regParam=1.0 / (cfg.c * prepared.n_docs),
         standardization=False,
         fitIntercept=True,
         maxIter=cfg.max_iter,
         tol=cfg.tol,
     )
-    stages = _feature_stages(terms, idf, cfg.text_col)
-    pipe = Pipeline(stages=stages + [lr])
-    parts = cfg.num_partitions or training_partitions(df.sparkSession, n)
-    train_df = prepared.repartition(parts, F.col(cfg.id_col)).sortWithinPartitions(cfg.id_col)
-    model = pipe.fit(train_df)
+    model = PipelineModel([*prepared.stages, lr.fit(prepared.features)])
     trained_at = _dt.datetime.now(_dt.timezone.utc).replace(microsecond=0).isoformat()
-    return TrainedModel(model, classes, vocab, n, trained_at, cfg)
+    return TrainedModel(model, prepared.classes, prepared.vocab, prepared.n_docs, trained_at, cfg, prepared.counts)
+
+
+def train(df: DataFrame, cfg: TrainConfig | None = None) -> TrainedModel:
+    """Fit vocabulary, IDF and the classifier on ``df`` (text + label); see :func:`prepare` and :func:`fit`."""
+    return fit(prepare(df, cfg))
+
+
+def regularisation_path(df: DataFrame, cs: Sequence[float], cfg: TrainConfig | None = None) -> list[TrainedModel]:
+    """One model per inverse regularisation strength, over features made and written once.
+
+    Spark's public API takes no starting point for a fit, so each begins at zero.
+    """
+    prepared = prepare(df, cfg)
+    return [fit(prepared, c) for c in cs]
 
 
 def score_batch(
@@ -279,7 +324,7 @@ def intercept_list(intercept: DataFrame) -> list[tuple[str, float]]:
 
 def weights_for(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col: str = "text", num_partitions: int | None = None) -> DataFrame:
     """TF-IDF weights of new documents against a fitted vocabulary."""
-    return tfidf_for(docs, vocab, id_col, text_col, num_partitions)
+    return fe.tfidf_for(docs, vocab, id_col, text_col, num_partitions)
 
 
 class TermTable:
@@ -308,8 +353,8 @@ class TermTable:
         self.codes = np.array([c for c, _ in pairs], dtype=np.int64)
         self.places = np.array([i for _, i in pairs], dtype=np.int64)
 
-    def sums(self, tokens: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-        """Per row: the sum of squared ``c * idf``, and the sums of ``c * idf * weight`` by class."""
+    def weighted(self, tokens: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(row, place of the term, c * idf)`` of every known term of every row."""
         n = len(tokens)
         row = np.repeat(np.arange(n), pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False))
         word = pc.fill_null(pc.index_in(tokens.flatten(), value_set=self.words), -1).to_numpy(zero_copy_only=False)
@@ -326,11 +371,22 @@ class TermTable:
             found = np.concatenate((found, self.places[at[hit]]))
         key, count = np.unique(found_row * max(1, len(self.idf)) + found, return_counts=True)
         of, term = np.divmod(key, max(1, len(self.idf)))
-        u = count * self.idf[term]
+        return of, term, count * self.idf[term]
+
+    def sums(self, tokens: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        """Per row: the sum of squared ``c * idf``, and the sums of ``c * idf * weight`` by class."""
+        n = len(tokens)
+        of, term, u = self.weighted(tokens)
         by_class = [np.bincount(of, weights=u * self.weights[term, c], minlength=n) for c in range(self.weights.shape[1])]
         return np.bincount(of, weights=u * u, minlength=n).astype(float), np.stack(by_class, axis=1).astype(float)
 
 
+def term_table(vocab: DataFrame, coef: DataFrame, n_classes: int) -> TermTable:
+    """Vocabulary and coefficients in the order of their numbers; at most ``max_features`` rows reach the driver."""
+    rows = vocab.select("term", "idx", "idf").join(coef.select("idx", "weights"), "idx").orderBy("idx")
+    return TermTable([(r["term"], float(r["idf"]), r["weights"]) for r in rows.collect()], n_classes)
+
+
 def score_text(
     docs: DataFrame,
     vocab: DataFrame,
@@ -351,8 +407,7 @@ def score_text(
     intercepts.  ``scales``: those of an int8 ``coef``, applied once to each sum.
     """
     classes = [c for c, _ in intercept_rows]
-    rows = vocab.select("term", "idx", "idf").join(coef.select("idx", "weights"), "idx").orderBy("idx")
-    table = TermTable([(r["term"], float(r["idf"]), r["weights"]) for r in rows.collect()], len(classes))  # <= max_features rows
+    table = term_table(vocab, coef, len(classes))
     scale = np.array(scales or [1.0] * len(classes))
     bias = np.array([float(b) for _, b in intercept_rows])
     cut = docs.select(F.col(id_col).alias("_id"), tokens(normalize_text(F.col(text_col))).alias("_tokens"))

@@ -519,6 +519,6 @@ def q_class_weights(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    from prioritext.plans import model_queries, stream_queries  # noqa: F401  (register)
+    from prioritext.plans import artefact_queries, model_queries, stream_queries  # noqa: F401  (register)
 
     return dict(QUERIES)

@@ -210,9 +210,9 @@ SELECT metric, round(value, 6) AS value, required, value >= required AS passed,
 FROM chk"""
 
 # ------------------------------------------------------------ latency / load
-_LAT = f"""WITH {request_log_cte()}"""
+LOG_CTE = f"""WITH {request_log_cte()}"""
 
-SQL["latency_summary"] = f"""{_LAT}
+SQL["latency_summary"] = f"""{LOG_CTE}
 SELECT backend, count(duration_ms) AS n,
        round(avg(duration_ms), 6) AS mean, round(stddev_pop(duration_ms), 6) AS stdev,
        round(min(duration_ms), 6) AS min,
@@ -222,10 +222,10 @@ SELECT backend, count(duration_ms) AS n,
        round(count(duration_ms) / nullif((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6, 0), 6) AS throughput
 FROM log GROUP BY backend"""
 
-SQL["latency_median"] = f"""{_LAT}
+SQL["latency_median"] = f"""{LOG_CTE}
 SELECT backend, round(median(duration_ms), 6) AS median FROM log GROUP BY backend"""
 
-SQL["p50_reduction"] = f"""{_LAT},
+SQL["p50_reduction"] = f"""{LOG_CTE},
 s AS (SELECT backend, quantile_cont(duration_ms, 0.5) AS p50 FROM log GROUP BY backend),
 a AS (SELECT max(CASE WHEN backend = 'base' THEN p50 END) AS b, max(CASE WHEN backend = 'new' THEN p50 END) AS n FROM s)
 SELECT round(b, 6) AS base_value, round(n, 6) AS new_value,
@@ -233,7 +233,7 @@ SELECT round(b, 6) AS base_value, round(n, 6) AS new_value,
        coalesce((b - n) / nullif(b, 0) * 100.0 >= {P50_REDUCTION_MIN_PCT}, false) AS met
 FROM a"""
 
-SQL["load_summary"] = f"""{_LAT}
+SQL["load_summary"] = f"""{LOG_CTE}
 SELECT count(*) AS requested, count(*) FILTER (WHERE status < 400) AS ok,
        count(*) - count(*) FILTER (WHERE status < 400) AS failed,
        round(avg(duration_ms), 6) AS mean_latency_ms,
@@ -241,13 +241,13 @@ SELECT count(*) AS requested, count(*) FILTER (WHERE status < 400) AS ok,
 FROM log"""
 
 # ------------------------------------------------------------ counters / histograms
-SQL["requests_total"] = f"""{_LAT}
+SQL["requests_total"] = f"""{LOG_CTE}
 SELECT endpoint, method, status, count(*) AS n FROM log WHERE endpoint <> '/metrics' GROUP BY ALL"""
 
 SQL["predictions_total"] = f"""WITH {pairs_ctes()}
 SELECT y_pred AS label, count(*) AS n FROM pairs GROUP BY 1"""
 
-SQL["errors_total"] = f"""{_LAT}
+SQL["errors_total"] = f"""{LOG_CTE}
 SELECT endpoint,
        CASE WHEN unhandled THEN 'unhandled_exception' WHEN status < 500 THEN 'client_error' ELSE 'server_error' END AS type,
        count(*) AS n
@@ -257,7 +257,7 @@ FROM log WHERE status >= 400 AND endpoint <> '/metrics' GROUP BY ALL"""
 def _hist_sql(key: str, bounds) -> str:
     rows = ", ".join(f"({i}, {sql_str(le_label(b))}, CAST({b!r} AS DOUBLE))" for i, b in enumerate(bounds))
     rows += f", ({len(bounds)}, '+Inf', CAST('Infinity' AS DOUBLE))"
-    return f"""{_LAT},
+    return f"""{LOG_CTE},
 keys AS (SELECT {key}, sum(duration_s) AS s, count(duration_s) AS c FROM log GROUP BY {key})
 SELECT k.{key}, b.idx, b.le,
        CAST((SELECT count(*) FROM log l WHERE l.{key} = k.{key} AND l.duration_s <= b.bound) AS BIGINT) AS cumulative,
@@ -275,7 +275,7 @@ def _stream_metrics_sql(bounds, watermark_minutes: int = 10) -> str:
     les = ",\n       ".join(
         f"count(*) FILTER (WHERE duration_s <= CAST({b!r} AS DOUBLE)) AS le_{i}" for i, b in enumerate(bounds)
     )
-    return f"""{_LAT},
+    return f"""{LOG_CTE},
 agg AS (
 SELECT time_bucket(INTERVAL '1 hour', ts) AS ws, endpoint,
        count(*) AS requests,
@@ -296,7 +296,7 @@ WHERE ws + INTERVAL '1 hour' <= (SELECT max(ts) FROM events) - INTERVAL '{waterm
 SQL["stream_metrics"] = _stream_metrics_sql(REQUEST_DURATION_BUCKETS)
 SQL["inference_histogram"] = _hist_sql("backend", DEFAULT_DURATION_BUCKETS)
 
-SQL["model_info"] = f"""{_LAT},
+SQL["model_info"] = f"""{LOG_CTE},
 loads AS (SELECT ts, backend, strftime(ts, '%Y%m%d') AS model_version FROM log WHERE endpoint = '/model-info')
 SELECT backend, model_version, backend AS model_type, 1.0::DOUBLE AS value
 FROM loads ORDER BY ts DESC, backend DESC, model_version DESC LIMIT 1"""
@@ -308,19 +308,19 @@ LEFT JOIN {routes_values()} ON p.segment = r.segment
 WHERE coalesce(p.path, '') <> '/metrics'"""
 
 # ------------------------------------------------------------ windows
-SQL["predictions_running"] = f"""{_LAT},
+SQL["predictions_running"] = f"""{LOG_CTE},
 h AS (SELECT label, date_trunc('hour', ts) AS hb, count(*) AS n FROM log
       WHERE endpoint IN ('/predict', '/predict/batch') GROUP BY ALL)
 SELECT label, strftime(hb, '%Y-%m-%d %H:%M:%S') AS bucket, n,
        CAST(sum(n) OVER (PARTITION BY label ORDER BY hb ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running
 FROM h"""
 
-SQL["request_rate"] = f"""{_LAT}
+SQL["request_rate"] = f"""{LOG_CTE}
 SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, endpoint, count(*) AS n,
        round(count(*) / 3600.0, 6) AS rate_per_s
 FROM log GROUP BY ALL"""
 
-SQL["counter_increase"] = f"""{_LAT},
+SQL["counter_increase"] = f"""{LOG_CTE},
 smp AS (
   SELECT endpoint, ts, event_id,
          CAST(count(*) OVER (PARTITION BY endpoint, date_trunc('day', ts) ORDER BY ts, event_id
@@ -336,7 +336,7 @@ FROM d GROUP BY ALL"""
 
 _qb_rows = ", ".join(f"({i}, CAST({b!r} AS DOUBLE))" for i, b in enumerate(REQUEST_DURATION_BUCKETS))
 _qb_rows += f", ({len(REQUEST_DURATION_BUCKETS)}, CAST('Infinity' AS DOUBLE))"
-SQL["histogram_quantile"] = f"""{_LAT},
+SQL["histogram_quantile"] = f"""{LOG_CTE},
 hours AS (SELECT DISTINCT date_trunc('hour', ts) AS hb FROM log),
 b AS (SELECT * FROM (VALUES {_qb_rows}) AS b(idx, le)),
 hc AS (
@@ -367,7 +367,7 @@ SELECT strftime(hb, '%Y-%m-%d %H:%M:%S') AS window_end_hour, q,
                   ELSE prev_le + (le - prev_le) * ((q * total - prev_cum) / (cum - prev_cum)) END, 6) AS value
 FROM hit WHERE rn = 1"""
 
-SQL["error_ratio"] = f"""{_LAT},
+SQL["error_ratio"] = f"""{LOG_CTE},
 h AS (SELECT date_trunc('hour', ts) AS hb, count(*) FILTER (WHERE status >= 400) AS e, count(*) AS r FROM log GROUP BY 1),
 w AS (
   SELECT hb, sum(e) OVER (ORDER BY hb RANGE BETWEEN INTERVAL 23 HOURS PRECEDING AND CURRENT ROW) AS errors,
@@ -416,7 +416,7 @@ def _quantile_sql(q: float) -> str:
 
 
 _rate_size, _rate_step = RATE_WINDOW
-SQL["trailing_rate"] = f"""{_LAT},
+SQL["trailing_rate"] = f"""{LOG_CTE},
 s AS (SELECT endpoint, CAST(floor(epoch(ts) / {_rate_step}) AS BIGINT) AS i, count(*) AS c FROM log GROUP BY ALL),
 g AS (SELECT endpoint, unnest(range(a, b + 1)) AS i FROM (SELECT endpoint, min(i) AS a, max(i) AS b FROM s GROUP BY 1)),
 t AS (
@@ -426,13 +426,13 @@ t AS (
 )
 SELECT endpoint, {_step_end_sql(_rate_step)} AS window_end, n, round(CAST(n AS DOUBLE) / {_rate_size}, 6) AS rate_per_s FROM t"""
 
-SQL["trailing_error_ratio"] = f"""{_LAT},
+SQL["trailing_error_ratio"] = f"""{LOG_CTE},
 {_trailing_ctes(*SHORT_WINDOW)}
 SELECT {_step_end_sql(SHORT_WINDOW[1])} AS window_end, errors, requests,
        round(CAST(errors AS DOUBLE) / nullif(requests, 0), 6) AS error_ratio FROM t"""
 
 SQL["trailing_quantiles"] = " UNION ALL ".join(
-    f"""SELECT * FROM ({_LAT},
+    f"""SELECT * FROM ({LOG_CTE},
 {_trailing_ctes(*SHORT_WINDOW)}
 SELECT {_step_end_sql(SHORT_WINDOW[1])} AS window_end, CAST({q} AS DOUBLE) AS q, round({_quantile_sql(q)}, 6) AS value FROM t)"""
     for q in (0.5, 0.95)
@@ -440,7 +440,7 @@ SELECT {_step_end_sql(SHORT_WINDOW[1])} AS window_end, CAST({q} AS DOUBLE) AS q,
 
 # Only windows that the watermark (ten minutes behind the latest event) has closed are in the sink.
 _stream_size, _stream_step = RATE_WINDOW
-SQL["stream_rates"] = f"""{_LAT},
+SQL["stream_rates"] = f"""{LOG_CTE},
 closed AS (
   SELECT * FROM log WHERE time_bucket(INTERVAL '{_stream_step} seconds', ts) + INTERVAL '{_stream_step} seconds'
                           <= (SELECT max(ts) FROM events) - INTERVAL '10 minutes'
@@ -453,7 +453,7 @@ SELECT {_step_end_sql(_stream_step)} AS window_end, requests, errors,
 FROM t"""
 
 # Every window that overlaps a step with requests and that the watermark has closed.
-SQL["stream_sliding"] = f"""{_LAT},
+SQL["stream_sliding"] = f"""{LOG_CTE},
 s AS (
   SELECT CAST(floor(epoch(ts) / {_stream_step}) AS BIGINT) AS j, count(*) AS requests,
          count(*) FILTER (WHERE status >= 400) AS errors, {_LES}
@@ -477,7 +477,7 @@ _BUCKET_ROWS = " UNION ALL ".join(
     f"count(*) FILTER (WHERE {'duration_s IS NOT NULL' if le == '+Inf' else f'duration_s <= CAST({le} AS DOUBLE)'}) FROM l GROUP BY endpoint"
     for le in [*(le_label(b) for b in REQUEST_DURATION_BUCKETS), "+Inf"]
 )
-SQL["running_series"] = f"""{_LAT},
+SQL["running_series"] = f"""{LOG_CTE},
 l AS (SELECT * FROM log WHERE endpoint <> '/metrics')
 SELECT metric, series, round(CAST(value AS DOUBLE), 6) AS value FROM (
 SELECT 'requests_total' AS metric, 'endpoint=' || endpoint || ',method=' || coalesce(method, 'null') || ',status=' || coalesce(CAST(status AS VARCHAR), 'null') AS series,
@@ -587,7 +587,7 @@ n AS (SELECT doc_id, {NGRAMS_SQL.format(g='g')} AS grams FROM t)
 SELECT doc_id, CAST(len(grams) AS BIGINT) AS n_grams, array_to_string(grams, '|') AS grams FROM n"""
 
 # ------------------------------------------------------------ features
-_VOCAB = f"""t AS (SELECT doc_id, {TOKENS_SQL.format(t='text')} AS g FROM documents),
+VOCAB_CTES = f"""t AS (SELECT doc_id, {TOKENS_SQL.format(t='text')} AS g FROM documents),
 n AS (SELECT doc_id, {NGRAMS_SQL.format(g='g')} AS grams FROM t),
 dt AS (SELECT doc_id, term, count(*) AS c FROM (SELECT doc_id, unnest(grams) AS term FROM n) GROUP BY ALL),
 ntrain AS (SELECT count(*) AS n FROM documents WHERE doc_id % 5 <> 0),
@@ -600,13 +600,13 @@ vocab AS (
   FROM top, ntrain
 )"""
 
-SQL["vocab_topk"] = f"""WITH {_VOCAB}
+SQL["vocab_topk"] = f"""WITH {VOCAB_CTES}
 SELECT term, tf, df, idx FROM vocab"""
 
-SQL["idf"] = f"""WITH {_VOCAB}
+SQL["idf"] = f"""WITH {VOCAB_CTES}
 SELECT term, df, round(idf, 6) AS idf FROM vocab"""
 
-SQL["tfidf_weights"] = f"""WITH {_VOCAB},
+SQL["tfidf_weights"] = f"""WITH {VOCAB_CTES},
 w AS (SELECT dt.doc_id, dt.term, dt.c * v.idf AS w FROM dt JOIN vocab v ON v.term = dt.term)
 SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w"""
 
@@ -616,7 +616,9 @@ SELECT label, n_c, round(sum(n_c) OVER () / (count(*) OVER () * n_c), 6) AS weig
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
+    from prioritext.plans.artefact_sql import SQL as more
+
+    return SQL | more
 
 
 _ = (LATIN_FOLD, band_sql)  # shared helpers re-exported for tests
@@ -647,16 +649,16 @@ FROM p"""
 SQL["linear_score"] = _linear_sql()
 
 # ------------------------------------------------------------ model results that the data alone decide
-_SIZES = f"sizes AS (SELECT count(*) AS n, CAST(ceil({TEST_SIZE} * count(*)) AS BIGINT) AS n_test FROM documents)"
+SIZES_CTE = f"sizes AS (SELECT count(*) AS n, CAST(ceil({TEST_SIZE} * count(*)) AS BIGINT) AS n_test FROM documents)"
 
-SQL["backend_equivalence"] = f"""WITH {_SIZES}
+SQL["backend_equivalence"] = f"""WITH {SIZES_CTE}
 SELECT n_test AS n, n_test AS matches, CAST(100 AS DOUBLE) AS agreement_pct, true AS passed, CAST(0 AS BIGINT) AS unpaired
 FROM sizes"""
 
 SQL["missing_artifacts"] = "SELECT 'calibration' AS artifact"
 
 # the gate passes on the given tables: its verdict on the trained model is tested by itself
-SQL["end_to_end_job"] = f"""WITH {_SIZES}
+SQL["end_to_end_job"] = f"""WITH {SIZES_CTE}
 SELECT 'land' AS stage, 'ok' AS status, n AS rows FROM sizes UNION ALL
 SELECT 'build', 'ok', n FROM sizes UNION ALL
 SELECT 'train', 'ok', n - n_test FROM sizes UNION ALL
@@ -670,7 +672,7 @@ _RUNS = (
     (3, ("kept", "kept", "kept", "kept", "kept")),
 )
 _STAGE_ROWS = (("land", "n"), ("build", "n"), ("train", "n - n_test"), ("evaluate", "n_test"), ("publish", "7"))
-SQL["job_resume"] = f"WITH {_SIZES}\n" + " UNION ALL ".join(
+SQL["job_resume"] = f"WITH {SIZES_CTE}\n" + " UNION ALL ".join(
     f"SELECT CAST({run} AS INTEGER) AS run, '{stage}' AS stage, '{status}' AS status, "
     f"CAST({'NULL' if status == 'skipped' else rows} AS BIGINT) AS rows FROM sizes"
     for run, statuses in _RUNS

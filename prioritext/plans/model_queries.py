@@ -15,19 +15,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prioritext.constants import DEFAULT_SEED, GATE_MACRO_F1_MIN, LABELS_SORTED
+from prioritext.operators import certificate as cert
 from prioritext.operators import evaluate as ev
 from prioritext.operators import features as fe
 from prioritext.operators import model as M
 from prioritext.operators import sampling as sp
 from prioritext.operators.common import spread
 from prioritext.operators.stats import merge_one_row
-from prioritext.plans.catalog import labelled, r6, register
+from prioritext.plans.catalog import labelled, labelled_with_doc_id, r6, register
 from prioritext.session import scratch_path
 from prioritext.sources import files as fs
 from prioritext.sources import tables as tb
 from prioritext.sources import versions
 
 _MODELS: dict[tuple, tuple] = {}
+_PREPARED: dict[tuple, M.Prepared] = {}
 
 ARTIFACTS = ("model", "vocab", "coef", "intercept", "metadata", "metrics", "confusion")
 
@@ -44,8 +46,9 @@ def trained(spark: SparkSession, sf: str) -> tuple[M.TrainedModel, DataFrame, Da
     if key not in _MODELS:
         train_df, test_df = split_labelled(spark, sf)
         t0 = time.time()
-        tm = M.train(train_df, M.TrainConfig(id_col="id", text_col="text", label_col="label"))
-        tm.vocab = tm.vocab.cache()
+        prepared = M.prepare(train_df, M.TrainConfig(id_col="id", text_col="text", label_col="label"))
+        tm = M.fit(prepared)
+        _PREPARED[key] = prepared
         _MODELS[key] = (tm, train_df, test_df, time.time() - t0)
     return _MODELS[key]
 
@@ -222,6 +225,79 @@ def linear_coef(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "term STRING, idx INT, weights ARRAY<DOUBLE>")
 
 
+# ---------------------------------------------------------------- fixed values
+# Coefficients (class order) of the fixed TF-IDF model, and the strength of the second model of the path.
+FIXED_RAISING = (0.0, 0.0, 4.0)
+FIXED_LOWERING = (0.0, 4.0, 0.0)
+PATH_C = 0.01
+# A model counts as optimal if the objective can't fall by more than this share of it.
+GAP_SHARE = 0.01
+INTERCEPT_NORM_MAX = 0.05
+# ------------------------------------------------------------ end fixed values
+
+
+def fixed_model(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The vocabulary of the train split and fixed coefficients for it."""
+    docs = tb.read_table(spark, sf, "documents").filter(tb.split_of("doc_id") == F.lit("train"))
+    vocab = fe.vocabulary_of(fe.term_statistics(docs), docs.count()).cache()
+    weights = F.when(F.col("term").isin(list(tb.STANDIN_RAISING)), F.array(*map(F.lit, FIXED_RAISING)))
+    weights = weights.when(F.col("term").isin(list(tb.STANDIN_LOWERING)), F.array(*map(F.lit, FIXED_LOWERING)))
+    return vocab, vocab.select("idx", weights.otherwise(F.array(*[F.lit(0.0)] * 3)).alias("weights"))
+
+
+@register("score_text_fixed")
+def q_score_text_fixed(spark: SparkSession, sf: str) -> DataFrame:
+    """Map-only scoring of every document from TF-IDF features, with fixed coefficients."""
+    vocab, coef = fixed_model(spark, sf)
+    docs = tb.read_table(spark, sf, "documents").select("doc_id", "text")
+    scored = M.score_text(docs, vocab, coef, LINEAR_INTERCEPTS)
+    return scored.select("doc_id", "label", *[r6(F.col("scores")[c]).alias(f"p_{c}") for c, _ in LINEAR_INTERCEPTS])
+
+
+@register("loss_gradient")
+def q_loss_gradient(spark: SparkSession, sf: str) -> DataFrame:
+    """The gradient of the balanced loss over the train split, by term, at the fixed coefficients."""
+    vocab, coef = fixed_model(spark, sf)
+    lab = labelled_with_doc_id(spark, sf).filter(F.col("split") == "train").select("text", "label")
+    counts = {r["label"]: r["n"] for r in lab.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}  # k rows
+    sums = cert.gradient_sums(lab, vocab, coef, LINEAR_INTERCEPTS, class_weights=M.balanced_weights(counts))
+    named = sums.join(F.broadcast(vocab.select("idx", "term")), "idx", "left")
+    # adding zero makes no sign of a rounded zero
+    by_class = [(r6(F.col("sums")[i]) + F.lit(0.0)).alias(f"g_{c}") for i, (c, _) in enumerate(LINEAR_INTERCEPTS)]
+    return named.select(F.coalesce("term", F.lit("(intercept)")).alias("term"), *by_class)
+
+
+def certified(tm: M.TrainedModel, train_df: DataFrame) -> DataFrame:
+    found = cert.certify(tm, train_df)
+    fine = (F.col("gap_bound") <= GAP_SHARE * F.col("objective")) & (F.col("intercept_norm") <= INTERCEPT_NORM_MAX)
+    return found.select(F.lit(tm.config.c).alias("c"), "*", fine.alias("optimal"))
+
+
+@register("train_certificate")
+def q_train_certificate(spark: SparkSession, sf: str) -> DataFrame:
+    """The trained model judged by one pass over its training texts: it is within one percent of the optimum."""
+    tm, train_df, _, _ = trained(spark, sf)
+    return certified(tm, train_df).select("n_docs", "optimal")
+
+
+@register("regularisation_path")
+def q_regularisation_path(spark: SparkSession, sf: str) -> DataFrame:
+    """Two strengths over the same features: each model's certificate, and what weaker
+    regularisation must do: a smaller loss and larger coefficients."""
+    tm, train_df, _, _ = trained(spark, sf)
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"), "label")
+    strong = certified(M.fit(_PREPARED[key], PATH_C), train_df).first()  # one row each
+    usual = certified(tm, train_df).first()
+    size = [r["penalty"] * 2 * r["c"] * r["n_docs"] for r in (strong, usual)]
+    return spark.createDataFrame(
+        [
+            (strong["c"], strong["n_docs"], strong["optimal"], None, None),
+            (usual["c"], usual["n_docs"], usual["optimal"], usual["loss"] < strong["loss"], size[1] > size[0]),
+        ],
+        "c DOUBLE, n_docs BIGINT, optimal BOOLEAN, loss_falls BOOLEAN, coefficients_grow BOOLEAN",
+    )
+
+
 @register("end_to_end_job")
 def q_end_to_end_job(spark: SparkSession, sf: str) -> DataFrame:
     """The whole job (land -> build -> train -> gate -> publish); its run manifest without paths."""

@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 
 from prioritext.constants import HIGH_QUANTILE, LOW_QUANTILE, VALID_LABELS
 from prioritext.functions.text import blank_text
-from prioritext.operators.common import EngineError
+from prioritext.operators.common import EngineError, checked_dimension
+from prioritext.operators.stats import merge_one_row
 
 DOCUMENTS_SCHEMA = T.StructType(
     [
@@ -160,6 +161,73 @@ def missing_artifacts(expected: DataFrame, produced: DataFrame) -> DataFrame:
     return expected.join(produced.filter("present").select("artifact"), "artifact", "left_anti").select("artifact")
 
 
+DIMENSION_SCHEMA = T.StructType(
+    [T.StructField("condition_label", T.StringType()), T.StructField("condition_name", T.StringType())]
+)
+
+
+def read_dimension(
+    spark: SparkSession, path: str, schema: T.StructType = DIMENSION_SCHEMA, key: str = "condition_label"
+) -> DataFrame:
+    """Scan the category dimension from CSV: columns by name, one row per key, broadcast within the checked bound.
+
+    A missing file or column and a repeated key raise; other columns are left out.
+    """
+    if not path_exists(spark, path):
+        raise EngineError(f"{path}: no such dimension file")
+    return checked_dimension(read_csv(spark, path, schema), key, path)
+
+
+def read_model_info(spark: SparkSession, base: str) -> DataFrame:
+    """One row ``(model_version, classes, classes_from)`` of a model folder whose metadata may be absent.
+
+    The class order is that of ``metadata`` (``classes``, comma-separated); where
+    that table, the column or its value is missing, that of the ``classes`` table
+    (``label, class_idx``); without either it can't be known and this raises.
+    The version is ``trained_at`` of the metadata, else ``unknown``.
+    """
+    base = base.rstrip("/")
+    found = {}
+    if path_exists(spark, f"{base}/metadata"):
+        row = spark.read.parquet(f"{base}/metadata").first()  # one row
+        found = row.asDict() if row else {}
+    classes, source = (found.get("classes") or "").split(","), "metadata"
+    if classes == [""]:
+        if not path_exists(spark, f"{base}/classes"):
+            raise EngineError(f"{base}: the metadata names no classes and there is no table of classes; their order is unknown")
+        rows = spark.read.parquet(f"{base}/classes").orderBy("class_idx").collect()  # k rows
+        classes, source = [str(r["label"]) for r in rows], "classes"
+    version = found.get("trained_at") or "unknown"
+    return spark.createDataFrame([(version, classes, source)], "model_version STRING, classes ARRAY<STRING>, classes_from STRING")
+
+
+def write_bench_record(
+    stats: DataFrame, equivalence: DataFrame, reduction: DataFrame, path: str, about: dict[str, str] | None = None
+) -> str:
+    """Append one JSON record of a comparison: statistics by backend, agreement, reduction and the verdict.
+
+    ``stats`` has a ``backend`` and a row for each; the other two are one row.
+    The verdict is ``keep`` if the candidate agrees and is fast enough, else what
+    is wanting first.
+    """
+    columns = [c for c in stats.columns if c != "backend"]
+    by_backend = stats.agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("backend", F.struct(*columns))))).alias("backends")
+    )
+    record = merge_one_row(
+        merge_one_row(by_backend, equivalence.select(F.struct(*equivalence.columns).alias("equivalence"))),
+        reduction.select(F.struct(*reduction.columns).alias("p50_reduction")),
+    )
+    verdict = (
+        F.when(~F.col("equivalence.passed"), F.lit("not_equivalent"))
+        .when(~F.col("p50_reduction.met"), F.lit("not_faster"))
+        .otherwise(F.lit("keep"))
+    )
+    given = [F.lit(v).alias(k) for k, v in sorted((about or {}).items())]
+    record.select(*given, "*", verdict.alias("verdict")).write.mode("append").json(path)
+    return path
+
+
 BENCH_RESULT_SCHEMA = "measured_at STRING, sf STRING, job STRING, median_sec DOUBLE, rows BIGINT, per_sec DOUBLE, unit STRING"
 
 
