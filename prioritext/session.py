@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -74,10 +76,36 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+# The names handed out inside each open scratch scope, innermost last.
+_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/{name}"
+    path = f"{base.rstrip('/')}/{name}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables made inside once the block is left, whether it ends well or raises.
+
+    Results are lazy and read those tables, so write or collect them inside.
+    Scopes nest; queries that share a session from several threads need scopes
+    of their own sessions.
+    """
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield
+    finally:
+        _scopes.remove(made)
+        for path in made:
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 _shipped: set[str] = set()
