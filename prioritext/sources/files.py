@@ -84,6 +84,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    """Whether the path is one file; a folder may have a file's name (``documents.parquet/part-0``)."""
+    fs, p = _located(spark, path)
+    return fs.exists(p) and fs.getFileStatus(p).isFile()
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder the library has written; nothing happens where there is none."""
     fs, p = _located(spark, path)

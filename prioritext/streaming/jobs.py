@@ -29,6 +29,7 @@ from prioritext.operators import requestlog as rl
 from prioritext.operators.contracts import admission
 from prioritext.operators.model import TrainedModel, score_batch
 from prioritext.operators.requestlog import error_type, le_label
+from prioritext.sources.files import is_file
 
 
 def _start(writer, available_now: bool) -> StreamingQuery:
@@ -168,12 +169,12 @@ def as_event_time(log: DataFrame, ts_col: str = "ts") -> DataFrame:
 
 
 def read_stream_parquet(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
-    """File stream over a folder, or over a single file (its folder is the base path)."""
+    """File stream over a folder, whatever its name, or over a single file (its folder is the base path)."""
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     path = path.rstrip("/")
-    if path.endswith(".parquet"):
+    if is_file(spark, path):
         folder, name = path.rsplit("/", 1)
         return reader.option("pathGlobFilter", name).parquet(folder)
     return reader.parquet(path)

@@ -36,3 +36,18 @@ def test_stream_score_equals_batch_scoring_of_admitted_documents(spark, sf001):
     assert s == b
     assert len(s) == ok.count()
     assert stream.select("model_version").distinct().count() == 1
+
+
+def test_stream_reads_a_folder_named_like_a_file(spark, tmp_path):
+    rows = [(i, "ab cd " * i) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+    folder, one = f"{tmp_path}/documents.parquet", f"{tmp_path}/one"
+    docs.repartition(3).write.parquet(folder)
+    docs.coalesce(1).write.parquet(one)
+    (file,) = [str(p) for p in (tmp_path / "one").iterdir() if p.name.endswith(".parquet")]
+    for n, path in enumerate((folder, file, one)):
+        stream = jobs.read_stream_parquet(spark, path, docs.schema)
+        query = stream.writeStream.format("parquet").option("path", f"{tmp_path}/out{n}")
+        query.option("checkpointLocation", f"{tmp_path}/ckpt{n}").trigger(availableNow=True).start().awaitTermination()
+        found = spark.read.schema(docs.schema).parquet(f"{tmp_path}/out{n}").collect()
+        assert sorted(tuple(r) for r in found) == rows
