@@ -116,10 +116,17 @@ def translation() -> tuple[str, str]:
     return src + COMBINING_MARKS, dst
 
 
+def is_ascii(text: str | Column) -> Column:
+    """Whether every character takes one byte; null for a null text."""
+    c = _col(text)
+    return F.octet_length(c) == F.char_length(c)
+
+
 def normalize_text(text: str | Column) -> Column:
-    """Lower-case, then strip accents of Latin letters (native ``translate``)."""
+    """Lower-case, then strip accents of Latin letters (native ``translate``, which ASCII texts need not pass)."""
     src, dst = translation()
-    return F.translate(F.lower(_col(text)), src, dst)
+    lowered = F.lower(_col(text))
+    return F.when(is_ascii(text), lowered).otherwise(F.translate(lowered, src, dst))
 
 
 def tokens(normalized: str | Column) -> Column:
@@ -128,8 +135,9 @@ def tokens(normalized: str | Column) -> Column:
 
 
 # Bigram rule over the space-joined tokens: at every token start, capture the
-# token and its successor (tokens never hold a space).
-BIGRAM_PATTERN = r"(?<=^| )(?=(\S+ \S+))"
+# token and its successor (tokens never hold a space), then go to the next
+# token; matches follow each other, so no other place is looked at.
+BIGRAM_PATTERN = r"(?=(\S++ \S++))\S++ "
 
 
 def ngrams(toks: str | Column) -> Column:

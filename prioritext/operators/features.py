@@ -27,8 +27,9 @@ from prioritext.operators.ids import dense_index
 from prioritext.session import scratch_path
 
 
-# Rows whose n-grams are counted together.
-COUNTED_ROWS = 512
+# Words of the rows whose n-grams are counted together: the more, the fewer
+# counts of one term leave a task, in arrays of some eight bytes a word.
+COUNTED_WORDS = 1_000_000
 
 
 def with_grams(df: DataFrame, text_col: str = "text", out_col: str = "grams") -> DataFrame:
@@ -143,19 +144,30 @@ def _row_terms(words: pa.ListArray) -> Iterator[tuple[pa.Array, np.ndarray, np.n
     word, known = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
     width = max(1, len(known))
 
-    def counted(rows: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        distinct, at, tf = np.unique(codes, return_inverse=True, return_counts=True)
-        once = np.unique(at * max(1, n) + rows)
-        return distinct, tf, np.bincount(once // max(1, n), minlength=len(distinct))
+    def counted(rows: np.ndarray, codes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        distinct, tf = np.unique(codes, return_counts=True)
+        held = np.unique(rows * most + codes) % most
+        return distinct, tf, np.unique(held, return_counts=True)[1]
 
-    single, tf, df = counted(row, word)
+    single, tf, df = counted(row, word, width)
     yield known.take(pa.array(single)), tf, df
     both = row[:-1] == row[1:]
-    pair, tf, df = counted(row[:-1][both], word[:-1][both] * width + word[1:][both])
+    pair, tf, df = counted(row[:-1][both], word[:-1][both] * width + word[1:][both], width * width)
     left, right = known.take(pa.array(pair // width)), known.take(pa.array(pair % width))
     yield pc.binary_join_element_wise(left, right, " "), tf, df
 
 
+def _few_words(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of at most ``COUNTED_WORDS`` words (more only where one row has more)."""
+    upto = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    low = 0
+    while low < batch.num_rows:
+        before = upto[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(upto, before + COUNTED_WORDS, side="right")))
+        yield batch.slice(low, high - low)
+        low = high
+
+
 def term_statistics(df: DataFrame, text_col: str = "text") -> DataFrame:
     """``(term, tf, df)`` of the n-grams of ``df``, every row a document of its own.
 
@@ -166,8 +178,8 @@ def term_statistics(df: DataFrame, text_col: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, COUNTED_ROWS):
-                for terms, tf, held in _row_terms(batch.slice(low, COUNTED_ROWS).column("_words")):
+            for some in _few_words(batch, "_words"):
+                for terms, tf, held in _row_terms(some.column("_words")):
                     yield pa.RecordBatch.from_arrays(
                         [terms.cast(pa.string()), pa.array(tf.astype(np.int64)), pa.array(held.astype(np.int64))],
                         names=["term", "tf", "df"],

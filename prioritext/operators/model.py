@@ -103,13 +103,19 @@ def _feature_stages(vocab_terms: list[str], idf: list[float], text_col: str) ->
 # but the featurisation and summary passes before the first iteration run
 # per partition too, and long texts make them CPU-heavy.  Measured at sf0.1
 # (8,000 training texts): 1 partition ~150 s, 8 partitions ~60 s in total;
-# at sf0.01 (800 texts) 1 partition beats 8.
+# at sf0.01 (800 texts) 1 partition beats 8.  Every partition ships its
+# gradient in every iteration, so on large inputs their number follows the
+# cores, and grows again only where a partition would become too large.
 ROWS_PER_TRAIN_PARTITION = 1000
+TRAIN_PARTITIONS_PER_CORE = 2
+MAX_ROWS_PER_TRAIN_PARTITION = 200_000
 
 
 def training_partitions(spark, n_rows: int) -> int:
-    """Partitions of the optimiser input: enough for the data, no more."""
-    return max(1, math.ceil(n_rows / ROWS_PER_TRAIN_PARTITION))
+    """Partitions of the optimiser input: enough for the data and the cores, no more."""
+    most = TRAIN_PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism
+    small = min(most, math.ceil(n_rows / ROWS_PER_TRAIN_PARTITION))
+    return max(1, small, math.ceil(n_rows / MAX_ROWS_PER_TRAIN_PARTITION))
 
 
 @dataclass
@@ -135,7 +141,7 @@ def prepare(df: DataFrame, cfg: TrainConfig | None = None) -> Prepared:
     """Fit vocabulary and IDF on ``df`` (text + label, a row a document) and write its features once.
 
     No text is shuffled: n-grams are counted inside the rows, features are made
-    map-only, and only they are spread for the optimiser.
+    map-only, and only they are spread for the optimiser, once.
     Only bounded values reach the driver: class counts (k rows) and the
     vocabulary (at most ``max_features`` rows).
     """
@@ -164,10 +170,11 @@ def prepare(df: DataFrame, cfg: TrainConfig | None = None) -> Prepared:
     ).filter(F.col("_label_idx").isNotNull())
     made = PipelineModel(stages).transform(prepared).select(cfg.id_col, "_label_idx", "_weight", "features")
     path = scratch_path(spark, f"train-features-{uuid.uuid4().hex}")
-    made.write.parquet(path)
     parts = cfg.num_partitions or training_partitions(spark, n)
-    features = spark.read.schema(made.schema).parquet(path).repartition(parts, F.col(cfg.id_col))
-    return Prepared(stages, features.sortWithinPartitions(cfg.id_col), classes, counts, vocab, n, cfg)
+    # spread before they are written: a fit reads them several times
+    made.repartition(parts, F.col(cfg.id_col)).sortWithinPartitions(cfg.id_col).write.parquet(path)
+    features = spark.read.schema(made.schema).parquet(path).coalesce(parts)
+    return Prepared(stages, features, classes, counts, vocab, n, cfg)
 
 
 def fit(prepared: Prepared, c: float | None = None) -> TrainedModel:

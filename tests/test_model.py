@@ -160,3 +160,46 @@ def test_map_only_scoring_of_null_and_repeated_ids(spark):
     assert M.score_text(docs.limit(0), vocab, coef, [("x", 0.1), ("y", 0.0)]).count() == 0
     bare = M.score_text(docs, vocab.limit(0), coef, [("x", 0.1), ("y", 0.2)])
     assert {r["label"] for r in bare.collect()} == {"y"}
+
+
+def test_gradients_that_leave_tasks_do_not_grow_with_the_rows(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert M.training_partitions(spark, 800) == 1
+    assert M.training_partitions(spark, 2_500_000) <= max(13, M.TRAIN_PARTITIONS_PER_CORE * cores)
+    rows = [(i, f"word{i % 7} other{i % 5} last", "ab"[i % 2]) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, label STRING")
+    features = M.prepare(docs, M.TrainConfig(num_partitions=3)).features
+    assert "Exchange" not in features._jdf.queryExecution().executedPlan().toString()
+    assert features.rdd.getNumPartitions() <= 3
+    parts = [[r["doc_id"] for r in p] for p in features.select("doc_id").rdd.glom().collect()]
+    assert sorted(i for p in parts for i in p) == list(range(60))
+
+
+def test_rows_are_counted_in_slices_of_few_words(spark, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(fe, "COUNTED_WORDS", 5)
+    words = [["aa", "bb", "aa", "bb"], None, [], ["bb"], ["aa"] * 9, ["cc", "aa"], ["aa", "cc", "aa"]]
+    batch = pa.record_batch([pa.array(words, pa.list_(pa.string()))], names=["_words"])
+    slices = [s.column("_words").to_pylist() for s in fe._few_words(batch, "_words")]
+    assert [len(s) for s in slices] == [4, 1, 2] and [r for s in slices for r in s] == words
+    assert list(fe._few_words(batch.slice(0, 0), "_words")) == []
+    found = {t: (c, d) for terms, tf, df in fe._row_terms(batch.column("_words")) for t, c, d in zip(terms.to_pylist(), tf, df)}
+    assert found == {
+        "aa": (14, 4), "bb": (3, 2), "cc": (2, 2),
+        "aa bb": (2, 1), "bb aa": (1, 1), "aa aa": (8, 1), "cc aa": (2, 2), "aa cc": (1, 1),
+    }
+
+
+def test_texts_with_and_without_accents_have_the_same_bigram_rule(spark):
+    from prioritext.functions.text import is_ascii, ngrams, normalize_text, tokens
+
+    rows = [(None,), ("",), ("Aa",), ("a bb",), ("BB cc  dd\tee",), ("É été Kelvin xx",), ("x_1 99 oú ab",)]
+    df = spark.createDataFrame(rows, "t STRING")
+    got = df.select(normalize_text("t").alias("n"), ngrams(tokens(normalize_text("t"))).alias("g"), is_ascii("t").alias("a")).collect()
+    assert [r["n"] for r in got] == [None, "", "aa", "a bb", "bb cc  dd\tee", "e ete kelvin xx", "x_1 99 ou ab"]
+    assert [r["a"] for r in got] == [None, True, True, True, True, False, False]
+    assert [r["g"] for r in got] == [
+        None, [], ["aa"], ["bb"], ["bb", "cc", "dd", "ee", "bb cc", "cc dd", "dd ee"],
+        ["ete", "kelvin", "xx", "ete kelvin", "kelvin xx"], ["x_1", "99", "ou", "ab", "x_1 99", "99 ou", "ou ab"],
+    ]
