@@ -113,3 +113,13 @@ def test_no_text_is_shuffled_for_training(spark, sf001):
     got = M.prepare(docs.select("doc_id", "text", F.col("lang").alias("label"))).features
     assert got.columns == ["doc_id", "_label_idx", "_weight", "features"]
     assert got.count() == docs.count()
+
+
+def test_counts_of_terms_are_not_kept_in_the_tasks_that_read_texts(spark):
+    docs = spark.createDataFrame([(1, "aa bb aa"), (2, "bb cc"), (3, None)], "doc_id LONG, text STRING")
+    stats = fe.term_statistics(docs)
+    plan = stats._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Aggregate" not in plan[plan.index("Exchange"):]
+    assert {(r["term"], r["tf"], r["df"]) for r in stats.collect()} == {
+        ("aa", 2, 1), ("bb", 2, 2), ("cc", 1, 1), ("aa bb", 1, 1), ("bb aa", 1, 1), ("bb cc", 1, 1)
+    }
