@@ -13,18 +13,20 @@ shuffled at all.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from prioritext.constants import MAX_FEATURES, MIN_DF
 from prioritext.functions.text import ngrams, normalize_text, tokens
+from prioritext.operators.common import checked_broadcast, spread
 from prioritext.operators.ids import dense_index
-from prioritext.session import scratch_path
+from prioritext.session import scratch_path, ship_package
 
 
 # Words of the rows whose n-grams are counted together: the more, the fewer
@@ -37,22 +39,54 @@ def with_grams(df: DataFrame, text_col: str = "text", out_col: str = "grams") ->
     return df.withColumn(out_col, ngrams(tokens(normalize_text(F.col(text_col)))))
 
 
+def by_repeats(df: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame | None]:
+    """The rows whose id (null too) no other row has, and those that share theirs, or None.
+
+    Ids are counted by one narrow shuffle; the repeated ones are written once.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, f"repeated-ids-{uuid.uuid4().hex}")
+    counted = df.groupBy(F.col(id_col).alias("_again")).agg(F.count(F.lit(1)).alias("_n"))
+    counted.filter(F.col("_n") > 1).select("_again").write.parquet(path)
+    again = spark.read.schema(counted.select("_again").schema).parquet(path)
+    if again.isEmpty():
+        return df, None
+    side = checked_broadcast(again)
+    same = df[id_col].eqNullSafe(side["_again"])
+    return df.join(side, same, "left_anti"), df.join(side, same, "left_semi")
+
+
 def doc_term_counts(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", num_partitions: int | None = None
 ) -> DataFrame:
-    """``(id, term, c)``: raw count of each n-gram in each document.
+    """``(id, term, c)``: raw count of each n-gram in each document; rows of one id are one document.
 
     The documents are hash-partitioned by id first (this also evens out the
-    cost of very long texts); the ``(id, term)`` aggregation then needs no
-    further exchange.
+    cost of very long texts).  A document of one row is then counted inside its
+    row, in Arrow arrays; only those of several rows have their n-grams
+    exploded and added up.
     """
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parted = df.select(id_col, text_col).repartition(n, F.col(id_col))
-    return (
-        explode_terms(with_grams(parted, text_col), id_col)
-        .groupBy(id_col, "term")
-        .agg(F.count(F.lit(1)).alias("c"))
-    )
+    alone, shared = by_repeats(df.select(id_col, text_col), id_col)
+    counts = row_term_counts(partition_docs(alone, id_col, text_col, num_partitions), id_col, text_col)
+    if shared is None:
+        return counts
+    exploded = exploded_grams(shared, id_col, text_col, num_partitions)
+    return counts.unionByName(exploded.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("c")))
+
+
+def row_term_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id, term, c)`` of the n-grams of each row, map-only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in _few_words(batch, "_words"):
+                for of, terms, c in _terms_of_rows(some.column("_words")):
+                    ids = some.column(id_col).take(pa.array(of))
+                    yield pa.RecordBatch.from_arrays([ids, terms.cast(pa.string()), pa.array(c.astype(np.int64))], names=[id_col, "term", "c"])
+
+    words = df.select(id_col, tokens(normalize_text(F.col(text_col))).alias("_words"))
+    schema = T.StructType([df.schema[id_col], T.StructField("term", T.StringType()), T.StructField("c", T.LongType())])
+    return words.mapInArrow(run, schema)
 
 
 def explode_terms(df: DataFrame, id_col: str) -> DataFrame:
@@ -108,14 +142,107 @@ def doc_vocab_counts(
     )
 
 
+class TermTable:
+    """A vocabulary of words and word pairs with ``idf`` and class weights, for look-ups of whole Arrow batches.
+
+    Bounded by ``max_features``.  Every word of the vocabulary, alone or in a
+    pair, has a number; a pair of numbers is one integer, found by bisection.
+    """
+
+    def __init__(self, rows: Sequence[tuple[str, float, Sequence[float]]], n_classes: int):
+        parts = sorted({w for term, _, _ in rows for w in term.split(" ")})
+        number = {w: i for i, w in enumerate(parts)}
+        self.words = pa.array(parts, pa.string())
+        self.width = max(1, len(parts))
+        self.idf = np.array([r[1] for r in rows], dtype=float)
+        self.weights = np.array([list(r[2]) for r in rows], dtype=float).reshape(len(rows), n_classes)
+        self.single = np.full(self.width, -1, dtype=np.int64)
+        pairs = []
+        for i, (term, _, _) in enumerate(rows):
+            words = [number[w] for w in term.split(" ")]
+            if len(words) == 1:
+                self.single[words[0]] = i
+            else:
+                pairs.append((words[0] * self.width + words[1], i))
+        pairs.sort()
+        self.codes = np.array([c for c, _ in pairs], dtype=np.int64)
+        self.places = np.array([i for _, i in pairs], dtype=np.int64)
+
+    def weighted(self, tokens: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(row, place of the term, c * idf)`` of every known term of every row."""
+        n = len(tokens)
+        row = np.repeat(np.arange(n), pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False))
+        word = pc.fill_null(pc.index_in(tokens.flatten(), value_set=self.words), -1).to_numpy(zero_copy_only=False)
+        word = word.astype(np.int64)
+        known = word >= 0
+        place = np.where(known, self.single[np.maximum(word, 0)], -1)
+        found_row, found = row[place >= 0], place[place >= 0]
+        if len(self.codes):
+            both = known[:-1] & known[1:] & (row[:-1] == row[1:])
+            code = word[:-1][both] * self.width + word[1:][both]
+            at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+            hit = self.codes[at] == code
+            found_row = np.concatenate((found_row, row[:-1][both][hit]))
+            found = np.concatenate((found, self.places[at[hit]]))
+        key, count = np.unique(found_row * max(1, len(self.idf)) + found, return_counts=True)
+        of, term = np.divmod(key, max(1, len(self.idf)))
+        return of, term, count * self.idf[term]
+
+    def sums(self, tokens: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        """Per row: the sum of squared ``c * idf``, and the sums of ``c * idf * weight`` by class."""
+        n = len(tokens)
+        of, term, u = self.weighted(tokens)
+        by_class = [np.bincount(of, weights=u * self.weights[term, c], minlength=n) for c in range(self.weights.shape[1])]
+        return np.bincount(of, weights=u * u, minlength=n).astype(float), np.stack(by_class, axis=1).astype(float)
+
+
 def tfidf_for(
     df: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col: str = "text", num_partitions: int | None = None
 ) -> DataFrame:
-    """``(id, idx, term, weight)`` of documents against a fitted vocabulary."""
-    counts = doc_vocab_counts(df, vocab, id_col, text_col, num_partitions)
+    """``(id, idx, term, weight)`` of documents against a fitted vocabulary; rows of one id are one document.
+
+    A document of one row is weighted inside its row (:func:`row_tfidf`); those
+    of several rows have their counts added up first.
+    """
+    alone, shared = by_repeats(df.select(id_col, text_col), id_col)
+    weights = row_tfidf(spread(alone, num_partitions, key=id_col), vocab, id_col, text_col)
+    if shared is None:
+        return weights
+    counts = doc_vocab_counts(shared, vocab, id_col, text_col, num_partitions)
     w = F.col("c") * F.col("idf")
     norm = F.sqrt(F.sum(w * w).over(Window.partitionBy(id_col)))
-    return counts.select(id_col, "idx", "term", (w / norm).alias("weight"))
+    return weights.unionByName(counts.select(id_col, "idx", "term", (w / norm).alias("weight")))
+
+
+def row_tfidf(df: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id, idx, term, weight)`` of each row against a fitted vocabulary, map-only.
+
+    Words are cut natively; a task looks those of a slice of rows up in the term
+    table (at most ``max_features`` rows) and normalises row by row.
+    """
+    rows = vocab.select("term", "idx", "idf").orderBy("idx").collect()  # <= max_features rows
+    table = TermTable([(r["term"], float(r["idf"]), ()) for r in rows], 0)
+    terms, idx = pa.array([r["term"] for r in rows], pa.string()), pa.array([r["idx"] for r in rows], pa.int32())
+    ship_package(df.sparkSession)
+    held = df.sparkSession.sparkContext.broadcast((table, terms, idx))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, terms, idx = held.value
+        for batch in batches:
+            for some in _few_words(batch, "_words"):
+                of, place, u = table.weighted(some.column("_words"))
+                norm = np.sqrt(np.bincount(of, weights=u * u, minlength=some.num_rows))
+                at = pa.array(place)
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(id_col).take(pa.array(of)), idx.take(at), terms.take(at), pa.array(u / norm[of])],
+                    names=[id_col, "idx", "term", "weight"],
+                )
+
+    words = df.select(id_col, tokens(normalize_text(F.col(text_col))).alias("_words"))
+    schema = T.StructType(
+        [df.schema[id_col], T.StructField("idx", T.IntegerType()), T.StructField("term", T.StringType()), T.StructField("weight", T.DoubleType())]
+    )
+    return words.mapInArrow(run, schema)
 
 
 def fit_vocabulary(
@@ -136,25 +263,35 @@ def fit_vocabulary(
     return vocabulary_of(stats, n_docs, min_df, max_features)
 
 
-def _row_terms(words: pa.ListArray) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
-    """Single words, then pairs: ``(terms, occurrences, rows that hold the term)`` of some rows."""
+def _coded(words: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray, int, Callable[[np.ndarray], pa.Array]]]:
+    """Single words, then pairs: ``(row, code, bound of the codes, the terms that codes stand for)`` of every occurrence."""
     n = len(words)
     row = np.repeat(np.arange(n), pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False))
     coded = words.flatten().dictionary_encode()
     word, known = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
     width = max(1, len(known))
+    yield row, word, width, lambda codes: known.take(pa.array(codes))
+    both = row[:-1] == row[1:]
+    pair = word[:-1][both] * width + word[1:][both]
+    joined = lambda codes: pc.binary_join_element_wise(known.take(pa.array(codes // width)), known.take(pa.array(codes % width)), " ")
+    yield row[:-1][both], pair, width * width, joined
 
-    def counted(rows: np.ndarray, codes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        distinct, tf = np.unique(codes, return_counts=True)
-        held = np.unique(rows * most + codes) % most
-        return distinct, tf, np.unique(held, return_counts=True)[1]
 
-    single, tf, df = counted(row, word, width)
-    yield known.take(pa.array(single)), tf, df
-    both = row[:-1] == row[1:]
-    pair, tf, df = counted(row[:-1][both], word[:-1][both] * width + word[1:][both], width * width)
-    left, right = known.take(pa.array(pair // width)), known.take(pa.array(pair % width))
-    yield pc.binary_join_element_wise(left, right, " "), tf, df
+def _row_terms(words: pa.ListArray) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """Single words, then pairs: ``(terms, occurrences, rows that hold the term)`` of some rows."""
+    for row, code, most, named in _coded(words):
+        distinct, tf = np.unique(code, return_counts=True)
+        held = np.unique(row * most + code) % most
+        yield named(distinct), tf, np.unique(held, return_counts=True)[1]
+
+
+def _terms_of_rows(words: pa.ListArray) -> Iterator[tuple[np.ndarray, pa.Array, np.ndarray]]:
+    """Single words, then pairs: ``(row, term, occurrences in the row)`` of some rows."""
+    for row, code, most, named in _coded(words):
+        key, c = np.unique(row * most + code, return_counts=True)
+        of, code = np.divmod(key, most)
+        distinct, at = np.unique(code, return_inverse=True)
+        yield of, named(distinct).take(pa.array(at)), c
 
 
 def _few_words(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
@@ -210,6 +347,17 @@ def vocabulary_of(stats: DataFrame, n_docs: int, min_df: int = MIN_DF, max_featu
     )
 
 
+def _least_tf(stats: DataFrame, k: int) -> int | None:
+    """The ``tf`` of the ``k``-th largest term, below which none need be ranked; None with fewer terms.
+
+    The window runs over the distinct values of ``tf``: at most
+    ``sqrt(2 * occurrences)`` rows, as each is that of some term.
+    """
+    per_tf = stats.groupBy("tf").agg(F.count(F.lit(1)).alias("n"))
+    upto = per_tf.select("tf", F.sum("n").over(Window.orderBy(F.desc("tf"))).alias("upto"))
+    return upto.filter(F.col("upto") >= k).agg(F.max("tf").alias("tf")).first()["tf"]
+
+
 def top_terms(stats: DataFrame, k: int) -> DataFrame:
     """The ``k`` terms with the largest ``tf`` (ties by term), exactly.
 
@@ -217,9 +365,12 @@ def top_terms(stats: DataFrame, k: int) -> DataFrame:
     (partitions x 20,000 rows at scale).  Instead the terms are ranked by
     ``(-tf, term)`` with range partitioning and per-partition offsets
     (``dense_index``): every task ranks its own range, and only ranks
-    below ``k`` are kept.  ``stats`` must be a stable input (a scan of a
+    below ``k`` are kept.  Terms rarer than the ``k``-th are left out before.  ``stats`` must be a stable input (a scan of a
     written table), see ``dense_index``.
     """
+    least = _least_tf(stats, k)
+    if least is not None:
+        stats = stats.filter(F.col("tf") >= F.lit(least))
     # every column rides inside the ordering struct (term is unique, so tf
     # and df never decide the order): both branches of the rank then read
     # the same columns and share one range exchange (two exchanges would

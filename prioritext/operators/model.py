@@ -40,6 +40,7 @@ from prioritext.constants import (
 from prioritext.functions.text import BIGRAM_PATTERN, TOKEN_PATTERN, normalize_text, tokens, translation
 from prioritext.operators import features as fe
 from prioritext.operators.common import EngineError, spread
+from prioritext.operators.features import TermTable
 from prioritext.session import scratch_path, ship_package
 
 # Rows whose words are looked up together.
@@ -334,60 +335,6 @@ def weights_for(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_
     return fe.tfidf_for(docs, vocab, id_col, text_col, num_partitions)
 
 
-class TermTable:
-    """A vocabulary of words and word pairs with ``idf`` and class weights, for look-ups of whole Arrow batches.
-
-    Bounded by ``max_features``.  Every word of the vocabulary, alone or in a
-    pair, has a number; a pair of numbers is one integer, found by bisection.
-    """
-
-    def __init__(self, rows: Sequence[tuple[str, float, Sequence[float]]], n_classes: int):
-        parts = sorted({w for term, _, _ in rows for w in term.split(" ")})
-        number = {w: i for i, w in enumerate(parts)}
-        self.words = pa.array(parts, pa.string())
-        self.width = max(1, len(parts))
-        self.idf = np.array([r[1] for r in rows], dtype=float)
-        self.weights = np.array([list(r[2]) for r in rows], dtype=float).reshape(len(rows), n_classes)
-        self.single = np.full(self.width, -1, dtype=np.int64)
-        pairs = []
-        for i, (term, _, _) in enumerate(rows):
-            words = [number[w] for w in term.split(" ")]
-            if len(words) == 1:
-                self.single[words[0]] = i
-            else:
-                pairs.append((words[0] * self.width + words[1], i))
-        pairs.sort()
-        self.codes = np.array([c for c, _ in pairs], dtype=np.int64)
-        self.places = np.array([i for _, i in pairs], dtype=np.int64)
-
-    def weighted(self, tokens: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``(row, place of the term, c * idf)`` of every known term of every row."""
-        n = len(tokens)
-        row = np.repeat(np.arange(n), pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False))
-        word = pc.fill_null(pc.index_in(tokens.flatten(), value_set=self.words), -1).to_numpy(zero_copy_only=False)
-        word = word.astype(np.int64)
-        known = word >= 0
-        place = np.where(known, self.single[np.maximum(word, 0)], -1)
-        found_row, found = row[place >= 0], place[place >= 0]
-        if len(self.codes):
-            both = known[:-1] & known[1:] & (row[:-1] == row[1:])
-            code = word[:-1][both] * self.width + word[1:][both]
-            at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-            hit = self.codes[at] == code
-            found_row = np.concatenate((found_row, row[:-1][both][hit]))
-            found = np.concatenate((found, self.places[at[hit]]))
-        key, count = np.unique(found_row * max(1, len(self.idf)) + found, return_counts=True)
-        of, term = np.divmod(key, max(1, len(self.idf)))
-        return of, term, count * self.idf[term]
-
-    def sums(self, tokens: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-        """Per row: the sum of squared ``c * idf``, and the sums of ``c * idf * weight`` by class."""
-        n = len(tokens)
-        of, term, u = self.weighted(tokens)
-        by_class = [np.bincount(of, weights=u * self.weights[term, c], minlength=n) for c in range(self.weights.shape[1])]
-        return np.bincount(of, weights=u * u, minlength=n).astype(float), np.stack(by_class, axis=1).astype(float)
-
-
 def term_table(vocab: DataFrame, coef: DataFrame, n_classes: int) -> TermTable:
     """Vocabulary and coefficients in the order of their numbers; at most ``max_features`` rows reach the driver."""
     rows = vocab.select("term", "idx", "idf").join(coef.select("idx", "weights"), "idx").orderBy("idx")

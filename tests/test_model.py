@@ -203,3 +203,42 @@ def test_texts_with_and_without_accents_have_the_same_bigram_rule(spark):
         None, [], ["aa"], ["bb"], ["bb", "cc", "dd", "ee", "bb cc", "cc dd", "dd ee"],
         ["ete", "kelvin", "xx", "ete kelvin", "kelvin xx"], ["x_1", "99", "ou", "ab", "x_1 99", "99 ou", "ou ab"],
     ]
+
+
+def test_terms_rarer_than_the_last_one_kept_are_not_ranked(spark):
+    stats = spark.createDataFrame([("a", 5, 2), ("b", 5, 3), ("c", 3, 2), ("d", 3, 2), ("e", 1, 1)], "term STRING, tf LONG, df LONG")
+    assert [fe._least_tf(stats, k) for k in (1, 2, 3, 4, 5, 6)] == [5, 5, 3, 3, 1, None]
+    assert fe._least_tf(stats.limit(0), 1) is None
+    for k in range(1, 7):
+        assert sorted(r["term"] for r in fe.top_terms(stats, k).collect()) == list("abcde")[:k]
+
+
+def test_documents_of_one_row_are_counted_and_weighted_inside_it(spark):
+    from collections import Counter
+
+    rows = [(1, "aa bb aa"), (2, "bb aa bb aa"), (3, None), (4, ""), (5, "q aa q"), (6, "long " * 3000)]
+    twice = [(7, "aa bb"), (7, "aa bb"), (7, "cc"), (8, None), (8, "bb aa"), (None, "aa cc"), (None, "cc aa"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+    both = spark.createDataFrame(rows + twice, "doc_id LONG, text STRING").repartition(3)
+    plan = fe.doc_term_counts(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Generate" not in plan and "Aggregate" not in plan
+
+    want = Counter()
+    for i, text in rows + twice:
+        words = [w for w in (text or "").split() if len(w) > 1]
+        want.update((i, t) for t in words + [f"{a} {b}" for a, b in zip(words, words[1:])])
+    got = fe.doc_term_counts(both).collect()
+    assert len(got) == len(want) and {(r["doc_id"], r["term"]): r["c"] for r in got} == want
+
+    vocab = fe.fit_vocabulary(fe.doc_term_counts(both), 9, min_df=1).cache()
+    idf = {r["term"]: (r["idx"], r["idf"]) for r in vocab.collect()}
+    norm = Counter()
+    for (i, t), c in want.items():
+        norm[i] += (c * idf[t][1]) ** 2
+    weights = fe.tfidf_for(both, vocab).collect()
+    assert len(weights) == len(want) and {r["idx"] for r in weights} == {i for i, _ in idf.values()}
+    for r in weights:
+        at, scale = idf[r["term"]]
+        assert r["idx"] == at and r["weight"] == pytest.approx(want[r["doc_id"], r["term"]] * scale / norm[r["doc_id"]] ** 0.5)
+    assert "Exchange" not in fe.tfidf_for(docs, vocab, num_partitions=None)._jdf.queryExecution().executedPlan().toString().split("MapInArrow")[0]
+    assert fe.tfidf_for(docs, vocab.limit(0)).count() == 0 == fe.tfidf_for(docs.limit(0), vocab).count()
