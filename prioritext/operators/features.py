@@ -12,6 +12,7 @@ shuffled at all.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
@@ -33,6 +34,10 @@ from prioritext.session import scratch_path, ship_package
 # counts of one term leave a task.  A word takes some 60 bytes meanwhile.
 COUNTED_WORDS = 1_000_000
 
+# Bytes of text whose n-grams are added up by one task: its hash maps then take
+# some 130 MB, whatever the input.
+ADDED_BYTES = 8 << 20
+
 
 def with_grams(df: DataFrame, text_col: str = "text", out_col: str = "grams") -> DataFrame:
     """Add the 1- and 2-gram array of the normalised text."""
@@ -305,6 +310,14 @@ def _few_words(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
         low = high
 
 
+def adding_partitions(df: DataFrame, text_col: str = "text") -> int:
+    """Partitions in which the n-grams of ``df`` are added up: one per ``ADDED_BYTES`` of text, so that what
+    a task holds depends neither on the input's size nor on the session's shuffle partitions.  Reads the
+    texts once, without cutting them."""
+    size = df.agg(F.sum(F.octet_length(text_col).cast("bigint")).alias("b")).first()["b"] or 0
+    return max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(size / ADDED_BYTES))
+
+
 def term_statistics(df: DataFrame, text_col: str = "text") -> DataFrame:
     """``(term, tf, df)`` of the n-grams of ``df``, every row a document of its own.
 
@@ -325,7 +338,8 @@ def term_statistics(df: DataFrame, text_col: str = "text") -> DataFrame:
 
     words = df.select(tokens(normalize_text(F.col(text_col))).alias("_words"))
     parts = words.mapInArrow(run, "term string, tf long, df long")
-    return parts.repartition("term").groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+    n = adding_partitions(df, text_col)
+    return parts.repartition(n, "term").groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
 
 
 def vocabulary_of(stats: DataFrame, n_docs: int, min_df: int = MIN_DF, max_features: int = MAX_FEATURES) -> DataFrame:

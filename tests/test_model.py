@@ -205,6 +205,15 @@ def test_texts_with_and_without_accents_have_the_same_bigram_rule(spark):
     ]
 
 
+def test_terms_are_added_up_in_more_tasks_where_there_is_more_text(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"aa{i} bb cc{i}") for i in range(40)], "doc_id LONG, text STRING")
+    monkeypatch.setattr(fe, "ADDED_BYTES", 10)
+    size = sum(len(r["text"]) for r in docs.collect())
+    assert fe.term_statistics(docs).rdd.getNumPartitions() == -(-size // 10) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert fe.adding_partitions(docs.limit(0)) == spark.sparkContext.defaultParallelism
+    assert {(r["term"], r["tf"], r["df"]) for r in fe.term_statistics(docs).filter("df > 1").collect()} == {("bb", 40, 40)}
+
+
 def test_terms_rarer_than_the_last_one_kept_are_not_ranked(spark):
     stats = spark.createDataFrame([("a", 5, 2), ("b", 5, 3), ("c", 3, 2), ("d", 3, 2), ("e", 1, 1)], "term STRING, tf LONG, df LONG")
     assert [fe._least_tf(stats, k) for k in (1, 2, 3, 4, 5, 6)] == [5, 5, 3, 3, 1, None]
