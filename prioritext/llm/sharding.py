@@ -59,12 +59,12 @@ def external_shuffle(
         .agg(F.sort_array(F.collect_list("row")).alias("rows"))
         .select("bucket", F.posexplode(F.shuffle("rows", seed)).alias("place", "row"))
     )
-    # one row per bucket
+    # one row per bucket: broadcast, so that the records cross the network once only
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     counts = scattered.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     offsets = counts.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     at = F.col("offset") + F.col("place")
-    return buckets.join(offsets, "bucket").select(
+    return buckets.join(F.broadcast(offsets), "bucket").select(
         F.col("row.r.record").alias("record"),
         F.col("row.size").alias("size"),
         F.pmod(at, F.lit(shards)).cast("int").alias("shard"),

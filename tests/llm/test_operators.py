@@ -318,6 +318,16 @@ def test_sharding_is_native(spark, odd):
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
 
 
+def test_sharding_shuffles_records_once(spark, odd):
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where the counts' size isn't known beforehand
+    try:
+        plan = sharding.external_shuffle(odd, bucket_bytes=2_000)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
 def test_top_k_with_ties_and_odd_vectors(spark):
     rng = np.random.default_rng(4)
     rows = [(i, [float(x) for x in rng.normal(size=9)]) for i in range(300)]
