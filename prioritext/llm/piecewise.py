@@ -11,11 +11,13 @@ For a pair-merging model the weight of an arc depends on the arc before it:
 one where merging would leave the two pieces side by side, infinite where it
 would join across their border first.  A path is finite exactly if all its
 neighbours are stable, and then it is the merges' own result for the text up to
-there: each place has one finite path, so the search keeps one per place.  For
+there: each place has one finite path, so the search goes forward along finite
+arcs, the longest piece first, and steps back where none goes on.  For
 a unigram model an arc weighs minus its piece's score.
 
 No piece holds a visible blank behind another character, and nothing merges
-across a character without a piece, so paths are found per stretch between
+across a character without a piece, nor between two characters that stand side
+by side in no piece, so paths are found per stretch between
 those borders; a worker remembers the stretches it has met.
 
 Defined results
@@ -29,6 +31,7 @@ Defined results
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -101,6 +104,7 @@ class Transducer:
         self.bpe = kind == _BPE
         self.front, self.trim = bool(norm.get(3, 1)), bool(norm.get(4, 1))
         self.ids = {p: i for i, (p, k) in enumerate(zip(self.pieces, self.kinds, strict=True)) if k == _NORMAL}
+        self.score_of = {p: self.scores[i] for p, i in self.ids.items()}
         self.unknown = self.kinds.index(_UNKNOWN)
         self.bytes = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(self.pieces, self.kinds, strict=True)) if k == _BYTE}
         self.byte_of = {i: b for b, i in self.bytes.items()}
@@ -108,15 +112,49 @@ class Transducer:
             raise ValueError("pieces with an inner blank are not supported")
         # the trie: a state is a prefix of a piece, with the piece that ends there or -1
         self.arcs = dict.fromkeys((p[:n] for p in self.ids for n in range(1, len(p))), -1) | self.ids
+        # the same by characters (None: the piece that ends here), each piece's length and its longest proper prefix
+        self.trie: dict = {}
+        self.shorter, self.sizes = [-1] * len(self.pieces), [len(p) for p in self.pieces]
+        for p, i in sorted(self.ids.items()):
+            node = self.trie
+            for c in p:
+                self.shorter[i] = node.get(None, self.shorter[i])
+                node = node.setdefault(c, {})
+            node[None] = i
         known = {c for p in self.ids for c in p if len(c) == 1 and c in self.ids}
         self.alphabet = known
-        # stretches: blanks and what follows up to the next blank, or a run without pieces
+        # where scores tell all pieces apart, stable neighbours make one path only; runs of blanks may share a score
+        scored = [self.scores[i] for p, i in self.ids.items() if not p.startswith(BLANK * 2)]
+        self.one_path = self.bpe and len(set(scored)) == len(scored)
+        # stretches: blanks and what may merge up to the next border, or a run without pieces
+        groups, lone = self._groups(known - {BLANK})
         inside = "".join(map(re.escape, sorted(known - {BLANK})))
-        self.stretch = re.compile(f"{BLANK}*[{inside}]+|{BLANK}+|[^{inside}{BLANK}]+")
+        cut = [f"{BLANK}*[{''.join(map(re.escape, g))}]+" for g in groups]
+        cut += [f"{BLANK}*[{''.join(map(re.escape, lone))}]"] if lone else []
+        self.stretch = re.compile("|".join([*cut, f"{BLANK}+", f"[^{inside}{BLANK}]+"]))
         self.stable: dict[int, float] = {}
         self.paths: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    def _groups(self, letters: set[str]) -> tuple[list[list[str]], list[str]]:
+        """The letters in groups that no piece crosses, largest first, and those beside no other in any piece."""
+        beside: dict[str, set[str]] = {}
+        for piece in self.ids:
+            tail = piece.lstrip(BLANK)
+            for a, b in zip(tail, tail[1:]):
+                if a in letters and b in letters:
+                    beside.setdefault(a, set()).add(b)
+                    beside.setdefault(b, set()).add(a)
+        groups, met = [], set()
+        for c in sorted(beside):
+            group, todo = set(), {c} - met
+            while todo:
+                group |= todo
+                todo = set().union(*(beside[x] for x in todo)) - group
+            met |= group
+            groups += [sorted(group)] if group else []
+        return sorted(groups, key=len, reverse=True), sorted(letters - met)
+
     @classmethod
     def of_worker(cls, name: str, model: bytes) -> Transducer:
         if name not in _workers:
@@ -136,16 +174,15 @@ class Transducer:
 
     def _merged(self, text: str) -> list[str]:
         """Pieces of a short string by merging the best-scored pair, leftmost first."""
-        out = list(text)
-        while True:
-            best, at = None, -1
-            for i in range(len(out) - 1):
-                piece = self.ids.get(out[i] + out[i + 1])
-                if piece is not None and (best is None or self.scores[piece] > best):
-                    best, at = self.scores[piece], i
-            if best is None:
-                return out
+        out, score = list(text), self.score_of
+        pairs = [score.get(a + b, -_INFINITE) for a, b in zip(out, out[1:])]
+        while pairs and (best := max(pairs)) > -_INFINITE:
+            at = pairs.index(best)
             out[at : at + 2] = [out[at] + out[at + 1]]
+            del pairs[at]
+            for i in range(max(at - 1, 0), min(at + 1, len(pairs))):
+                pairs[i] = score.get(out[i] + out[i + 1], -_INFINITE)
+        return out
 
     # -- shortest paths
 
@@ -165,6 +202,44 @@ class Transducer:
         whole = self.ids.get(stretch)
         if whole is not None and self.bpe and self._arc(-1, whole) < _INFINITE:
             return [whole]
+        if self.one_path and not stretch.startswith(BLANK * 2):
+            return self._only_path(stretch)
+        return self._shortest(stretch)
+
+    def _only_path(self, stretch: str) -> list[int]:
+        """The one path of finite weight: no place is reached twice, so a step back is final."""
+        n, trie, arc, shorter, sizes = len(stretch), self.trie, self._arc, self.shorter, self.sizes
+        stable, width = self.stable, len(self.pieces)
+        out: list[int] = []
+        at, last, piece = 0, -1, -1
+        while at < n:
+            if piece < 0:  # the longest piece from here
+                node, end = trie, None
+                for c in stretch[at:]:
+                    node = node.get(c)
+                    if node is None:
+                        break
+                    end = node.get(None, end)
+                piece = -1 if end is None else end
+            while piece >= 0:
+                cost = stable.get(last * width + piece)
+                if (arc(last, piece) if cost is None else cost) < _INFINITE:
+                    break
+                piece = shorter[piece]
+            if piece >= 0:
+                out.append(piece)
+                at += sizes[piece]
+                last, piece = piece, -1
+                continue
+            # no arc goes on: the next shorter piece in place of the last one
+            while piece < 0:
+                back = out.pop()
+                at -= sizes[back]
+                piece = shorter[back]
+            last = out[-1] if out else -1
+        return out
+
+    def _shortest(self, stretch: str) -> list[int]:
         n, arcs, arc, bpe = len(stretch), self.arcs, self._arc, self.bpe
         weight, begin, last = [0.0] + [_INFINITE] * n, [0] * (n + 1), [-1] * (n + 1)
         for i in range(n):
@@ -190,7 +265,8 @@ class Transducer:
 
     def _ids(self, stretch: str) -> bytes:
         known = stretch[0] == BLANK or stretch[0] in self.alphabet
-        return np.array(self._path(stretch) if known else self._fallback(stretch), dtype="<u4").tobytes()
+        ids = self._path(stretch) if known else self._fallback(stretch)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""

@@ -406,6 +406,22 @@ def test_transducer_equals_the_library_and_round_trips(spark, odd, sf001):
         assert r.ids == want and r.ids_crc32 == (None if want is None else zlib.crc32(want))
 
 
+def test_transducer_cuts_where_nothing_merges_and_finds_the_shortest_path():
+    with open(piecewise.piece_bpe_path(), "rb") as f:
+        machine = piecewise.Transducer(f.read())
+    assert machine.stretch.findall("▁one,▁Two!日本") == ["▁one", ",", "▁Two", "!", "日", "本"]
+    rng = np.random.default_rng(5)
+    pieces = sorted(p for p in machine.ids if p.strip(piecewise.BLANK).isascii())
+    for picked in rng.integers(0, len(pieces), (500, 3)):
+        for stretch in machine.stretch.findall("".join(pieces[i] for i in picked)):
+            want = [machine.ids[p] for p in machine._merged(stretch)]
+            assert machine._path(stretch) == want == machine._shortest(stretch)
+    # fewer pairs of pieces are tried than the whole lattice has
+    machine.stable.clear()
+    machine._path("▁international")
+    assert len(machine.stable) < 5
+
+
 def test_toxicity_held_out_and_odd_rows(spark, odd, sf01):
     docs, labels = table(spark, sf01, "documents"), table(spark, sf01, "labels")
     held = labels.filter("doc_id % 4 = 0")
