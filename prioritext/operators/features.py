@@ -38,6 +38,10 @@ COUNTED_WORDS = 1_000_000
 # some 130 MB, whatever the input.
 ADDED_BYTES = 8 << 20
 
+# The most that one task adds up where tasks of ``ADDED_BYTES`` would be so many
+# that Spark sorts in memory whatever a task sends.
+MOST_ADDED_BYTES = 64 << 20
+
 
 def with_grams(df: DataFrame, text_col: str = "text", out_col: str = "grams") -> DataFrame:
     """Add the 1- and 2-gram array of the normalised text."""
@@ -312,10 +316,15 @@ def _few_words(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
 
 def adding_partitions(df: DataFrame, text_col: str = "text") -> int:
     """Partitions in which the n-grams of ``df`` are added up: one per ``ADDED_BYTES`` of text, so that what
-    a task holds depends neither on the input's size nor on the session's shuffle partitions.  Reads the
-    texts once, without cutting them."""
+    a task holds depends neither on the input's size nor on the session's shuffle partitions.  Beyond
+    ``spark.shuffle.sort.bypassMergeThreshold`` partitions, Spark holds and sorts all that a task sends: there
+    are no more than those until a task would add up ``MOST_ADDED_BYTES``.  Reads the texts once, without
+    cutting them."""
+    spark = df.sparkSession
     size = df.agg(F.sum(F.octet_length(text_col).cast("bigint")).alias("b")).first()["b"] or 0
-    return max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(size / ADDED_BYTES))
+    unsorted = int(spark.conf.get("spark.shuffle.sort.bypassMergeThreshold", "200"))
+    wanted = min(math.ceil(size / ADDED_BYTES), max(unsorted, math.ceil(size / MOST_ADDED_BYTES)))
+    return max(spark.sparkContext.defaultParallelism, wanted)
 
 
 def term_statistics(df: DataFrame, text_col: str = "text") -> DataFrame:

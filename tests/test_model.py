@@ -214,6 +214,19 @@ def test_terms_are_added_up_in_more_tasks_where_there_is_more_text(spark, monkey
     assert {(r["term"], r["tf"], r["df"]) for r in fe.term_statistics(docs).filter("df > 1").collect()} == {("bb", 40, 40)}
 
 
+def test_no_more_tasks_add_terms_up_than_spark_sends_to_without_a_sort(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"aa{i} bb cc{i}") for i in range(40)], "doc_id LONG, text STRING")
+    size = sum(len(r["text"]) for r in docs.collect())
+    monkeypatch.setattr(fe, "ADDED_BYTES", 1)
+    assert size > 200 and fe.adding_partitions(docs) == 200
+    stats = fe.term_statistics(docs)
+    assert stats.rdd.getNumPartitions() == 200
+    assert {(r["term"], r["tf"], r["df"]) for r in stats.filter("df > 1").collect()} == {("bb", 40, 40)}
+    # a task's share of the text is bounded all the same
+    monkeypatch.setattr(fe, "MOST_ADDED_BYTES", 2)
+    assert fe.adding_partitions(docs) == -(-size // 2) > 200
+
+
 def test_terms_rarer_than_the_last_one_kept_are_not_ranked(spark):
     stats = spark.createDataFrame([("a", 5, 2), ("b", 5, 3), ("c", 3, 2), ("d", 3, 2), ("e", 1, 1)], "term STRING, tf LONG, df LONG")
     assert [fe._least_tf(stats, k) for k in (1, 2, 3, 4, 5, 6)] == [5, 5, 3, 3, 1, None]
